@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from tracelake.llm import leakage, shared_spans
+from tracelake.llm import conversations, leakage, packing, shared_spans
 
 QUERIES = {
+    "p2_found": conversations.p2_found,
+    "p2_conversations": conversations.p2_conversations,
+    "p5_packed": packing.p5_packed,
+    "p5_fill": packing.p5_fill,
     "p6_found": leakage.p6_found,
     "p6_spans": leakage.p6_spans,
     "p7_found": shared_spans.p7_found,
