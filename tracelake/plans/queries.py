@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from tracelake.operators import flatten
+
+QUERIES: dict = {
+    "p4_found": flatten.p4_nodes,
+}
 SQL: dict[str, str] = {}
