@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tracelake.llm import conversations, leakage, packing, shared_spans
+from tracelake.llm import conversations, leakage, packing, pairs, shared_spans, truncation
 
 QUERIES = {
+    "p1_found": pairs.p1_found,
+    "p1_rates": pairs.p1_rates,
     "p2_found": conversations.p2_found,
     "p2_conversations": conversations.p2_conversations,
+    "p3_found": truncation.p3_found,
+    "p3_rates": truncation.p3_rates,
     "p5_packed": packing.p5_packed,
     "p5_fill": packing.p5_fill,
     "p6_found": leakage.p6_found,
