@@ -177,19 +177,23 @@ def tail_keys(body: str) -> list[int]:
 
 
 def tails(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys`` with ``state`` and, of open texts, the contexts of their end. Null texts give no row."""
+    """``keys`` with ``state``; of open texts ``ends``, the contexts of their end; of open and cut ones ``text``.
+
+    Null texts give no row.
+    """
     types = ", ".join(f"{k} {texts.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            state, ends = [], []
+            state, ends, kept = [], [], []
             for t in b.column(len(keys)).to_pylist():
                 s, body = structure(t)
                 state.append(s)
                 ends.append(tail_keys(body) if s == OPEN else None)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(state, pa.int32()), pa.array(ends, pa.list_(pa.int64()))], [*keys, "state", "ends"])
+                kept.append(t if s != COMPLETE else None)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(state, pa.int32()), pa.array(ends, pa.list_(pa.int64())), pa.array(kept, pa.string())], [*keys, "state", "ends", "text"])
 
-    return texts.where(F.col(text).isNotNull()).select(*keys, text).mapInArrow(run, f"{types}, state int, ends array<long>")
+    return texts.where(F.col(text).isNotNull()).select(*keys, text).mapInArrow(run, f"{types}, state int, ends array<long>, text string")
 
 
 def _union(key: tuple, table: pa.Table) -> pa.Table:
@@ -199,39 +203,48 @@ def _union(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"part": [key[0].as_py()], "bits": [total.tobytes()]}, schema=pa.schema([("part", pa.int64()), ("bits", pa.binary())]))
 
 
-def _wanted(ends: DataFrame) -> bytes:
-    """Bit map of the contexts at open ends: of fixed size, a chance bit only counts a context too many."""
+def bit_map(keys: DataFrame, bits: int = _BITS) -> bytes:
+    """Bit map of the long keys in the first column: of fixed size, so a chance hit lets a key too many through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << _BITS, bool)
+        marks = np.zeros(1 << bits, bool)
         for b in batches:
-            found = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            bits[(found >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-        for c in range(0, 1 << _BITS, _CHUNK):
-            if bits[c : c + _CHUNK].any():
-                yield pa.RecordBatch.from_pydict({"part": [c // _CHUNK], "bits": [np.packbits(bits[c : c + _CHUNK]).tobytes()]})
+            marks[_cells(b.column(0).to_numpy(zero_copy_only=False), bits)] = True
+        for c in range(0, 1 << bits, _CHUNK):
+            if marks[c : c + _CHUNK].any():
+                yield pa.RecordBatch.from_pydict({"part": [c // _CHUNK], "bits": [np.packbits(marks[c : c + _CHUNK]).tobytes()]})
 
-    parts = ends.mapInArrow(run, "part long, bits binary")
+    parts = keys.mapInArrow(run, "part long, bits binary")
     for way in (64, 1):  # in two steps, so that no task gets a chunk of every partition
         parts = parts.withColumn("way", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(way))).groupBy("part", "way").applyInArrow(_union, "part long, bits binary")
-    whole = np.zeros((1 << _BITS) // 8, np.uint8)
-    for part, bits in parts.toLocalIterator():
-        whole[part * _CHUNK // 8 : (part + 1) * _CHUNK // 8] = np.frombuffer(bits, np.uint8)
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    for part, marks in parts.toLocalIterator():
+        whole[part * _CHUNK // 8 : (part + 1) * _CHUNK // 8] = np.frombuffer(marks, np.uint8)
     return whole.tobytes()
 
 
+def _cells(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys.astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def in_map(marks: bytes, keys: np.ndarray) -> np.ndarray:
+    """Which keys the bit map has."""
+    packed = np.frombuffer(marks, np.uint8)
+    at = _cells(keys, len(packed).bit_length() + 2)
+    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
     """``context, n, n_end`` over all texts, of the contexts in the bit map."""
     sent = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool)
         known: set[str] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def take(keys: np.ndarray, ends: np.ndarray) -> None:
             keys = keys - np.uint64(1 << 63)  # as the signed form of tail_keys
-            keep = bits[(keys >> np.uint64(64 - _BITS)).astype(np.int64)]
+            keep = in_map(sent.value, keys.view(np.int64))
             held.append((keys[keep], ends[keep]))
 
         def told() -> pa.RecordBatch:
@@ -290,17 +303,17 @@ def _share(found: Column) -> Column:
     return best["n_end"] / best["n"]
 
 
-def judged(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+def judged(texts: DataFrame, keys: list[str], text: str, ends: DataFrame | None = None) -> DataFrame:
     """``keys``, ``state``, and of open texts ``p_end`` and ``p_word_end``, with ``cut``. Null texts give no row.
 
-    ``keys`` must tell the rows apart. Texts without a letter or digit are complete. An empty table gives no row.
+    ``keys`` must tell the rows apart; ``ends`` are their written tails, if there are any. Texts without a letter or digit are complete. An empty table gives no row.
     """
-    ends = written(tails(texts, keys, text), "tails")
-    counts = context_counts(texts, text, _wanted(ends.where("ends is not null").select("ends")))
+    ends = written(tails(texts, keys, text), "tails") if ends is None else ends
+    counts = context_counts(texts, text, bit_map(ends.select(F.explode("ends").alias("context"))))
     asked = ends.where("ends is not null").select(*keys, F.posexplode("ends").alias("place", "context")).where("context <> 0")
     seen = asked.join(counts, "context").select(*keys, (F.col("place") < ORDERS).alias("of_tokens"), F.struct("place", "n", "n_end").alias("found"))
     told = seen.groupBy(*keys).agg(F.collect_list(F.when(F.col("of_tokens"), F.col("found"))).alias("tokens"), F.collect_list(F.when(~F.col("of_tokens"), F.col("found"))).alias("letters"))
     told = told.select(*keys, _share(F.col("tokens")).alias("p_end"), _share(F.col("letters")).alias("p_word_end"))
     end, word_end = F.coalesce("p_end", F.lit(0.0)), F.coalesce("p_word_end", F.lit(1.0))
     cut = (F.col("state") == CUT) | ((F.col("state") == OPEN) & ((end < LEAST_END) | (word_end < LEAST_WORD_END) | ((end < 2 * LEAST_END) & (word_end < 0.15))))
-    return ends.drop("ends").join(told, keys, "left").withColumn("cut", cut)
+    return ends.drop("ends", "text").join(told, keys, "left").withColumn("cut", cut)
