@@ -37,7 +37,7 @@ _DOTS = re.compile(r"\s*(?:…|\.{3,})\s*\Z")
 _THINK_OPEN, _THINK_CLOSE = re.compile(r"<think(?:ing)?\b[^>]*>", re.I), re.compile(r"</think(?:ing)?\s*>", re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr p li dt dd option tr td th thead tbody tfoot".split())
-_TOKEN = re.compile(r"\d+(?:[.,:/x-]\d+)*%?|[一-鿿぀-ヿ가-힯]|[^\W\d_一-鿿぀-ヿ가-힯]+|[^\w\s]|_|\n")
+_TOKEN = re.compile(r"[^\W\d_一-鿿぀-ヿ가-힯]+|\d+(?:[.,:/x-]\d+)*%?|[一-鿿぀-ヿ가-힯]|[^\w\s]|_|\n")
 _PATH = re.compile(r"(?:^|[\s(\"'])(?:\w+:/)?[\w.~-]*[/\\][^\s\"'<>]*\.\w{1,5}\Z")
 _NUMBERS = re.compile(r"[\s\d.,;:+%/x-]*\Z")
 _ENDS = tuple(".?!。？！")
@@ -55,16 +55,25 @@ def _balanced_json(text: str) -> bool:
     return True
 
 
+def _without_note(text: str) -> str:
+    """The text without a note at its end that the rest was left out."""
+    body = text.rstrip()
+    if body[-1:] in (")", "]", ">", "}", "�"):
+        from_ = max(0, len(body) - 300)
+        if (found := NOTE.search(body, from_)) and not (from_ and found.start() == from_):
+            return body[: found.start()].strip()
+    return body.strip()
+
+
 def structure(text: str) -> tuple[int, str]:
     """COMPLETE, CUT or OPEN, and what is left of the text without notes."""
-    body = NOTE.sub("", text)
-    noted = len(body) != len(text)
-    body = body.strip()
+    body = _without_note(text)
+    noted = len(body) != len(text.strip())
     if not any(c.isalnum() for c in body):
         return (CUT if noted and body else COMPLETE), body
     if noted:
         return CUT, body
-    if len(_THINK_OPEN.findall(body)) > len(_THINK_CLOSE.findall(body)):
+    if "<" in body and len(_THINK_OPEN.findall(body)) > len(_THINK_CLOSE.findall(body)):
         return CUT, body
     if (fences := body.count("```")) % 2:
         return CUT, body
@@ -106,32 +115,36 @@ def structure(text: str) -> tuple[int, str]:
     if fences and body.endswith("```"):
         return COMPLETE, body
     last = body.rstrip(_CLOSERS)
-    if last.endswith(_ENDS) and not _DOTS.search(body):
+    if last.endswith(_ENDS) and not (body.endswith(("...", "…")) and _DOTS.search(body)):
         return COMPLETE, body
     if _NUMBERS.match(body.rpartition("\n")[2]) or not re.search(r"\s", body) and len(_TOKEN.findall(body)) == 1:
         return COMPLETE, body  # a line of numbers, a bare word
     if _PATH.search(body):
         return COMPLETE, body
-    return OPEN, _DOTS.sub("", body)
+    return OPEN, _DOTS.sub("", body) if body.endswith(("...", "…")) else body
 
 
-class _Classes(dict):
+def _class(word: str) -> int:
     """Hash of the class of a token: number, name or the word itself."""
+    if word[0].isdigit():
+        return xxhash.xxh3_64_intdigest("9%" if word[-1] == "%" else "9")
+    return xxhash.xxh3_64_intdigest("N" if word[0].isupper() and len(word) > 3 else word.lower())
+
+
+class _Classes(dict):
+    """Classes by token; ``fresh`` gets the tokens not seen before."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
 
     def __missing__(self, word: str) -> int:
-        if word[0].isdigit():
-            kind = "9%" if word[-1] == "%" else "9"
-        elif word[0].isupper() and len(word) > 3:
-            kind = "N"
-        else:
-            kind = word.lower()
         if len(self) > 500_000:
             self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(kind)
+        self.fresh.append(word)
+        self[word] = h = _class(word)
         return h
 
 
-_classes = _Classes()
 _START = xxhash.xxh3_64_intdigest("\x02start")
 _NEWLINE = xxhash.xxh3_64_intdigest("\n")
 _WEIGHTS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 3) ** 5) & _MASK | 1 for k in range(ORDERS)], np.uint64)
@@ -165,9 +178,9 @@ def tail_keys(body: str) -> list[int]:
     near = body[-600:]
     found = _TOKEN.findall(near)
     if len(near) == len(body):
-        hashes = [_START, *(_classes[w] for w in found)]
+        hashes = [_START, *map(_class, found[-ORDERS:])]
     else:
-        hashes = [_classes[w] for w in found]
+        hashes = [_class(w) for w in found[-ORDERS:]]
     hashes = hashes[-ORDERS:]
     keys = [int(k[-1]) for k in _contexts(np.array(hashes, np.uint64))[: len(hashes)]]
     keys += [0] * (ORDERS - len(keys))
@@ -239,7 +252,7 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[str] = set()
+        classes = _Classes()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def take(keys: np.ndarray, ends: np.ndarray) -> None:
@@ -257,14 +270,12 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
         for b in batches:
             hashes: list[int] = []
             lasts: list[int] = []
-            words: set[str] = set()
             for t in b.column(0).to_pylist():
-                found = _TOKEN.findall(NOTE.sub("", t).strip() if t[-1:] in ")]>}�" else t.strip())
-                if found:
+                if found := _TOKEN.findall(_without_note(t)):
                     hashes.append(_START)
-                    hashes.extend([_classes[w] for w in found])
+                    hashes.extend([classes[w] for w in found[:-1]])
+                    hashes.append(_class(found[-1]))  # a last word may be cut: it tells nothing of words
                     lasts.append(len(hashes) - 1)
-                    words.update(found[:-1])
             if hashes:
                 row = np.array(hashes, np.uint64)
                 end = np.zeros(len(row), bool)
@@ -278,15 +289,13 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
                         inside = inside & (place > 0)
                     take(keys[inside], end[inside])
             letters, stops = [], []
-            for w in words - known:
+            for w in classes.fresh:
                 if w[0].isalpha() and not "一" <= w[0] <= "鿿":
                     for j in range(1, len(w) + 1):
                         own = _letter_keys(w[:j])
                         letters += own
                         stops += [j == len(w)] * len(own)
-            known |= words
-            if len(known) > 1_000_000:
-                known.clear()
+            classes.fresh.clear()
             if letters:
                 take(np.array(letters, np.uint64), np.array(stops, bool))
             if sum(len(k) for k, _ in held) > 4_000_000:
