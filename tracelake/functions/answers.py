@@ -39,7 +39,9 @@ def normalized_answer(text: Column) -> Column:
     t = F.lower(stripped(text))
     v = try_float(t)
     whole = (v == F.floor(v)) & ~t.contains("e") & (F.abs(v) < 1e15)
-    return F.when(v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")), t).when(whole, v.cast("long").cast("string")).otherwise(v.cast("string"))
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"[%_+\s]", ""), r"^(-?)0*(?=\d*\.)", "$1"), r"0+$", "")
+    plain = F.regexp_replace(plain, r"^(-?)\.", "$10.")  # as Python writes it, without an exponent
+    return F.when(v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")), t).when(whole, v.cast("long").cast("string")).when(t.contains("e") | (F.abs(v) >= 1e15) | (F.abs(v) < 1e-4), v.cast("string")).otherwise(plain)
 
 
 def numeric_close(value: Column, reference: Column, tolerance: Column | float) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.operators.ordered import running_counts
+
 
 def avg_at_k(rollouts: DataFrame, key: str = "item_key", corrects: str = "corrects") -> DataFrame:
     """Mean of the 0/1 rollouts of each item to four places, their number and sum; null or empty arrays give no row."""
@@ -77,6 +79,27 @@ def micro_macro(rows: DataFrame, group: str, value: str) -> DataFrame:
     return per.unionByName(micro).unionByName(macro)
 
 
+def percentiles(rows: DataFrame, group: str, value: str, at: dict[str, float]) -> DataFrame:
+    """Exact percentiles with linear interpolation, by name; null values don't count, a group without values has no row.
+
+    Values are counted, the counts summed up in order over ranges, and only the two values around each position are kept:
+    a group's values are never in one task.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
+    upto = running_counts(counts, group, [F.col(value)], {"_upto": F.col("_n")})
+    total = counts.groupBy(F.col(group).alias("_of")).agg(F.sum("_n").alias("_all"))
+    placed = upto.join(total, F.col(group).eqNullSafe(F.col("_of")))
+    picked = []
+    for name, q in at.items():
+        position = (F.col("_all") - 1) * F.lit(q)
+        for side, place in (("low", F.floor(position)), ("high", F.ceil(position))):
+            holds = (F.col("_upto") > place) & (F.col("_upto") - F.col("_n") <= place)
+            picked.append(F.max(F.when(holds, F.col(value))).alias(f"_{side}_{name}"))
+    found = placed.groupBy(group).agg(F.max("_all").alias("_all"), *picked)
+    weight = lambda q: (F.col("_all") - 1) * F.lit(q) - F.floor((F.col("_all") - 1) * F.lit(q))
+    return found.select(group, *((F.col(f"_low_{n}") * (1 - weight(q)) + F.col(f"_high_{n}") * weight(q)).alias(n) for n, q in at.items()))
+
+
 def bootstrap_ci(rows: DataFrame, group: list[str], value: str, samples: int = 1000, seed: int = 20260722) -> DataFrame:
     """95 % interval of the mean by resampling, per group (no group: over all rows).
 

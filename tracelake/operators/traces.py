@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions.text import instant
+from tracelake.operators.ordered import running_counts
 
 #: Tools whose single use tells nothing (fixed values).
 LOW_VALUE_TOOLS = ("read_file", "sample_color", "write_file", "list_dir", "edit_file")
@@ -62,16 +63,23 @@ def tool_distribution(made: DataFrame, sample: str = "session_key") -> DataFrame
     return joined.select("tool", "n_calls", F.round(F.col("n_calls") / F.col("_calls"), 6).alias("share"), "n_samples", F.round(F.col("n_samples") / F.col("_samples"), 6).alias("coverage"), F.round(F.col("n_calls") / F.col("n_samples"), 6).alias("calls_a_sample"))
 
 
-def history_window(rows: DataFrame, n: int, order: str = "event_id") -> DataFrame:
+def history_window(rows: DataFrame, n: int, order: str = "event_id", parts: int = 64) -> DataFrame:
     """The last ``n`` messages of each session, without those before the first user message among them.
 
-    The least order of the last ``n`` is found on the order column alone, so no whole message is sorted.
+    The last ``n`` are taken in each of ``parts`` parts of a session first, so no task sorts a whole session.
     """
-    ranked = rows.select("session_key", order, "role").withColumn("_back", F.row_number().over(Window.partitionBy("session_key").orderBy(F.desc(order)))).where(F.col("_back") <= n)
+    slim = rows.select("session_key", order, "role").withColumn("_part", F.pmod(F.xxhash64(order), F.lit(parts)))
+    last = lambda x, keys: x.withColumn("_back", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).where(F.col("_back") <= n).drop("_back")
+    ranked = last(last(slim, ["session_key", "_part"]).drop("_part"), ["session_key"])
     first = ranked.groupBy("session_key").agg(F.min(F.when(F.col("role") == "user", F.col(order))).alias("_first"))
     return ranked.join(first, "session_key").where(F.col(order) >= F.col("_first")).select("session_key", order, "role")
 
 
+def numbered(rows: DataFrame, order: str = "event_id", name: str = "observation_no") -> DataFrame:
+    """Rows numbered from 1 in their session's order, a large session in many tasks."""
+    return running_counts(rows, "session_key", [F.col(order)], {name: F.lit(1)})
+
+
 def saved_paths(text: Column) -> Column:
     """Image paths in "saved to: path" notes, in any case."""
     return F.filter(F.regexp_extract_all(text, F.lit(r"(?i)saved to: (\S+)"), 1), lambda p: F.lower(p).rlike(r"\.(png|jpg|jpeg|gif|bmp|webp)$"))

@@ -249,8 +249,8 @@ def paired_delta(spark, folder):
 
 @query("select l_returnflag, round(quantile_cont(l_extendedprice::double, 0.025), 4) as low, round(quantile_cont(l_extendedprice::double, 0.975), 4) as high from lineitem group by l_returnflag")
 def percentile_ci(spark, folder):
-    ends = [F.round(F.percentile("l_extendedprice", F.lit(q)), 4).alias(n) for q, n in ((0.025, "low"), (0.975, "high"))]
-    return _t(spark, folder, "lineitem").groupBy("l_returnflag").agg(*ends)
+    found = K.percentiles(_t(spark, folder, "lineitem"), "l_returnflag", "l_extendedprice", {"low": 0.025, "high": 0.975})
+    return found.select("l_returnflag", F.round("low", 4).alias("low"), F.round("high", 4).alias("high"))
 
 
 @query()
@@ -318,7 +318,7 @@ def history_window(spark, folder):
 @query(f"with {_EV} select session_key, event_id, row_number() over (partition by session_key order by event_id) as observation_no, case when length(content) > 4000 then substr(content, 1, 4000) || '\n... (truncated)' else content end as observation from ev where r = 'tool' and coalesce(content, '') <> '' and session_key is not null")
 def observation_numbering(spark, folder):
     rows = _events(spark, folder).where("role = 'tool' and coalesce(content, '') <> '' and session_key is not null")
-    return S.ranked(rows, ["session_key"], [F.col("event_id")], "observation_no").select("session_key", "event_id", F.col("observation_no").cast("long").alias("observation_no"), R.truncated_text(F.col("content"), 4000).alias("observation"))
+    return R.numbered(rows.select("session_key", "event_id", "content")).select("session_key", "event_id", "observation_no", R.truncated_text(F.col("content"), 4000).alias("observation"))
 
 
 @query(f"with {_CALLS}, l as (select session_key, call_id, max_by(tool, event_id * 1000 + call_no) as tool, max(event_id) as call_event_id from calls where call_id is not null group by session_key, call_id) select ev.session_key, ev.tool_call_id as call_id, ev.event_id as result_id, l.call_event_id, l.tool from ev left join l on l.session_key = ev.session_key and l.call_id = ev.tool_call_id where ev.r = 'tool'")

@@ -13,7 +13,7 @@ def lines(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame
 
     The line number needs a file as a whole, so a file should fit in memory; many files are read in parallel.
     """
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file"), "value")
     split = files.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "text"), F.size(F.split("value", "\n")).alias("_n"))
     kept = split.where(~((F.col("line_no") == F.col("_n") - 1) & (F.col("text") == ""))).drop("_n")
     kept = kept if keep_blank else kept.where(F.regexp_replace("text", r"\s", "") != "")
@@ -72,7 +72,7 @@ def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = lines(spark, path)
     broken = rows.groupBy("file").agg(F.max(F.col("value").isNull()).alias("_broken"))
-    text = lambda k: F.coalesce(F.try_variant_get("value", f"$.{k}", "string"), F.to_json(F.try_variant_get("value", f"$.{k}", "variant")))
+    text = lambda k: F.coalesce(F.try_variant_get("value", f"$.{k}", "string"), F.nullif(F.to_json(F.try_variant_get("value", f"$.{k}", "variant")), F.lit("null")))
     read = rows.join(broken, "file")
     good = read.where("not _broken").where(F.coalesce(F.try_variant_get("value", "$._type", "string"), F.lit("")) != "metadata").select("file", "line_no", *(text(k).alias(k) for k in ("role", "content", "tool_calls", "tool_call_id", "name", "timestamp")))
     bad = broken.where("_broken").select("file", F.lit(0).alias("line_no"), F.lit("parse_error").alias("role"), *(F.lit(None).cast("string").alias(k) for k in ("content", "tool_calls", "tool_call_id", "name", "timestamp")))
