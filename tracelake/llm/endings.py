@@ -19,12 +19,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.llm.sketch import SCHEMA, Partial, marked, marks
 from tracelake.session import written
 
 ORDERS, LETTERS = 4, 4
 #: Occurrences a context needs to be trusted, and the shares below which an end is no end.
 ENOUGH, LEAST_END, LEAST_WORD_END = 30, 0.05, 0.02
-_BITS, _CHUNK = 24, 1 << 16
+_BITS = 24
 COMPLETE, CUT, OPEN = 0, 1, 2
 
 #: Forms of notes that stand for text left out (fixed values).
@@ -209,42 +210,26 @@ def tails(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     return texts.where(F.col(text).isNotNull()).select(*keys, text).mapInArrow(run, f"{types}, state int, ends array<long>, text string")
 
 
-def _union(key: tuple, table: pa.Table) -> pa.Table:
-    total = np.zeros(_CHUNK // 8, np.uint8)
-    for x in table.column("bits"):
-        total |= np.frombuffer(x.as_buffer(), np.uint8)
-    return pa.table({"part": [key[0].as_py()], "bits": [total.tobytes()]}, schema=pa.schema([("part", pa.int64()), ("bits", pa.binary())]))
-
-
 def bit_map(keys: DataFrame, bits: int = _BITS) -> bytes:
     """Bit map of the long keys in the first column: of fixed size, so a chance hit lets a key too many through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.zeros(1 << bits, bool)
+        partial = Partial(bits)
         for b in batches:
-            marks[_cells(b.column(0).to_numpy(zero_copy_only=False), bits)] = True
-        for c in range(0, 1 << bits, _CHUNK):
-            if marks[c : c + _CHUNK].any():
-                yield pa.RecordBatch.from_pydict({"part": [c // _CHUNK], "bits": [np.packbits(marks[c : c + _CHUNK]).tobytes()]})
+            partial.add(0, _cells(b.column(0).to_numpy(zero_copy_only=False), bits))
+            yield from partial.batches(False)
+        yield from partial.batches()
 
-    parts = keys.mapInArrow(run, "part long, bits binary")
-    for way in (64, 1):  # in two steps, so that no task gets a chunk of every partition
-        parts = parts.withColumn("way", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(way))).groupBy("part", "way").applyInArrow(_union, "part long, bits binary")
-    whole = np.zeros((1 << bits) // 8, np.uint8)
-    for part, marks in parts.toLocalIterator():
-        whole[part * _CHUNK // 8 : (part + 1) * _CHUNK // 8] = np.frombuffer(marks, np.uint8)
-    return whole.tobytes()
+    return marks(keys.mapInArrow(run, SCHEMA), keys.rdd.getNumPartitions(), 1, bits, 1)[0]
 
 
 def _cells(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys.astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def in_map(marks: bytes, keys: np.ndarray) -> np.ndarray:
+def in_map(bits: bytes, keys: np.ndarray) -> np.ndarray:
     """Which keys the bit map has."""
-    packed = np.frombuffer(marks, np.uint8)
-    at = _cells(keys, len(packed).bit_length() + 2)
-    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    return marked(bits, _cells(keys, len(bits).bit_length() + 2))
 
 
 def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:

@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.llm.sketch import SCHEMA, Partial, marked, marks
 from tracelake.session import written
 
 MIN_CHARS, CORE = 300, 100
 SPREAD = MIN_CHARS - CORE + 1
 FAN = 64
-CELLS_PER_WINDOW, MAX_BITS, CHUNK, MERGE = 8, 28, 1 << 16, 32
+CELLS_PER_WINDOW, MAX_BITS = 8, 28
 _SEGMENT = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 21) - 1)
@@ -101,34 +102,6 @@ def _rows_of(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(64 - bits)) & mask).astype(np.int64)
 
 
-def _sketches(texts: DataFrame, text: str, bits: int) -> DataFrame:
-    """Sketch of each partition, in chunks: counters stop at 2, all that the filter asks for."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = [np.zeros(1 << bits, np.uint8) for _ in range(2)]
-        for batch in batches:
-            for _, _, ends, at, h in _windows(batch.column(0)):
-                owner = np.searchsorted(ends, at, "right")
-                keep = np.unique(np.stack([h, owner.astype(np.uint64)]), axis=1)[0] if len(h) else h
-                for cells, index in zip(once, _rows_of(keep, bits)):
-                    cell, n = np.unique(index, return_counts=True)
-                    cells[cell] = np.minimum(cells[cell] + np.minimum(n, 2), 2)
-        for k, cells in enumerate(once):
-            for c in range(0, 1 << bits, CHUNK):
-                if (part := cells[c : c + CHUNK]).any():
-                    yield pa.RecordBatch.from_pydict({"part": [k * (1 << MAX_BITS) // CHUNK + c // CHUNK], "cells": [part.tobytes()]})
-
-    return texts.select(text).mapInArrow(run, "part long, cells binary")
-
-
-def _add(key: tuple, table: pa.Table) -> pa.Table:
-    total = np.zeros(0, np.uint8)
-    for x in table.column("cells"):
-        now = np.frombuffer(x.as_buffer(), np.uint8)
-        total = now if not len(total) else np.minimum(total + now, 2)
-    return pa.table({"part": [key[0].as_py()], "cells": [total.tobytes()]}, schema=pa.schema([("part", pa.int64()), ("cells", pa.binary())]))
-
-
 def repeated_cells(texts: DataFrame, text: str) -> tuple[int, list[bytes]]:
     """Width of the merged sketch and, of each of its two rows, a bit for every counter that reached two.
 
@@ -136,23 +109,20 @@ def repeated_cells(texts: DataFrame, text: str) -> tuple[int, list[bytes]]:
     """
     size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = int(np.clip(np.ceil(np.log2(max(1.0, size * 2 / SPREAD * CELLS_PER_WINDOW))), 16, MAX_BITS))
-    sketch = _sketches(texts, text, bits)
-    fan = texts.rdd.getNumPartitions()
-    while fan > MERGE:  # a tree: no task sees more than MERGE chunks of one place
-        fan = -(-fan // MERGE)
-        sketch = sketch.withColumn("way", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(fan))).groupBy("part", "way").applyInArrow(_add, "part long, cells binary")
-    merged = sketch.groupBy("part").applyInArrow(_add, "part long, cells binary")
 
-    def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            marks = [np.packbits(np.frombuffer(x.as_buffer(), np.uint8) >= 2).tobytes() for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks, pa.binary())], ["part", "marks"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partial = Partial(bits)
+        for batch in batches:
+            for _, _, ends, at, h in _windows(batch.column(0)):
+                owner = np.searchsorted(ends, at, "right")
+                once = np.unique(np.stack([h, owner.astype(np.uint64)]), axis=1)[0] if len(h) else h
+                for row, cells in enumerate(_rows_of(once, bits)):
+                    partial.add(row, cells)
+            yield from partial.batches(False)
+        yield from partial.batches()
 
-    found = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(2)]
-    for part, marks in merged.mapInArrow(twice, "part long, marks binary").toLocalIterator():
-        k, c = divmod(part, (1 << MAX_BITS) // CHUNK)
-        found[k][c * CHUNK // 8 : c * CHUNK // 8 + len(marks)] = np.frombuffer(marks, np.uint8)
-    return bits, [x.tobytes() for x in found]
+    source = texts.select(text)
+    return bits, marks(source.mapInArrow(run, SCHEMA), source.rdd.getNumPartitions(), 2, bits, 2)
 
 
 def _char_start(data: np.ndarray) -> np.ndarray:
@@ -166,12 +136,11 @@ def candidates(texts: DataFrame, key: str, text: str) -> DataFrame:
     ``around`` are the bytes near the core, ``before`` of them ahead of it.
     """
     spark = texts.sparkSession
-    bits, marks = repeated_cells(texts, text)
-    sent = spark.sparkContext.broadcast(marks)
+    bits, repeated = repeated_cells(texts, text)
+    sent = spark.sparkContext.broadcast(repeated)
     key_type = texts.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = (np.frombuffer(x, np.uint8) for x in sent.value)
         for batch in batches:
             keys, column = batch.column(0), batch.column(1)
             data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
@@ -181,7 +150,7 @@ def candidates(texts: DataFrame, key: str, text: str) -> DataFrame:
             starts: dict[int, np.ndarray | None] = {}
             for base, row, ends, at, h in _windows(column):
                 a, b = _rows_of(h, bits)
-                hit = ((first[a >> 3] >> (7 - (a & 7)).astype(np.uint8)) & (second[b >> 3] >> (7 - (b & 7)).astype(np.uint8)) & 1).astype(bool)
+                hit = marked(sent.value[0], a) & marked(sent.value[1], b)
                 for p, x, r in zip((at[hit] + base).tolist(), h[hit].view(np.int64).tolist(), (np.searchsorted(ends, at[hit], "right") + row).tolist()):
                     lo, hi = int(offsets[r]), int(offsets[r + 1])
                     if r not in entity:
