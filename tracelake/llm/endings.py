@@ -132,22 +132,24 @@ def _class(word: str) -> int:
     return xxhash.xxh3_64_intdigest("N" if word[0].isupper() and len(word) > 3 else word.lower())
 
 
+_START = xxhash.xxh3_64_intdigest("\x02start")
+_NEWLINE = xxhash.xxh3_64_intdigest("\n")
+
+
 class _Classes(dict):
-    """Classes by token; ``fresh`` gets the tokens not seen before."""
+    """Number of each token; ``hashes`` has the class of each number, ``fresh`` the tokens not seen before."""
 
     def __init__(self) -> None:
+        self.hashes: list[int] = [_START]
         self.fresh: list[str] = []
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
         self.fresh.append(word)
-        self[word] = h = _class(word)
-        return h
+        self[word] = n = len(self.hashes)
+        self.hashes.append(_class(word))
+        return n
 
 
-_START = xxhash.xxh3_64_intdigest("\x02start")
-_NEWLINE = xxhash.xxh3_64_intdigest("\n")
 _WEIGHTS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 3) ** 5) & _MASK | 1 for k in range(ORDERS)], np.uint64)
 
 
@@ -174,20 +176,26 @@ def _letter_keys(word: str) -> list[int]:
     return [xxhash.xxh3_64_intdigest("\x01" + marked[-n:]) for n in range(2, LETTERS + 1) if n <= len(marked)]
 
 
-def tail_keys(body: str) -> list[int]:
-    """Keys of the contexts at the end of a text: tokens from one to ORDERS, then letters; 0 where there is none."""
-    near = body[-600:]
-    found = _TOKEN.findall(near)
-    if len(near) == len(body):
-        hashes = [_START, *map(_class, found[-ORDERS:])]
-    else:
+def tail_keys(bodies: list[str]) -> np.ndarray:
+    """Keys of the contexts at the end of each text: tokens from one to ORDERS, then letters; 0 where there is none."""
+    last = np.zeros((len(bodies), ORDERS), np.uint64)
+    size = np.zeros(len(bodies), np.int64)
+    out = np.zeros((len(bodies), ORDERS + LETTERS - 1), np.uint64)
+    for i, body in enumerate(bodies):
+        near = body[-600:]
+        found = _TOKEN.findall(near)
         hashes = [_class(w) for w in found[-ORDERS:]]
-    hashes = hashes[-ORDERS:]
-    keys = [int(k[-1]) for k in _contexts(np.array(hashes, np.uint64))[: len(hashes)]]
-    keys += [0] * (ORDERS - len(keys))
-    word = found[-1] if found else ""
-    letters = _letter_keys(word) if word and word[0].isalpha() and not "一" <= word[0] <= "鿿" and body.endswith(word) else []
-    return [x - (1 << 63) if x else 0 for x in keys + letters + [0] * (LETTERS - 1 - len(letters))]
+        if len(near) == len(body) and len(hashes) < ORDERS:
+            hashes.insert(0, _START)
+        size[i] = len(hashes)
+        last[i, ORDERS - len(hashes) :] = hashes
+        word = found[-1] if found else ""
+        if word and word[0].isalpha() and not "一" <= word[0] <= "鿿" and body.endswith(word):
+            own = _letter_keys(word)
+            out[i, ORDERS : ORDERS + len(own)] = own
+    for k, keys in enumerate(_contexts(last.ravel())):
+        out[:, k] = np.where(size > k, keys[ORDERS - 1 :: ORDERS], 0)
+    return np.where(out != 0, out - np.uint64(1 << 63), 0).view(np.int64)
 
 
 def tails(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -199,13 +207,14 @@ def tails(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            state, ends, kept = [], [], []
-            for t in b.column(len(keys)).to_pylist():
-                s, body = structure(t)
-                state.append(s)
-                ends.append(tail_keys(body) if s == OPEN else None)
-                kept.append(t if s != COMPLETE else None)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(state, pa.int32()), pa.array(ends, pa.list_(pa.int64())), pa.array(kept, pa.string())], [*keys, "state", "ends", "text"])
+            texts_ = b.column(len(keys)).to_pylist()
+            found = [structure(t) for t in texts_]
+            state = np.array([s for s, _ in found], np.int32)
+            ends = tail_keys([body for s, body in found if s == OPEN])
+            offsets = np.concatenate([[0], np.cumsum(state == OPEN) * ends.shape[1]]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ends.ravel()), mask=pa.array(state != OPEN))
+            kept = [t if s != COMPLETE else None for t, s in zip(texts_, state)]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(state), lists, pa.array(kept, pa.string())], [*keys, "state", "ends", "text"])
 
     return texts.where(F.col(text).isNotNull()).select(*keys, text).mapInArrow(run, f"{types}, state int, ends array<long>, text string")
 
@@ -253,16 +262,19 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(np.bincount(of, minlength=len(distinct))), pa.array(np.bincount(of, weights=ends, minlength=len(distinct)).astype(np.int64))], ["context", "n", "n_end"])
 
         for b in batches:
-            hashes: list[int] = []
+            numbers: list[int] = []
             lasts: list[int] = []
+            last_hashes: list[int] = []
             for t in b.column(0).to_pylist():
                 if found := _TOKEN.findall(_without_note(t)):
-                    hashes.append(_START)
-                    hashes.extend([classes[w] for w in found[:-1]])
-                    hashes.append(_class(found[-1]))  # a last word may be cut: it tells nothing of words
-                    lasts.append(len(hashes) - 1)
-            if hashes:
-                row = np.array(hashes, np.uint64)
+                    numbers.append(0)
+                    numbers.extend([classes[w] for w in found[:-1]])
+                    lasts.append(len(numbers))
+                    numbers.append(0)
+                    last_hashes.append(_class(found[-1]))  # a last word may be cut: it tells nothing of words
+            if numbers:
+                row = np.array(classes.hashes, np.uint64)[np.array(numbers, np.int32)]
+                row[lasts] = last_hashes
                 end = np.zeros(len(row), bool)
                 end[lasts] = True
                 end[:-1] |= row[1:] == np.uint64(_NEWLINE)
@@ -281,6 +293,8 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
                         letters += own
                         stops += [j == len(w)] * len(own)
             classes.fresh.clear()
+            if len(classes) > 500_000:
+                classes = _Classes()
             if letters:
                 take(np.array(letters, np.uint64), np.array(stops, bool))
             if sum(len(k) for k, _ in held) > 4_000_000:
