@@ -80,7 +80,7 @@ def test_audit(spark):
     assert [r[0] for r in df.select(A.command_verdict(F.col("c"), cwd="/work")).collect()] == list(rows.values())
     assert [r[0] for r in df.select(A.command_verdict(F.col("c"), ["^ls"])).collect()] == ["dangerous", "ok", "not_allowed", "not_allowed", "not_allowed", None]
     one = spark.range(1).select(A.unsafe_code(F.lit("os.system('x')")), A.unsafe_code(F.lit("print(1)")), A.valid_url(F.lit("https://a.b/c")), A.valid_url(F.lit("ftp://a")), A.without_base64(F.lit("x data:image/png;base64,AAAA= y")), A.image_references(F.lit("[image viewed * 1] saved /a/b.png b.png /a/b.png")), A.image_references(F.lit("/a/b.png")), A.code_blocks(F.lit("```python\nx\n```")), F.size(A.json_array_in(F.lit('so ```json\n[1, {"a": 2}]\n```'))), A.json_array_in(F.lit("[1"))).first()
-    assert one[:4] == (True, False, True, False) and one[4] == "x data:image/png;base64,<base64>y" and one[5] == ["/a/b.png", "b.png"] and one[6] == [] and one[7] == ["x\n"] and one[8] == 2 and one[9] is None
+    assert one[:4] == (True, False, True, False) and one[4] == "x data:image/png;base64,<base64> y" and one[5] == ["/a/b.png", "b.png"] and one[6] == [] and one[7] == ["x\n"] and one[8] == 2 and one[9] is None
 
 
 def test_settings(monkeypatch):

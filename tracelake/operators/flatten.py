@@ -329,7 +329,7 @@ def node_paths(table: DataFrame, key: str, column: str, json_text: bool = False)
                 if len(level.root):
                     yield pa.RecordBatch.from_arrays([keys.take(pa.array(level.root)).cast(pa.string()), level.path.cast(pa.string())], ["root_id", "node_path"])
 
-    rows = table.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).cast("string").alias("key"), column)
+    rows = table.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(column).alias("value"))
     return rows.mapInArrow(run, "root_id string, node_path string").distinct()
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,6 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
     return jsc.getCheckpointDir().get().rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tracelake/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder as a table and read it back.
 
@@ -52,27 +55,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     they are compressed and columnar, so a later pass reads only the columns it needs.
     """
     spark = df.sparkSession
-    at = f"{shared_dir(spark)}/tracelake/{name}-{uuid.uuid4().hex}"
+    at = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
-def dropped(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`written` that nothing reads any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        if "/tracelake/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One parquet table of a folder."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def clear_written(spark: SparkSession) -> None:
+    """Delete the tables that :func:`written` made for this application, once no result that reads them is needed."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_of(spark: SparkSession) -> str:
     """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), "tracelake", uuid.uuid4().hex)
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
