@@ -170,10 +170,32 @@ def _contexts(hashes: np.ndarray) -> list[np.ndarray]:
     return keys
 
 
-def _letter_keys(word: str) -> list[int]:
-    """Keys of the last 2, 3, ... letters, a mark for the begin of the word included."""
-    marked = "^" + word
-    return [xxhash.xxh3_64_intdigest("\x01" + marked[-n:]) for n in range(2, LETTERS + 1) if n <= len(marked)]
+def _letter_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each letter of each word the keys of the last 2, 3, ... letters up to it, a mark before the word included.
+
+    Gives a column for each number of letters (0 where the word is shorter), whether the letter ends its word, and the
+    row of each word's last letter.
+    """
+    codes = np.frombuffer(("\x01" + "\x01".join(words) + "\x01").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    mark = codes == 1
+    begins = np.maximum.accumulate(np.where(mark, np.arange(len(codes)), 0))
+    place = np.arange(len(codes)) - begins  # letters since the mark
+    mixed = _mixed(codes + np.uint64(7))
+    keys = np.zeros((LETTERS - 1, len(codes)), np.uint64)
+    total = np.zeros(len(codes), np.uint64)
+    for k in range(LETTERS):
+        shifted = np.zeros(len(codes), np.uint64)
+        shifted[k:] = mixed[: len(codes) - k]
+        total = total + shifted * _WEIGHTS[k]
+        if k:
+            keys[k - 1] = np.where(place >= k, _mixed(total + np.uint64(100 + k)) | np.uint64(1), 0)
+    letter = ~mark
+    ends = np.append(mark[1:], True)[letter]
+    return keys[:, letter], ends, np.flatnonzero(ends)
+
+
+def _lettered(word: str) -> bool:
+    return bool(word) and word[0].isalpha() and not "一" <= word[0] <= "鿿"
 
 
 def tail_keys(bodies: list[str]) -> np.ndarray:
@@ -181,6 +203,7 @@ def tail_keys(bodies: list[str]) -> np.ndarray:
     last = np.zeros((len(bodies), ORDERS), np.uint64)
     size = np.zeros(len(bodies), np.int64)
     out = np.zeros((len(bodies), ORDERS + LETTERS - 1), np.uint64)
+    words, rows = [], []
     for i, body in enumerate(bodies):
         near = body[-600:]
         found = _TOKEN.findall(near)
@@ -190,9 +213,12 @@ def tail_keys(bodies: list[str]) -> np.ndarray:
         size[i] = len(hashes)
         last[i, ORDERS - len(hashes) :] = hashes
         word = found[-1] if found else ""
-        if word and word[0].isalpha() and not "一" <= word[0] <= "鿿" and body.endswith(word):
-            own = _letter_keys(word)
-            out[i, ORDERS : ORDERS + len(own)] = own
+        if _lettered(word) and body.endswith(word):
+            words.append(word)
+            rows.append(i)
+    if words:
+        keys, _, ends = _letter_keys(words)
+        out[rows, ORDERS:] = keys[:, ends].T
     for k, keys in enumerate(_contexts(last.ravel())):
         out[:, k] = np.where(size > k, keys[ORDERS - 1 :: ORDERS], 0)
     return np.where(out != 0, out - np.uint64(1 << 63), 0).view(np.int64)
@@ -285,18 +311,13 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
                     if k == 0:
                         inside = inside & (place > 0)
                     take(keys[inside], end[inside])
-            letters, stops = [], []
-            for w in classes.fresh:
-                if w[0].isalpha() and not "一" <= w[0] <= "鿿":
-                    for j in range(1, len(w) + 1):
-                        own = _letter_keys(w[:j])
-                        letters += own
-                        stops += [j == len(w)] * len(own)
+            if words := [w for w in classes.fresh if _lettered(w)]:
+                keys, stops, _ = _letter_keys(words)
+                for own in keys:
+                    take(own[own != 0], stops[own != 0])
             classes.fresh.clear()
             if len(classes) > 500_000:
                 classes = _Classes()
-            if letters:
-                take(np.array(letters, np.uint64), np.array(stops, bool))
             if sum(len(k) for k, _ in held) > 4_000_000:
                 yield told()
         yield told()

@@ -77,9 +77,9 @@ def _add(key: tuple, table: pa.Table) -> pa.Table:
 def marks(partials: DataFrame, partitions: int, rows: int, bits: int, least: int) -> list[bytes]:
     """For each row of the merged sketch a bit for every counter that reached ``least``: of fixed size, for the driver."""
     fan = partitions
-    while fan > FAN:  # a tree: a task sees about FAN chunks of one place
+    while fan > FAN:  # a tree: a task sees about FAN chunks of one place; the way is by content, so that a task run again agrees
         fan = -(-fan // FAN)
-        partials = partials.withColumn("way", F.pmod(F.xxhash64("cells", F.monotonically_increasing_id()), F.lit(fan))).groupBy("part", "way").applyInArrow(_add, SCHEMA)
+        partials = partials.withColumn("way", F.pmod(F.xxhash64("cells"), F.lit(fan))).groupBy("part", "way").applyInArrow(_add, SCHEMA)
     merged = partials.groupBy("part").applyInArrow(_add, SCHEMA)
 
     def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
