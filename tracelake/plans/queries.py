@@ -109,8 +109,9 @@ v as (select w.*, n.no_tool, w.with_tool - n.no_tool as gain, case when w.with_t
 
 
 def _verdicts(spark, folder):
-    results = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", "item_id", "source_dataset", "score_avg", "n_tool_calls", "samples").dropDuplicates(["task_key"])
-    with_tool = results.groupBy("item_id").agg(F.max("score_avg").alias("with_tool"), F.max("n_tool_calls").cast("long").alias("tool_calls"), F.max(F.size("samples") > 0).alias("has_trace"), F.min("source_dataset").alias("source_dataset"))
+    # of the samples only one leaf is read, enough for their number
+    results = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", "item_id", "source_dataset", "score_avg", "n_tool_calls", F.size("samples.sample_index").alias("n_samples")).dropDuplicates(["task_key"])
+    with_tool = results.groupBy("item_id").agg(F.max("score_avg").alias("with_tool"), F.max("n_tool_calls").cast("long").alias("tool_calls"), F.max(F.col("n_samples") > 0).alias("has_trace"), F.min("source_dataset").alias("source_dataset"))
     no_tool = _progress(spark, folder).where("item_key like 'id:%' and avg_k is not null").select(F.expr("substring(item_key, 4)").alias("item_id"), F.col("avg_k").alias("no_tool"))
     return S.gain_verdicts(with_tool, no_tool, least_gain=0.1, most_no_tool=0.75, least_with_tool=0.25)
 
@@ -205,8 +206,8 @@ def majority_vote(spark, folder):
 
 @query(f"with {_RES}, x as (select task_key, list_sort(list_filter(list_transform(samples, lambda s: s.score), lambda v: v is not null)) as v from t where samples is not null) select task_key, case when len(v) > 0 then v[len(v) // 2 + 1] end as median_score from x")
 def median_vote(spark, folder):
-    rows = _t(spark, folder, "task_results").where("task_key is not null and samples is not null").select("task_key", "samples").dropDuplicates(["task_key"])
-    return rows.select("task_key", K.upper_median(F.transform("samples", lambda s: s["score"])).alias("median_score"))
+    rows = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", F.col("samples.score").alias("scores")).where("scores is not null").dropDuplicates(["task_key"])
+    return rows.select("task_key", K.upper_median(F.col("scores")).alias("median_score"))
 
 
 @query("with x as (select l_orderkey, l_discount * 10 as s from lineitem), y as (select l_orderkey, case when s <= 0.125 then 0.0 when s <= 0.375 then 0.25 when s <= 0.625 then 0.5 when s <= 0.875 then 0.75 else 1.0 end::double as g from x) select l_orderkey, round(avg(g), 6) as component_mean from y group by l_orderkey")
