@@ -138,9 +138,14 @@ def test_sft_messages(spark):
 
 def test_text_conversion(spark):
     one = spark.range(1).select(
-        C.prompt_text(F.lit("A \n\n---\n\nB")), C.prompt_text(F.lit('[{"type": "text", "text": "P"}]')), C.without_hint(F.lit("[Image file paths — use these in scripts]\n- /a\n- /b\n\nQ")), C.safe_name(F.lit("a/b c")), C.virtual_paths(F.lit("/h/x.png"), F.lit("/h")), R.truncated_text(F.lit("abcd"), 3), S.item_key(F.lit(None).cast("string"), F.lit(4))
+        C.prompt_text(F.lit("A \n\n---\n\nB")), C.prompt_text(F.lit('[{"type": "text", "text": "P"}]')), C.without_hint(F.lit("[Image file paths — use these in scripts]\n- /a\n- /b\n\nQ")), C.safe_name(F.lit(" a/b c ")), C.virtual_paths(F.lit("/h/x.png"), F.lit("/h")), R.truncated_text(F.lit("abcd"), 3), S.item_key(F.lit(None).cast("string"), F.lit(4))
     ).first()
-    assert one[:] == ("A", "P", "Q", "a_b_c", "/mnt/data/x.png", "abc\n... (truncated)", "index:4")
+    assert one[:] == ("A", "P", "Q", "a_b c", "/mnt/data/x.png", "abc\n... [truncated 1 chars]", "index:4")
+
+
+def test_task_key(spark):
+    one = spark.range(1).select(C.task_key(F.lit("a b/"), F.lit("7")), C.task_key(F.lit(None).cast("string"), F.lit("7")), C.task_key(F.lit("//"), F.lit("7"))).first()
+    assert one[:] == ("a_b_7", "dataset_7", "dataset_7")
 
 
 def test_chunks():

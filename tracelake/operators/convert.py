@@ -70,9 +70,11 @@ def virtual_paths(text: Column, root: Column) -> Column:
 
 
 def safe_name(text: Column) -> Column:
-    """Characters that file names can't hold become underscores."""
-    return F.regexp_replace(text, r'[<>:"/\\|?*\s]', "_")
+    """Characters that file names can't hold become underscores; no blanks at the ends."""
+    return F.regexp_replace(F.regexp_replace(text, r'[<>:"/\\|?*]', "_"), r"^\s+|\s+$", "")
 
 
 def task_key(source: Column, item: Column) -> Column:
-    return F.regexp_replace(F.concat_ws("_", source, item), r"[^A-Za-z0-9_.-]", "_")
+    """Cleaned source and item id; a missing or empty source is "dataset"."""
+    clean = F.regexp_replace(F.regexp_replace(F.coalesce(F.nullif(source, F.lit("")), F.lit("dataset")), r"[^A-Za-z0-9_.-]+", "_"), r"^_+|_+$", "")
+    return F.concat(F.coalesce(F.nullif(clean, F.lit("")), F.lit("dataset")), F.lit("_"), item.cast("string"))

@@ -85,9 +85,12 @@ def saved_paths(text: Column) -> Column:
     return F.filter(F.regexp_extract_all(text, F.lit(r"(?i)saved to: (\S+)"), 1), lambda p: F.lower(p).rlike(r"\.(png|jpg|jpeg|gif|bmp|webp)$"))
 
 
-def truncated_text(text: Column, most: int, mark: str = "\n... (truncated)") -> Column:
-    """At most ``most`` characters and a mark."""
-    return F.when(F.char_length(text) > most, F.concat(F.substring(text, 1, most), F.lit(mark))).otherwise(text)
+def truncated_text(text: Column, most: int) -> Column:
+    """At most ``most`` characters and a note of how many are left out; all of it if ``most`` isn't positive."""
+    if most <= 0:
+        return text
+    note = F.concat(F.lit("\n... [truncated "), (F.char_length(text) - most).cast("string"), F.lit(" chars]"))
+    return F.when(F.char_length(text) > most, F.concat(F.substring(text, 1, most), note)).otherwise(text)
 
 
 def chunked(text: Column, most: int = 2000) -> Column:

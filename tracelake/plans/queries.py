@@ -316,7 +316,7 @@ def history_window(spark, folder):
     return R.history_window(_events(spark, folder).where("session_key is not null"), 10)
 
 
-@query(f"with {_EV} select session_key, event_id, row_number() over (partition by session_key order by event_id) as observation_no, case when length(content) > 4000 then substr(content, 1, 4000) || '\n... (truncated)' else content end as observation from ev where r = 'tool' and coalesce(content, '') <> '' and session_key is not null")
+@query(f"with {_EV} select session_key, event_id, row_number() over (partition by session_key order by event_id) as observation_no, case when length(content) > 4000 then substr(content, 1, 4000) || chr(10) || '... [truncated ' || (length(content) - 4000) || ' chars]' else content end as observation from ev where r = 'tool' and coalesce(content, '') <> '' and session_key is not null")
 def observation_numbering(spark, folder):
     rows = _events(spark, folder).where("role = 'tool' and coalesce(content, '') <> '' and session_key is not null")
     return R.numbered(rows.select("session_key", "event_id", "content")).select("session_key", "event_id", "observation_no", R.truncated_text(F.col("content"), 4000).alias("observation"))
@@ -480,10 +480,11 @@ def literal_overlap(spark, folder):
     return rows.select("task_key", ((F.char_length(F.trim("answer")) >= 3) & F.contains("pred", F.trim("answer"))).alias("literal"))
 
 
+_WORD = H.WORD.replace("'", "''")
 _STOP = ", ".join(f"'{w}'" for w in H.BOILERPLATE)
 
 
-@query(f"with {_RES}, x as (select task_key, list_distinct(list_filter(list_transform(regexp_extract_all(pred, '[A-Za-z0-9]+'), lambda w: lower(w)), lambda w: length(w) >= 3 and w not in ({_STOP}))) as p, list_distinct(list_filter(list_transform(regexp_extract_all(gt, '[A-Za-z0-9]+'), lambda w: lower(w)), lambda w: length(w) >= 3 and w not in ({_STOP}))) as g from t where pred is not null and gt is not null) select task_key, case when len(g) = 0 then 1.0 else round(len(list_intersect(p, g)) / len(g), 6) end as recall from x")
+@query(f"with {_RES}, x as (select task_key, list_distinct(list_filter(list_transform(regexp_extract_all(pred, '{_WORD}'), lambda w: lower(w)), lambda w: length(w) >= 3 and w not in ({_STOP}))) as p, list_distinct(list_filter(list_transform(regexp_extract_all(gt, '{_WORD}'), lambda w: lower(w)), lambda w: length(w) >= 3 and w not in ({_STOP}))) as g from t where pred is not null and gt is not null) select task_key, case when len(g) = 0 then 1.0 else round(len(list_intersect(p, g)) / len(g), 6) end as recall from x")
 def token_recall(spark, folder):
     rows = _t(spark, folder, "task_results").where("task_key is not null and pred is not null and gt is not null").select("task_key", "pred", "gt").dropDuplicates(["task_key"])
     return rows.select("task_key", F.round(H.set_recall(H.text_tokens(F.col("pred")), H.text_tokens(F.col("gt"))), 6).alias("recall"))
@@ -503,7 +504,7 @@ def html_rule_check(spark, folder):
     return stats.select("task_key", H.rule_check(F.col("page"), F.col("p"), F.col("g")).alias("c")).select("task_key", "c.*")
 
 
-@query("select doc_id, regexp_matches(text, '(?is)<(?:!doctype\\s+html|html|head|body|div|table|section)\\b') as is_html from documents where text is not null")
+@query("select doc_id, regexp_matches(text, '(?is)<\\s*(?:!doctype\\s+html|html|head|body|main|section|div)\\b') as is_html from documents where text is not null")
 def looks_like_html(spark, folder):
     return _t(spark, folder, "documents").where("text is not null").select("doc_id", H.looks_like_html(F.col("text")).alias("is_html"))
 
@@ -557,7 +558,7 @@ def coordinate_match(spark, folder):
     return parsed.select("task_key", F.exists("points", lambda p: G.point_in_box(G.unit_prediction(p[0], p[1]), held)).alias("hit"))
 
 
-@query("select doc_id, length(case when length(text) > 4000 then substr(text, 1, 4000) || '\n... (truncated)' else text end) as n, regexp_replace(run_id || '/' || coalesce(session_key, ''), '[<>:\"/\\\\|?*\\s]', '_', 'g') as safe, replace(text, '/mnt/data', '/work') = text as no_path, sha256(text) as digest from documents where text is not null and run_id is not null")
+@query("select doc_id, length(case when length(text) > 4000 then substr(text, 1, 4000) || chr(10) || '... [truncated ' || (length(text) - 4000) || ' chars]' else text end) as n, regexp_replace(run_id || '/' || coalesce(session_key, ''), '[<>:\"/\\\\|?*]', '_', 'g') as safe, replace(text, '/mnt/data', '/work') = text as no_path, sha256(text) as digest from documents where text is not null and run_id is not null")
 def text_plumbing(spark, folder):
     t = F.col("text")
     name = F.concat("run_id", F.lit("/"), F.coalesce("session_key", F.lit("")))
@@ -594,7 +595,7 @@ def longest_block(spark, folder):
     return _t(spark, folder, "task_results").where("task_key is not null and pred is not null").select("task_key", "pred").dropDuplicates(["task_key"]).select("task_key", H.longest_fenced(F.col("pred")).alias("block")).where("block is not null")
 
 
-@query(f"with {_RES}, n as (select task_key, regexp_extract(judge_raw, '(?:^|[^0-9.])(100(?:\\.0+)?|[0-9]{{1,2}}(?:\\.[0-9]+)?)(?:[^0-9.]|\\.(?:[^0-9]|$)|$)', 1) as s from t where judge_raw is not null) select task_key, try_cast(nullif(s, '') as double) as score from n")
+@query(f"with {_RES}, n as (select task_key, regexp_extract(judge_raw, '(?:^|[^0-9])(100(?:\\.0+)?|[1-9]?[0-9](?:\\.[0-9]+)?)(?:[^0-9]|$)', 1) as s from t where judge_raw is not null) select task_key, try_cast(nullif(s, '') as double) as score from n")
 def score_parse(spark, folder):
     rows = _t(spark, folder, "task_results").where("task_key is not null and judge_raw is not null").select("task_key", "judge_raw").dropDuplicates(["task_key"])
     return rows.select("task_key", H.score_in(F.col("judge_raw")).alias("score"))
