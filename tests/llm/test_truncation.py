@@ -77,3 +77,18 @@ def test_bands_reach_similar_texts(spark):
 
 def test_empty_table(spark):
     assert T.truncated(spark.createDataFrame([], "source_table string, record_id string, text string")).count() == 0
+
+
+def test_cut_copies_meet_every_longer_text(spark):
+    r = random.Random(8)
+    rows, expect = [], set()
+    for family in range(4):
+        words = [r.choice(WORDS) + str(r.randint(0, 50)) for _ in range(80)]
+        whole = " ".join(words) + "."
+        part = " ".join(words[:70])
+        # longer texts with most of the words that go on differently at the cut: one of them tops each band
+        rows += [" ".join([*words[:69], *(f"other{family}x{k}y{i}" for i in range(13))]) + "." for k in range(60)]
+        rows += [whole, part]
+        expect.add(part)
+    df = spark.createDataFrame([(x,) for x in rows], "text string")
+    assert {x.short for x in T.cut_copies(df, df).collect()} == expect

@@ -1,7 +1,8 @@
 """Texts cut off by field limits.
 
 Near-copies (word shingles of SHINGLE, similarity SIMILAR or more) are found through min-hash bands: each text that may be
-cut meets the longest text of each of its bands; other texts enter only the bands of such texts, chosen by a bit map. A verified pair is aligned by its words; the copy whose alignment ends early, inside a
+cut meets the texts of its bands that hold its last words further ahead, first the longest, then, if that doesn't settle it, all
+others; bit maps choose the bands and places that such texts ask for. A verified pair is aligned by its words; the copy whose alignment ends early, inside a
 sentence of the longer one, is flagged. Every record that this doesn't flag is scored by closing-word terminality
 (:mod:`tracelake.llm.endings`), so that a missed copy is still judged by its own end.
 """
@@ -21,11 +22,18 @@ from tracelake.llm.endings import COMPLETE, bit_map, in_map, judged, tails
 from tracelake.session import written
 
 SHINGLE, SIMILAR, BANDS, ROWS, BAND_BITS = 5, 0.8, 16, 4, 26
+#: Longer texts of one place that a task compares with at once.
+PART = 512
 _SPLIT = re.compile(r"\S+")
 _SALTS = np.random.default_rng(7).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(SHINGLE)], np.uint64)
 
 
+def _split(text: str) -> list[str]:
+    """Words of a text."""
+    return text.split()
+
+
 class _Words(dict):
     """Hash of a word."""
 
@@ -39,31 +47,31 @@ class _Words(dict):
 _words = _Words()
 
 
-def _shingles(texts: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Texts with enough words, where their shingles begin, and the shingles of all of them."""
+def _shingles(texts: list[str]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Texts with enough words, where their shingles begin, the shingles of all of them, and the shingles without their last word."""
     rows, lengths, hashes = [], [], []
     for i, t in enumerate(texts):
-        found = t.split()
+        found = _split(t)
         if len(found) >= SHINGLE:
             rows.append(i)
             lengths.append(len(found))
             hashes.extend([_words[w] for w in found])
     if not rows:
-        return rows, np.empty(0, np.int64), np.empty(0, np.uint64)
+        return rows, np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     words, size = np.array(hashes, np.uint64), np.array(lengths)
-    total = sum(words[k : len(words) - SHINGLE + 1 + k] * _POWERS[k] for k in range(SHINGLE))
+    anchors = sum(words[k : len(words) - SHINGLE + 1 + k] * _POWERS[k] for k in range(SHINGLE - 1))
+    total = anchors + words[SHINGLE - 1 :] * _POWERS[SHINGLE - 1]
     ends = np.cumsum(size)
     over = np.zeros(len(words) + 1, np.int8)  # windows that run into the next text
     np.add.at(over, ends - SHINGLE + 1, 1)
     np.add.at(over, ends, -1)
     inside = np.cumsum(over[: len(total)]) == 0
     begins = np.cumsum(size - SHINGLE + 1) - (size - SHINGLE + 1)
-    return rows, begins, total[inside]
+    return rows, begins, total[inside], anchors[inside]
 
 
-def _bands(texts: list[str]) -> tuple[list[int], np.ndarray]:
-    """Rows with enough words, and their bands (one row a band)."""
-    rows, begins, every = _shingles(texts)
+def _bands(rows: list[int], begins: np.ndarray, every: np.ndarray) -> np.ndarray:
+    """Bands (one row a band) of the texts that :func:`_shingles` gives."""
     out = np.zeros((BANDS, len(rows)), np.uint64)
     for k, salt in enumerate(_SALTS if rows else ()):
         h = every * salt
@@ -71,32 +79,78 @@ def _bands(texts: list[str]) -> tuple[list[int], np.ndarray]:
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
         out[k // ROWS] = (out[k // ROWS] ^ np.minimum.reduceat(h, begins)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)
-    return rows, out.view(np.int64)
+    return out.view(np.int64)
+
+
+def _version(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def _places(anchor: np.ndarray, words: list[str]) -> np.ndarray:
+    """Keys of an end behind the words of ``anchor`` and (a part of) one more."""
+    return (anchor ^ np.array([xxhash.xxh3_64_intdigest(w, 1) for w in words], np.uint64)).view(np.int64)
+
+
+def _joint(band: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Key of a band and a place."""
+    h = (band.view(np.uint64) ^ (place.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-def bands(texts: DataFrame, text: str, wanted: bytes | None = None) -> DataFrame:
+def bands(texts: DataFrame, text: str) -> DataFrame:
     """``band, size, version`` (length and hash of the text) for each band of each text of at least SHINGLE words.
 
-    With a bit map only its bands, and of each batch only the longest text of a band.
+    ``anchor`` and ``place`` tell how the text ends: its last SHINGLE - 1 words before the last one, and these with the last;
+    ``joint`` is band and place in one.
     """
-    sent = None if wanted is None else texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = b.column(0).to_pylist()
-            rows, out = _bands(own)
+            rows, begins, every, anchors = _shingles(own)
+            out = _bands(rows, begins, every)
             size = np.array([len(own[i]) for i in rows], np.int32)
-            version = np.array([xxhash.xxh3_64_intdigest(own[i]) - (1 << 63) for i in rows], np.int64)
-            band, of = out.ravel(), np.tile(np.arange(len(rows)), BANDS)
-            if sent is not None:
-                hit = in_map(sent.value, band)
-                band, of = band[hit], of[hit]
-                order = np.lexsort((version[of], size[of], band))
-                last = order[np.append(band[order][1:] != band[order][:-1], True)] if len(order) else order
-                band, of = band[last], of[last]
-            yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(size[of]), pa.array(version[of])], ["band", "size", "version"])
+            version = np.array([_version(own[i]) for i in rows], np.int64)
+            anchor = anchors[np.append(begins[1:], len(anchors)) - 1] if rows else anchors
+            place = _places(anchor, [_split(own[i])[-1] for i in rows])
+            of = np.tile(np.arange(len(rows)), BANDS)
+            cols = [out.ravel(), size[of], version[of], anchor.view(np.int64)[of], place[of], _joint(out.ravel(), place[of])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["band", "size", "version", "anchor", "place", "joint"])
 
-    return texts.select(text).mapInArrow(run, "band long, size int, version long")
+    return texts.select(text).mapInArrow(run, "band long, size int, version long, anchor long, place long, joint long")
+
+
+def holders(texts: DataFrame, text: str, wanted: list[bytes]) -> DataFrame:
+    """``joint, most, other`` (length and hash) for each place inside each text where a text of one of its bands may be cut.
+
+    Bit maps of the bands, anchors, places and joint keys asked for choose the rows. Behind its last word a text isn't cut.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = list(dict.fromkeys(b.column(0).to_pylist()))
+            rows, begins, every, anchors = _shingles(own)
+            asked = in_map(sent.value[0], (out := _bands(rows, begins, every)).ravel()).reshape(out.shape) if rows else np.empty((BANDS, 0), bool)
+            at = np.flatnonzero(in_map(sent.value[1], anchors.view(np.int64))) if rows else np.empty(0, np.int64)
+            of = np.searchsorted(begins, at, "right") - 1
+            near = asked.any(axis=0)[of] if rows else np.empty(0, bool)
+            last, found = -1, []
+            cols: list[list] = [[], [], []]
+            for x, r in zip(at[near].tolist(), of[near].tolist()):
+                if r != last:
+                    last, found = r, _split(own[rows[r]])
+                i = x - int(begins[r]) + SHINGLE - 1
+                places = _places(anchors[x : x + 1], [found[i][:n] for n in range(1, len(found[i]) + (i < len(found) - 1))])
+                if len(places) and (hit := in_map(sent.value[2], places)).any():
+                    band = out[asked[:, r], r]
+                    joint = np.unique(_joint(np.repeat(band, hit.sum()), np.tile(places[hit], len(band))))
+                    joint = joint[in_map(sent.value[3], joint)].tolist()
+                    for col, v in zip(cols, (joint, [len(own[rows[r]])] * len(joint), [_version(own[rows[r]])] * len(joint))):
+                        col.extend(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int64()))], ["joint", "most", "other"])
+
+    return texts.select(text).mapInArrow(run, "joint long, most int, other long")
 
 
 def ends_early(short: str, long: str) -> bool:
@@ -120,27 +174,41 @@ def ends_early(short: str, long: str) -> bool:
 
 def cut_copies(open_texts: DataFrame, texts: DataFrame, text: str = "text") -> DataFrame:
     """``short``: the distinct texts of ``open_texts`` that are cut-off near-copies of one in ``texts``."""
-    asked = bands(open_texts.select(text).where(F.col(text).isNotNull()).distinct(), text)
-    every = bands(texts.where(F.col(text).isNotNull()), text, bit_map(asked.select("band"), BAND_BITS))
-    longest = every.groupBy("band").agg(F.max(F.struct("size", "version")).alias("top")).select("band", F.col("top.size").alias("most"), F.col("top.version").alias("other"))
-    pairs = written(asked.join(longest, "band").where("most > size").select("version", "other").distinct(), "pairs")
+    asked = written(bands(open_texts.select(text).where(F.col(text).isNotNull()).distinct(), text), "asked")
+    maps = [bit_map(asked.select(x), BAND_BITS) for x in ("band", "anchor", "place", "joint")]
+    every = written(holders(texts.where(F.col(text).isNotNull()), text, maps).distinct(), "holders")
+    keys = ["joint"]
+    longest = every.groupBy(*keys).agg(F.max(F.struct("most", "other")).alias("top")).select(*keys, "top.*")
+    first = written(asked.join(longest, keys).where("most > size").select("version", "other").distinct(), "pairs")
+    settled = written(_verified(first, texts, text), "settled")
+    # what the longest text of a place doesn't settle meets all of its place, in parts of at most PART
+    parts = every.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    rest = asked.join(settled, "version", "left_anti").join(parts, keys).select(*keys, "size", "version", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    parted = every.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("other"), F.col("parts")).cast("int"))
+    others = rest.join(parted, [*keys, "part"]).where("most > size").select("version", "other").distinct()
+    more = _verified(written(others.join(first, ["version", "other"], "left_anti"), "pairs"), texts, text)
+    return settled.select("short").unionByName(more.select("short")).distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, text: str) -> DataFrame:
+    """``version, short``: the texts of the pairs that end early in their ``other``."""
     # only texts of pairs are read again; the hash is that of bands()
     told = pairs.select(F.explode(F.array("version", "other")).alias("version")).distinct()
-    sided = _versioned(texts, text).join(told, "version").groupBy("version").agg(F.first("text").alias("text"))
-    sided = pairs.join(sided.select("version", F.col("text").alias("short")), "version").join(sided.select(F.col("version").alias("other"), F.col("text").alias("long")), "other").select("short", "long")
+    sided = written(_versioned(texts, text).join(told, "version").groupBy("version").agg(F.first("text").alias("text")), "sided")
+    both = pairs.join(sided.select("version", F.col("text").alias("short")), "version").join(sided.select(F.col("version").alias("other"), F.col("text").alias("long")), "other").select("version", "short", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [i for i, (x, y) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())) if ends_early(x.rstrip(), y)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64()))], ["short"])
+            keep = [i for i, (x, y) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())) if ends_early(x.rstrip(), y)]
+            yield b.select(["version", "short"]).take(pa.array(keep, pa.int64()))
 
-    return sided.mapInArrow(run, "short string").distinct()
+    return both.mapInArrow(run, "version long, short string").distinct()
 
 
 def _versioned(texts: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in b.column(0).to_pylist()], pa.int64()), b.column(0)], ["version", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array([_version(t) for t in b.column(0).to_pylist()], pa.int64()), b.column(0)], ["version", "text"])
 
     return texts.where(F.col(text).isNotNull()).select(text).mapInArrow(run, "version long, text string")
 
