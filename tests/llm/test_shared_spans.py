@@ -67,3 +67,15 @@ def test_very_long_text(spark):
     rows = [(1, long), (2, "q" + long[524_200:524_500] + "z" * 10), (3, long[1_299_000:]), (4, "nothing " * 30)]
     found = {tuple(x) for x in S.shared_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {(1, 2), (1, 3)}
+
+
+@pytest.mark.parametrize("fan", [64, 2])
+def test_shares_count_every_place_of_a_stretch(spark, monkeypatch, fan):
+    monkeypatch.setattr(S, "FAN", fan)
+    r = random.Random(7)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    header = word(320)
+    # other characters around it in each text
+    rows = [(k, (own := "klmnop"[k] * 50) + header + own + header + own) for k in range(6)] + [(74, "x" * 700), (75, "x" * 650)]
+    got = {x.doc_id: x.shared_chars for x in S.shared_shares(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{k: 640 for k in range(6)}, 74: 700, 75: 650}

@@ -263,7 +263,7 @@ def all_pairs(members: DataFrame, group: list[str], key: str, block: int = 512)
 @dataclass
 class SharedSpans:
     """``pieces``: spans found pairwise (``entity_a`` < ``entity_b``, character places, length around one window);
-    ``windows``: of windows with too many rows to compare, every MIN_CHARS-character window that several entities share;
+    ``windows``: of windows with too many rows to compare, each place of every MIN_CHARS-character window that several entities share;
     ``members``: the keys of each entity, an entity being all records with the same text."""
 
     pieces: DataFrame
@@ -272,8 +272,9 @@ class SharedSpans:
 
     def links(self) -> DataFrame:
         """Distinct pairs of entities; of a run of shared windows only its first makes pairs."""
-        first = self.windows.groupBy("window").agg(F.min("prior").alias("low"), F.max("prior").alias("high")).where("low <> high or low = -1").select("window")
-        hot = all_pairs(self.windows.join(first, "window"), ["window"], "entity")
+        held = self.windows.groupBy("window", "entity").agg(F.min("prior").alias("prior"))
+        first = held.groupBy("window").agg(F.min("prior").alias("low"), F.max("prior").alias("high")).where("low <> high or low = -1").select("window")
+        hot = all_pairs(held.join(first, "window"), ["window"], "entity")
         return self.pieces.select("entity_a", "entity_b").unionByName(hot.select(F.col("a").alias("entity_a"), F.col("b").alias("entity_b"))).distinct()
 
 
@@ -290,8 +291,8 @@ def shared_spans(texts: DataFrame, key: str = "doc_id", text: str = "text") -> S
     once = once.join(fan, "hash").drop("at")
     pieces = once.where(F.col("fan") <= FAN).drop("fan").repartition("hash").sortWithinPartitions("hash").mapInArrow(_compare, _SPAN)
     many = once.where(F.col("fan") > FAN).drop("fan").mapInArrow(_all_windows, "window binary, entity binary, start long, prior int")
-    many = many.groupBy("window", "entity").agg(F.min("start").alias("start"), F.min("prior").alias("prior"))
-    shared = many.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    many = many.distinct()
+    shared = many.groupBy("window").agg(F.min("entity").alias("least"), F.max("entity").alias("most")).where("least < most").select("window")
     return SharedSpans(pieces, many.join(shared, "window"), members)
 
 
