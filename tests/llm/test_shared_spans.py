@@ -79,3 +79,14 @@ def test_shares_count_every_place_of_a_stretch(spark, monkeypatch, fan):
     rows = [(k, (own := "klmnop"[k] * 50) + header + own + header + own) for k in range(6)] + [(74, "x" * 700), (75, "x" * 650)]
     got = {x.doc_id: x.shared_chars for x in S.shared_shares(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {**{k: 640 for k in range(6)}, 74: 700, 75: 650}
+
+
+@pytest.mark.parametrize("unit", ["-", " ", "ab", "0123456789" * 40])
+def test_pairs_of_periodic_text(spark, monkeypatch, unit):
+    monkeypatch.setattr(S, "FAN", 3)
+    r = random.Random(11)
+    word = lambda n: "".join(r.choice("mnopqrs") for _ in range(n))
+    run = (unit * 900)[:900] if len(unit) > 2 else (unit * 400)[:400]
+    rows = [(k, word(150) + run + word(150)) for k in range(5)]
+    found = {tuple(x) for x in S.shared_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute(rows) == {(a, b) for a in range(5) for b in range(a + 1, 5)}

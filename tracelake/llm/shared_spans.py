@@ -250,14 +250,14 @@ def all_pairs(members: DataFrame, group: list[str], key: str, block: int = 512)
     """Pairs (``a`` < ``b``) of the distinct keys of each group, for results that are defined as pairs.
 
     A group of n keys is cut into n / block parts, so that no task holds more than block * n of its pairs. A column
-    ``prior`` leaves out pairs that agree in it, unless it is -1.
+    ``prior`` leaves out pairs that agree in it, unless it is null.
     """
     prior = [F.col("prior").alias("prior_a")] if "prior" in members.columns else []
     sized = members.join(members.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("_parts")), group)
     left = sized.select(*group, F.col(key).alias("a"), F.pmod(F.xxhash64(key), F.col("_parts")).cast("int").alias("_part"), *prior)
     right = sized.select(*group, F.col(key).alias("b"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), *(x.alias("prior_b") for x in [F.col("prior")] if prior))
     # the key's hash names its part, so a pair meets exactly once
-    return left.join(right, [*group, "_part"]).where(F.col("a") < F.col("b")).where("prior_a <> prior_b or prior_a = -1" if prior else "true").select(*group, "a", "b")
+    return left.join(right, [*group, "_part"]).where(F.col("a") < F.col("b")).where("not (prior_a <=> prior_b) or prior_a is null" if prior else "true").select(*group, "a", "b")
 
 
 @dataclass
@@ -272,8 +272,10 @@ class SharedSpans:
 
     def links(self) -> DataFrame:
         """Distinct pairs of entities; of a run of shared windows only its first makes pairs."""
-        held = self.windows.groupBy("window", "entity").agg(F.min("prior").alias("prior"))
-        first = held.groupBy("window").agg(F.min("prior").alias("low"), F.max("prior").alias("high")).where("low <> high or low = -1").select("window")
+        # where a pair agrees in all characters before a window, it shares the windows one place ahead as well; at the leftmost that it shares it can't agree
+        own = F.array_sort(F.collect_set("prior"))
+        held = self.windows.groupBy("window", "entity").agg(F.when(F.min("prior") >= 0, F.array_join(own.cast("array<string>"), " ")).alias("prior"))
+        first = held.groupBy("window").agg(F.min("prior").alias("low"), F.max("prior").alias("high"), F.count_if(F.col("prior").isNull()).alias("open")).where("low <> high or open > 0").select("window")
         hot = all_pairs(held.join(first, "window"), ["window"], "entity")
         return self.pieces.select("entity_a", "entity_b").unionByName(hot.select(F.col("a").alias("entity_a"), F.col("b").alias("entity_b"))).distinct()
 
