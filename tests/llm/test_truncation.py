@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from tracelake.llm import endings as E
 from tracelake.llm import truncation as T
 from tracelake.llm.endings import COMPLETE, CUT, OPEN, structure
 
@@ -92,3 +93,14 @@ def test_cut_copies_meet_every_longer_text(spark):
         expect.add(part)
     df = spark.createDataFrame([(x,) for x in rows], "text string")
     assert {x.short for x in T.cut_copies(df, df).collect()} == expect
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_copies_of_a_cut_text_do_not_vouch_for_its_end(spark, copies):
+    r = random.Random(3)
+    whole = [" ".join(sentence(r) for _ in range(3)) for _ in range(400)]
+    cut = "The value label chart reads second line under after tool returned the"
+    whole += [f"{sentence(r)} They returned the {r.choice(WORDS[1:])} again." for _ in range(200)]
+    rows = [("t", str(k), x) for k, x in enumerate(whole)] + [("t", f"cut {k}", cut) for k in range(copies)]
+    df = spark.createDataFrame(rows, "source_table string, record_id string, text string")
+    assert {x.record_id for x in T.truncated(df).collect()} == {f"cut {k}" for k in range(copies)}

@@ -3,7 +3,7 @@
 What can be read off one text, an open thinking block, code fence, bracket, tag or JSON text, or a note that the rest was
 left out, decides alone. A text that ends without a closing mark is scored by the corpus: how often its last tokens are
 followed by an end of text or line (closing-word terminality, with shorter contexts where a longer one is rare), and how
-often a word ends after its last letters. The counts cover every token of every text; to keep them small only contexts in
+often a word ends after its last letters. The counts cover every token of every distinct text, without the end that is judged; to keep them small only contexts in
 which some open text ends are counted, chosen by a bit map of those contexts.
 """
 
@@ -338,9 +338,14 @@ def judged(texts: DataFrame, keys: list[str], text: str, ends: DataFrame | None
     ``keys`` must tell the rows apart; ``ends`` are their written tails, if there are any. Texts without a letter or digit are complete. An empty table gives no row.
     """
     ends = written(tails(texts, keys, text), "tails") if ends is None else ends
-    counts = context_counts(texts, text, bit_map(ends.select(F.explode("ends").alias("context"))))
-    asked = ends.where("ends is not null").select(*keys, F.posexplode("ends").alias("place", "context")).where("context <> 0")
-    seen = asked.join(counts, "context").select(*keys, (F.col("place") < ORDERS).alias("of_tokens"), F.struct("place", "n", "n_end").alias("found"))
+    # copies of a text vouch for its end no more than the text itself
+    once = texts.where(F.col(text).isNotNull()).select(F.trim(F.col(text), F.lit(" \t\r\n")).alias("text")).distinct()
+    counts = context_counts(once, "text", bit_map(ends.select(F.explode("ends").alias("context"))))
+    dotted = F.col("text").rlike(r"(?:\.{3}|…)[\s\p{Z}]*\z").alias("dotted")  # its end is counted behind the dots
+    asked = ends.where("ends is not null").select(*keys, dotted, F.posexplode("ends").alias("place", "context")).where("context <> 0")
+    of_tokens = F.col("place") < ORDERS
+    others = F.col("n") - of_tokens.cast("long"), F.col("n_end") - (of_tokens & ~F.col("dotted")).cast("long")
+    seen = asked.join(counts, "context").select(*keys, of_tokens.alias("of_tokens"), F.struct("place", others[0].alias("n"), others[1].alias("n_end")).alias("found"))
     told = seen.groupBy(*keys).agg(F.collect_list(F.when(F.col("of_tokens"), F.col("found"))).alias("tokens"), F.collect_list(F.when(~F.col("of_tokens"), F.col("found"))).alias("letters"))
     told = told.select(*keys, _share(F.col("tokens")).alias("p_end"), _share(F.col("letters")).alias("p_word_end"))
     end, word_end = F.coalesce("p_end", F.lit(0.0)), F.coalesce("p_word_end", F.lit(1.0))
