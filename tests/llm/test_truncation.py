@@ -104,3 +104,16 @@ def test_copies_of_a_cut_text_do_not_vouch_for_its_end(spark, copies):
     rows = [("t", str(k), x) for k, x in enumerate(whole)] + [("t", f"cut {k}", cut) for k in range(copies)]
     df = spark.createDataFrame(rows, "source_table string, record_id string, text string")
     assert {x.record_id for x in T.truncated(df).collect()} == {f"cut {k}" for k in range(copies)}
+
+
+def test_letter_counts_do_not_depend_on_partitions(spark):
+    r = random.Random(4)
+    rows = [(" ".join(r.choice(WORDS) for _ in range(20)) + " image.",) for _ in range(200)]
+    df = spark.createDataFrame(rows, "text string")
+    keys = E.tail_keys(["under the ima", "the tabl", "x center"])
+    wanted = E.bit_map(spark.createDataFrame([(int(k),) for k in set(keys.ravel().tolist()) - {0}], "context long"))
+    one, many = ({(x.context, x.n, x.n_end) for x in E.context_counts(df.repartition(n), "text", wanted).collect()} for n in (1, 12))
+    assert one == many
+    words = [w for t, in rows for w in t[:-1].split()]
+    by = {k: (n, e) for k, n, e in one}
+    assert by[keys[0, -1]] == (sum(w.startswith("ima") for w in words), 0)

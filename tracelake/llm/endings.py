@@ -137,18 +137,22 @@ _NEWLINE = xxhash.xxh3_64_intdigest("\n")
 
 
 class _Classes(dict):
-    """Number of each token; ``hashes`` has the class of each number, ``fresh`` the tokens not seen before."""
+    """Number of each token; ``hashes`` has the class of each number, ``times`` how often it was met."""
 
     def __init__(self) -> None:
         self.hashes: list[int] = [_START]
-        self.fresh: list[str] = []
+        self.times = np.zeros(1, np.int64)
 
     def __missing__(self, word: str) -> int:
-        self.fresh.append(word)
         self[word] = n = len(self.hashes)
         self.hashes.append(_class(word))
         return n
 
+    def add(self, numbers: np.ndarray) -> None:
+        met = np.bincount(numbers, minlength=len(self.hashes))
+        met[: len(self.times)] += self.times
+        self.times = met
+
 
 _WEIGHTS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 3) ** 5) & _MASK | 1 for k in range(ORDERS)], np.uint64)
 
@@ -273,19 +277,31 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = _Classes()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def take(keys: np.ndarray, ends: np.ndarray) -> None:
+        def take(keys: np.ndarray, ends: np.ndarray, times: np.ndarray) -> None:
             keys = keys - np.uint64(1 << 63)  # as the signed form of tail_keys
             keep = in_map(sent.value, keys.view(np.int64))
-            held.append((keys[keep], ends[keep]))
+            held.append((keys[keep], ends[keep], times[keep]))
+
+        def take_letters() -> None:
+            lettered = [w for w in classes if _lettered(w)]
+            for i in range(0, len(lettered), 50_000):
+                words = lettered[i : i + 50_000]
+                times = classes.times[[classes[w] for w in words]]
+                keys, stops, _ = _letter_keys(words)
+                times = times[np.cumsum(stops) - stops]
+                for own in keys:
+                    take(own[own != 0], stops[own != 0], times[own != 0])
 
         def told() -> pa.RecordBatch:
-            keys = np.concatenate([k for k, _ in held]) if held else np.empty(0, np.uint64)
-            ends = np.concatenate([e for _, e in held]) if held else np.empty(0, bool)
+            keys = np.concatenate([k for k, _, _ in held]) if held else np.empty(0, np.uint64)
+            ends = np.concatenate([e for _, e, _ in held]) if held else np.empty(0, bool)
+            times = np.concatenate([n for _, _, n in held]) if held else np.empty(0, np.int64)
             held.clear()
             distinct, of = np.unique(keys, return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(np.bincount(of, minlength=len(distinct))), pa.array(np.bincount(of, weights=ends, minlength=len(distinct)).astype(np.int64))], ["context", "n", "n_end"])
+            sums = [np.bincount(of, weights=w, minlength=len(distinct)).astype(np.int64) for w in (times, times * ends)]
+            return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *(pa.array(x) for x in sums)], ["context", "n", "n_end"])
 
         for b in batches:
             numbers: list[int] = []
@@ -299,7 +315,9 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
                     numbers.append(0)
                     last_hashes.append(_class(found[-1]))  # a last word may be cut: it tells nothing of words
             if numbers:
-                row = np.array(classes.hashes, np.uint64)[np.array(numbers, np.int32)]
+                row = np.array(numbers, np.int32)
+                classes.add(row)
+                row = np.array(classes.hashes, np.uint64)[row]
                 row[lasts] = last_hashes
                 end = np.zeros(len(row), bool)
                 end[lasts] = True
@@ -310,16 +328,13 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
                     inside = place >= k
                     if k == 0:
                         inside = inside & (place > 0)
-                    take(keys[inside], end[inside])
-            if words := [w for w in classes.fresh if _lettered(w)]:
-                keys, stops, _ = _letter_keys(words)
-                for own in keys:
-                    take(own[own != 0], stops[own != 0])
-            classes.fresh.clear()
+                    take(keys[inside], end[inside], np.ones(inside.sum(), np.int64))
             if len(classes) > 500_000:
+                take_letters()
                 classes = _Classes()
-            if sum(len(k) for k, _ in held) > 4_000_000:
+            if sum(len(k) for k, _, _ in held) > 4_000_000:
                 yield told()
+        take_letters()
         yield told()
 
     rows = texts.where(F.col(text).isNotNull()).select(text).mapInArrow(run, "context long, n long, n_end long")
