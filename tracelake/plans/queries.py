@@ -492,7 +492,9 @@ def token_recall(spark, folder):
 
 @query()
 def html_stats(spark, folder):
-    rows = _t(spark, folder, "documents").where("source = 'page_dump' and text is not null").select("doc_id", H.html_stats("text").alias("s"))
+    # `source` may be wrong or missing: a page is what looks like one, besides what is called one
+    pages = _t(spark, folder, "documents").where("text is not null").where((F.col("source") == "page_dump") | H.looks_like_html(F.col("text")))
+    rows = pages.select("doc_id", H.html_stats("text").alias("s"))
     return rows.select("doc_id", "s.total_tags", F.map_keys("s.tags").alias("tags"), F.char_length("s.text").alias("text_chars"), "s.has_css")
 
 
