@@ -117,3 +117,24 @@ def test_letter_counts_do_not_depend_on_partitions(spark):
     words = [w for t, in rows for w in t[:-1].split()]
     by = {k: (n, e) for k, n, e in one}
     assert by[keys[0, -1]] == (sum(w.startswith("ima") for w in words), 0)
+
+
+@pytest.mark.parametrize(
+    "end, more",
+    [("the ratio rose to about 3.", "5 in the end of it."), ("some of the marks, e.g.", " the red one, are small."), ("saved to /mnt/data/a.b", "_second.png in that run."), ("and these are the numbers of it\n12 14 15", " 17 19 and some more.")],
+)
+def test_alignment_overrules_the_guess(spark, end, more):
+    r = random.Random(12)
+    head = " ".join(sentence(r) for _ in range(12)) + " "
+    rows = [("t", "cut", head + end), ("t", "whole", head + end + more)]
+    df = spark.createDataFrame(rows, "source_table string, record_id string, text string")
+    assert structure(rows[0][2])[0] == COMPLETE
+    assert [(x.record_id, x.by) for x in T.truncated(df).collect()] == [("cut", "copy")]
+
+
+def test_cut_copies_of_chinese_texts(spark):
+    r = random.Random(13)
+    head = "".join(r.choice("图表的数值在整个时期从升到大多项目位于页面第二行下面工具为该标签返回了点") for _ in range(60))
+    rows = [(head + "然后读者看到了",), (head + "然后读者看到了红色的线。",), (head + "。",), (head + "。然后没有了。",)]
+    df = spark.createDataFrame(rows, "text string")
+    assert {x.short for x in T.cut_copies(df, df).collect()} == {rows[0][0]}

@@ -18,20 +18,24 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm.endings import COMPLETE, bit_map, in_map, judged, tails
+from tracelake.llm.endings import COMPLETE, bit_map, in_map, judged, structure, tails
 from tracelake.session import written
 
 SHINGLE, SIMILAR, BANDS, ROWS, BAND_BITS = 5, 0.8, 16, 4, 26
 #: Longer texts of one place that a task compares with at once.
 PART = 512
-_SPLIT = re.compile(r"\S+")
+_CJK = "一-鿿぀-ヿ가-힯"
+_SPLIT = re.compile(rf"[{_CJK}]|[^\s{_CJK}]+")
+_STOP = re.compile(r"[.?!。？！][\"'”’»)\]}*]*\Z")
+#: A number or letter that heads an item of a list.
+_ITEM = re.compile(r"(?:^|\n)[ \t>*-]*\w{1,3}\.\Z")
 _SALTS = np.random.default_rng(7).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(SHINGLE)], np.uint64)
 
 
 def _split(text: str) -> list[str]:
-    """Words of a text."""
-    return text.split()
+    """Words of a text, a CJK character being one."""
+    return text.split() if text.isascii() else _SPLIT.findall(text)
 
 
 class _Words(dict):
@@ -47,6 +51,23 @@ class _Words(dict):
 _words = _Words()
 
 
+class _Parts(dict):
+    """Keys of the parts of a word that begin it, the whole last."""
+
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) > 100_000:
+            self.clear()
+        codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        codes = (codes + np.uint64(7)) * np.uint64(0xD6E8FEB86659FD93)
+        found = np.cumsum((codes ^ (codes >> np.uint64(29))) * np.cumprod(np.full(len(codes), 0x9E3779B97F4A7C15, np.uint64)))
+        found = (found ^ (found >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        self[word] = out = (found ^ (found >> np.uint64(32))).tolist()
+        return out
+
+
+_parts = _Parts()
+
+
 def _shingles(texts: list[str]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
     """Texts with enough words, where their shingles begin, the shingles of all of them, and the shingles without their last word."""
     rows, lengths, hashes = [], [], []
@@ -87,8 +108,8 @@ def _version(text: str) -> int:
 
 
 def _places(anchor: np.ndarray, words: list[str]) -> np.ndarray:
-    """Keys of an end behind the words of ``anchor`` and (a part of) one more."""
-    return (anchor ^ np.array([xxhash.xxh3_64_intdigest(w, 1) for w in words], np.uint64)).view(np.int64)
+    """Keys of an end behind the words of ``anchor`` and one more."""
+    return (anchor ^ np.array([_parts[w][-1] for w in words], np.uint64)).view(np.int64)
 
 
 def _joint(band: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -131,28 +152,73 @@ def holders(texts: DataFrame, text: str, wanted: list[bytes]) -> DataFrame:
         for b in batches:
             own = list(dict.fromkeys(b.column(0).to_pylist()))
             rows, begins, every, anchors = _shingles(own)
-            asked = in_map(sent.value[0], (out := _bands(rows, begins, every)).ravel()).reshape(out.shape) if rows else np.empty((BANDS, 0), bool)
-            at = np.flatnonzero(in_map(sent.value[1], anchors.view(np.int64))) if rows else np.empty(0, np.int64)
+            if not rows:
+                continue
+            out = _bands(rows, begins, every)
+            asked = in_map(sent.value[0], out.ravel()).reshape(out.shape)
+            at = np.flatnonzero(in_map(sent.value[1], anchors.view(np.int64)))
             of = np.searchsorted(begins, at, "right") - 1
-            near = asked.any(axis=0)[of] if rows else np.empty(0, bool)
-            last, found = -1, []
-            cols: list[list] = [[], [], []]
-            for x, r in zip(at[near].tolist(), of[near].tolist()):
+            near = asked.any(axis=0)[of]
+            at, of = at[near], of[near]
+            last, found, parts, sizes = -1, [], [], []
+            for i, r in zip((at - begins[of] + SHINGLE - 1).tolist(), of.tolist()):
                 if r != last:
                     last, found = r, _split(own[rows[r]])
-                i = x - int(begins[r]) + SHINGLE - 1
-                places = _places(anchors[x : x + 1], [found[i][:n] for n in range(1, len(found[i]) + (i < len(found) - 1))])
-                if len(places) and (hit := in_map(sent.value[2], places)).any():
-                    band = out[asked[:, r], r]
-                    joint = np.unique(_joint(np.repeat(band, hit.sum()), np.tile(places[hit], len(band))))
-                    joint = joint[in_map(sent.value[3], joint)].tolist()
-                    for col, v in zip(cols, (joint, [len(own[rows[r]])] * len(joint), [_version(own[rows[r]])] * len(joint))):
-                        col.extend(v)
+                own_parts = _parts[found[i]]
+                sizes.append(len(own_parts) - (i == len(found) - 1))
+                parts.extend(own_parts[: sizes[-1]])
+            sizes = np.array(sizes, np.int64)
+            places = (np.repeat(anchors[at], sizes) ^ np.array(parts, np.uint64)).view(np.int64)
+            hit = np.flatnonzero(in_map(sent.value[2], places))
+            place, of = places[hit], np.repeat(of, sizes)[hit]
+            joint = _joint(out[:, of].ravel(), np.tile(place, BANDS))
+            keep = np.flatnonzero(asked[:, of].ravel() & in_map(sent.value[3], joint))
+            joint, of = joint[keep], np.tile(of, BANDS)[keep].tolist()
+            version = {r: _version(own[rows[r]]) for r in set(of)}
+            cols = [joint, [len(own[rows[r]]) for r in of], [version[r] for r in of]]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int64()))], ["joint", "most", "other"])
 
     return texts.select(text).mapInArrow(run, "joint long, most int, other long")
 
 
+def _ending(texts: DataFrame, text: str) -> DataFrame:
+    """``text, anchor, place`` of each text of at least SHINGLE words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(0).to_pylist()
+            rows, begins, _, anchors = _shingles(own)
+            if rows:
+                anchor = anchors[np.append(begins[1:], len(anchors)) - 1]
+                place = _places(anchor, [_split(own[i])[-1] for i in rows])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), pa.array(anchor.view(np.int64)), pa.array(place)], ["text", "anchor", "place"])
+
+    return texts.select(text).mapInArrow(run, "text string, anchor long, place long")
+
+
+def _inside_places(texts: DataFrame, text: str, wanted: list[bytes]) -> DataFrame:
+    """``place``: those of the two bit maps (anchors, places) that stand inside a text."""
+    sent = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = list(dict.fromkeys(b.column(0).to_pylist()))
+            rows, begins, _, anchors = _shingles(own)
+            at = np.flatnonzero(in_map(sent.value[0], anchors.view(np.int64))) if rows else np.empty(0, np.int64)
+            of = np.searchsorted(begins, at, "right") - 1
+            last, found, parts, sizes = -1, [], [], []
+            for i, r in zip((at - begins[of] + SHINGLE - 1).tolist() if len(at) else (), of.tolist()):
+                if r != last:
+                    last, found = r, _split(own[rows[r]])
+                own_parts = _parts[found[i]]
+                sizes.append(len(own_parts) - (i == len(found) - 1))
+                parts.extend(own_parts[: sizes[-1]])
+            places = (np.repeat(anchors[at], np.array(sizes, np.int64)) ^ np.array(parts, np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(places[in_map(sent.value[1], places)]))], ["place"])
+
+    return texts.select(text).mapInArrow(run, "place long").distinct()
+
+
 def ends_early(short: str, long: str) -> bool:
     """Whether ``short`` is a near-copy of ``long`` that stops inside one of its sentences."""
     a, b = (set(_shingles([t])[2].tolist()) for t in (short, long))
@@ -168,13 +234,30 @@ def ends_early(short: str, long: str) -> bool:
             if at >= len(others) or not others[at].startswith(words[-1]):
                 continue
             stop = places[at][0] + len(words[-1])
-            return stop < len(long.rstrip()) and not re.search(r"[.?!。？！][\"'”’»)\]}*]*\Z", long[:stop]) and long[stop - 1] != "\n"
+            return stop < len(long.rstrip()) and _inside(long, stop, short)
     return False
 
 
+def _inside(long: str, stop: int, short: str) -> bool:
+    """Whether ``stop`` is inside a sentence of ``long``, however the end of ``short`` looks by itself."""
+    rest = long[stop:]
+    if _STOP.search(long[max(0, stop - 40) : stop]):
+        if long[stop - 1] != ".":
+            return False
+        # a point inside a number, an abbreviation or a name, or behind the number of an item
+        return rest[0].isascii() and rest[0].isalnum() or rest[0] == " " and (rest.lstrip(" ")[:1].islower() or rest.strip(" ")[:1] not in ("", "\n") and bool(_ITEM.search(long[max(0, stop - 40) : stop])))
+    if structure(short)[0] != COMPLETE:
+        return True
+    # a whole line, value, block or JSON text that others follow isn't cut
+    return rest.lstrip(" \t\r")[:1] != "\n" and short[-1] not in ">`]}"
+
+
 def cut_copies(open_texts: DataFrame, texts: DataFrame, text: str = "text") -> DataFrame:
     """``short``: the distinct texts of ``open_texts`` that are cut-off near-copies of one in ``texts``."""
-    asked = written(bands(open_texts.select(text).where(F.col(text).isNotNull()).distinct(), text), "asked")
+    # only an end that stands inside some text as well can be a cut: bands are needed of such texts alone
+    ending = written(_ending(open_texts.select(text).where(F.col(text).isNotNull()).distinct(), text), "ending")
+    inside = _inside_places(texts.where(F.col(text).isNotNull()), text, [bit_map(ending.select(x), BAND_BITS) for x in ("anchor", "place")])
+    asked = written(bands(ending.join(inside, "place", "left_semi").select("text"), "text"), "asked")
     maps = [bit_map(asked.select(x), BAND_BITS) for x in ("band", "anchor", "place", "joint")]
     every = written(holders(texts.where(F.col(text).isNotNull()), text, maps).distinct(), "holders")
     keys = ["joint"]
@@ -216,13 +299,13 @@ def _versioned(texts: DataFrame, text: str) -> DataFrame:
 def truncated(records: DataFrame) -> DataFrame:
     """Of records (``source_table, record_id, text``, one row each) those cut off: with ``by`` (copy, structure, ending).
 
-    Null texts give no row. Equal open texts are compared once. An empty table gives no row.
+    Null texts give no row. Equal texts are compared once, whatever their end looks like. An empty table gives no row.
     """
     keys = ["source_table", "record_id"]
     rows = records.where(F.col("text").isNotNull()).select(*keys, "text")
     ends = written(tails(rows, keys, "text"), "tails")
-    copies = cut_copies(ends.where(F.col("state") != COMPLETE), rows)
-    by_copy = ends.where(F.col("state") != COMPLETE).select(*keys, "text").join(copies, F.col("text") == F.col("short")).select(*keys, F.lit(True).alias("copy"))
+    copies = cut_copies(rows, rows)
+    by_copy = rows.join(copies, F.col("text") == F.col("short")).select(*keys, F.lit(True).alias("copy"))
     told = judged(rows, keys, "text", ends).select(*keys, "state", "cut").join(by_copy, keys, "left")
     by = F.when(F.col("copy"), "copy").when(F.col("state") == 1, "structure").otherwise("ending")
     return told.where("cut or copy").select("source_table", "record_id", by.alias("by"))
