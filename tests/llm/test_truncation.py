@@ -5,6 +5,7 @@ import pytest
 from tracelake.llm import endings as E
 from tracelake.llm import truncation as T
 from tracelake.llm.endings import COMPLETE, CUT, OPEN, structure
+from tracelake.llm.sketch import chooser
 
 WORDS = "the value label chart reads second line under after tool returned points around number region center border table shows axis moved slowly image cropped result".split()
 
@@ -52,6 +53,12 @@ def test_held_out_cuts_are_found(spark, seed):
     assert len(set(found) - true) <= 0.05 * len(found)
 
 
+def copies(spark, texts):
+    """The texts that are cut-off near-copies of another one."""
+    rows = E.versions(spark.createDataFrame([(x,) for x in texts], "text string"), "text")
+    return {x.text for x in T.cut_copies(rows, E.tails(rows)).join(rows, "version").collect()}
+
+
 def test_cut_copies(spark):
     r = random.Random(5)
     whole = " ".join(sentence(r) for _ in range(12))
@@ -59,21 +66,43 @@ def test_cut_copies(spark):
     at = next(i for i in range(len(words) - 4, 0, -1) if not words[i - 1].endswith((".", "!", "?")) and not words[i].endswith((".", "!", "?")))
     part = " ".join(words[:at])
     stop = whole.rindex(".", 0, len(whole) - 2) if "." in whole[:-2] else len(whole)
-    rows = [("whole", whole), ("part", part), ("in word", part + " " + words[at][:2]), ("sentence", whole[: stop + 1]), ("other", " ".join(sentence(r) for _ in range(12))), ("short", "a b c")]
-    df = spark.createDataFrame(rows + [("null", None)], "k string, text string")
-    assert {x.short for x in T.cut_copies(df, df).collect()} == {dict(rows)["part"], dict(rows)["in word"]}
-
-
-def test_bands_reach_similar_texts(spark):
-    r = random.Random(6)
-    base = [" ".join(r.choice(WORDS) + str(r.randint(0, 50)) for _ in range(60)) for _ in range(50)]
-    rows = [(f"{k}{x}", t) for k, b in enumerate(base) for x, t in (("a", b), ("b", b[: int(len(b) * 0.93)]))]
-    got = T.bands(spark.createDataFrame(rows, "k string, text string"), "text").toPandas()
-    got["key"] = got.version.map({T.xxhash.xxh3_64_intdigest(t) - (1 << 63): k for k, t in rows})
-    near = got.merge(got, on="band").query("key_x < key_y")
-    pairs = {(a, b) for a, b in zip(near.key_x, near.key_y)}
-    assert sum((f"{k}a", f"{k}b") in pairs for k in range(50)) >= 49
-    assert sum(a[:-1] != b[:-1] for a, b in pairs) == 0
+    rows = [whole, part, part + " " + words[at][:2], whole[: stop + 1], " ".join(sentence(r) for _ in range(12)), "a b c", None, whole + "\nAnd a line more."]
+    assert copies(spark, rows) == {part, part + " " + words[at][:2]}
+
+
+def planted(seed, n=300):
+    """Sources, and copies of them that were cut behind 10 to 90 % of their length; half of the copies differ in some words."""
+    r = random.Random(seed)
+    sources, cuts = [], []
+    for k in range(n):
+        # words with a number are unlike any other text's
+        words = " ".join(" ".join(r.choice(WORDS) + (str(r.randint(0, 99)) if r.random() < 0.5 else "") for _ in range(r.randint(6, 14))).capitalize() + "." for _ in range(r.randint(4, 12))).split(" ")
+        sources.append(" ".join(words))
+        at = max(8, int(len(words) * r.uniform(0.1, 0.9)))
+        part = words[:at]
+        if k % 2 and at >= 36:  # so that they are similar enough
+            for i in range(2, at - 6, 40):
+                part[i] = "changed"
+        last = part[-1].rstrip(".")
+        part[-1] = last[: r.randint(2, len(last))] if len(last) > 2 else last
+        cuts.append(" ".join(part))
+    return sources, cuts
+
+
+@pytest.mark.parametrize("most", [T.MAX_BITS, 0])
+def test_planted_copies_are_found(spark, monkeypatch, most):
+    monkeypatch.setattr(T, "MAX_BITS", most)  # 0: no map is sent, joins choose
+    sources, cuts = planted(21)
+    found = copies(spark, sources + cuts)
+    assert len(found & set(cuts)) >= 0.98 * len(set(cuts)) and found <= set(cuts)
+
+
+def test_hot_family_meets_in_few_pairs(spark):
+    r = random.Random(22)
+    words = [r.choice(WORDS) for _ in range(60)]
+    full = [" ".join([*words[:20], f"run{k}", *words[20:]]) + "." for k in range(400)]
+    cut = [" ".join([*words[:20], f"run{k + 1000}", *words[20:50], words[50][:2]]) for k in range(400)]
+    assert copies(spark, full + cut) == set(cut)
 
 
 def test_empty_table(spark):
@@ -91,8 +120,7 @@ def test_cut_copies_meet_every_longer_text(spark):
         rows += [" ".join([*words[:69], *(f"other{family}x{k}y{i}" for i in range(13))]) + "." for k in range(60)]
         rows += [whole, part]
         expect.add(part)
-    df = spark.createDataFrame([(x,) for x in rows], "text string")
-    assert {x.short for x in T.cut_copies(df, df).collect()} == expect
+    assert copies(spark, rows) == expect
 
 
 @pytest.mark.parametrize("copies", [1, 40])
@@ -111,7 +139,7 @@ def test_letter_counts_do_not_depend_on_partitions(spark):
     rows = [(" ".join(r.choice(WORDS) for _ in range(20)) + " image.",) for _ in range(200)]
     df = spark.createDataFrame(rows, "text string")
     keys = E.tail_keys(["under the ima", "the tabl", "x center"])
-    wanted = E.bit_map(spark.createDataFrame([(int(k),) for k in set(keys.ravel().tolist()) - {0}], "context long"))
+    wanted = chooser(spark.createDataFrame([(int(k),) for k in set(keys.ravel().tolist()) - {0}], "context long"))
     one, many = ({(x.context, x.n, x.n_end) for x in E.context_counts(df.repartition(n), "text", wanted).collect()} for n in (1, 12))
     assert one == many
     words = [w for t, in rows for w in t[:-1].split()]
@@ -136,5 +164,4 @@ def test_cut_copies_of_chinese_texts(spark):
     r = random.Random(13)
     head = "".join(r.choice("图表的数值在整个时期从升到大多项目位于页面第二行下面工具为该标签返回了点") for _ in range(60))
     rows = [(head + "然后读者看到了",), (head + "然后读者看到了红色的线。",), (head + "。",), (head + "。然后没有了。",)]
-    df = spark.createDataFrame(rows, "text string")
-    assert {x.short for x in T.cut_copies(df, df).collect()} == {rows[0][0]}
+    assert copies(spark, [x for x, in rows]) == {rows[0][0]}

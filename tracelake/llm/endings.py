@@ -3,8 +3,9 @@
 What can be read off one text, an open thinking block, code fence, bracket, tag or JSON text, or a note that the rest was
 left out, decides alone. A text that ends without a closing mark is scored by the corpus: how often its last tokens are
 followed by an end of text or line (closing-word terminality, with shorter contexts where a longer one is rare), and how
-often a word ends after its last letters. The counts cover every token of every distinct text, without the end that is judged; to keep them small only contexts in
-which some open text ends are counted, chosen by a bit map of those contexts.
+often a word ends after its last letters. The counts cover every token of every distinct text, without the end that is
+judged; to keep them small only contexts in which some open text ends are counted, chosen by a map of those contexts that
+grows with their number (:func:`tracelake.llm.sketch.chooser`).
 """
 
 from __future__ import annotations
@@ -19,19 +20,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.sketch import SCHEMA, Partial, marked, marks
-from tracelake.session import written
+from tracelake.llm.sketch import chooser, in_map
 
 ORDERS, LETTERS = 4, 4
 #: Occurrences a context needs to be trusted, and the shares below which an end is no end.
 ENOUGH, LEAST_END, LEAST_WORD_END = 30, 0.05, 0.02
-_BITS = 24
 COMPLETE, CUT, OPEN = 0, 1, 2
 
 #: Forms of notes that stand for text left out (fixed values).
 NOTE = re.compile(
-    r"(?:\s*(?:\.{3}|…)?\s*[\[(<{]\s*(?:\.{3}|…)?\s*(?:\+\s*\d[\d,.]*\s*(?:more\s*)?(?:chars?|characters?|bytes?|tokens?|words?|lines?|Zeichen|caracteres|caractères|字符?)?|\d[\d,.]*\s*(?:more\s+)?(?:chars?|characters?|bytes?|tokens?|words?|lines?)\s*(?:more|omitted|truncated|left|removed|cut)?"
-    r"|(?:[\w ]{0,24}\s)?(?:truncated|truncation|omitted|snipped|snip|clipped|cut off|gekürzt|abgeschnitten|tronqué|truncado|截断)(?:[ :,][\w :,./]{0,40})?)\s*[\])>}]\s*|\s*�+\s*)+\Z",
+    r"[\[(<{]\s*(?:\.{3}|…)?\s*(?:\+\s*\d[\d,.]*\s*(?:more\s*)?(?:chars?|characters?|bytes?|tokens?|words?|lines?|Zeichen|caracteres|caractères|字符?)?|\d[\d,.]*\s*(?:more\s+)?(?:chars?|characters?|bytes?|tokens?|words?|lines?)\s*(?:more|omitted|truncated|left|removed|cut)?"
+    r"|(?:[\w ]{0,24}\s)?(?:truncated|truncation|omitted|snipped|snip|clipped|cut off|gekürzt|abgeschnitten|tronqué|truncado|截断)(?:[ :,][\w :,./]{0,40})?)\s*[\])>}]",
     re.I,
 )
 _DOTS = re.compile(r"\s*(?:…|\.{3,})\s*\Z")
@@ -56,19 +55,23 @@ def _balanced_json(text: str) -> bool:
     return True
 
 
-def _without_note(text: str) -> str:
-    """The text without a note at its end that the rest was left out."""
+def body_of(text: str) -> str:
+    """The text without blanks around it and without notes at its end that the rest was left out."""
     body = text.rstrip()
-    if body[-1:] in (")", "]", ">", "}", "�"):
-        from_ = max(0, len(body) - 300)
-        if (found := NOTE.search(body, from_)) and not (from_ and found.start() == from_):
-            return body[: found.start()].strip()
+    while body:
+        if body[-1] == "�":
+            body = body.rstrip("�").rstrip()
+            continue
+        if body[-1] not in ")]>}" or (at := max(body.rfind(c) for c in "[(<{")) < 0 or not NOTE.fullmatch(body, at):
+            break
+        body = body[:at].rstrip()
+        body = body[: -1 if body.endswith("…") else -3 if body.endswith("...") else len(body)].rstrip()
     return body.strip()
 
 
 def structure(text: str) -> tuple[int, str]:
     """COMPLETE, CUT or OPEN, and what is left of the text without notes."""
-    body = _without_note(text)
+    body = body_of(text)
     noted = len(body) != len(text.strip())
     if not any(c.isalnum() for c in body):
         return (CUT if noted and body else COMPLETE), body
@@ -202,6 +205,17 @@ def _lettered(word: str) -> bool:
     return bool(word) and word[0].isalpha() and not "一" <= word[0] <= "鿿"
 
 
+def _last_tokens(body: str) -> tuple[list[str], bool]:
+    """At least the last ORDERS tokens, if there are as many, and whether they are all of the text's."""
+    near = 200
+    while near < len(body):
+        found = _TOKEN.findall(body, len(body) - near)[1:]  # the first one may be a part
+        if len(found) >= ORDERS:
+            return found, False
+        near *= 4
+    return _TOKEN.findall(body), True
+
+
 def tail_keys(bodies: list[str]) -> np.ndarray:
     """Keys of the contexts at the end of each text: tokens from one to ORDERS, then letters; 0 where there is none."""
     last = np.zeros((len(bodies), ORDERS), np.uint64)
@@ -209,10 +223,9 @@ def tail_keys(bodies: list[str]) -> np.ndarray:
     out = np.zeros((len(bodies), ORDERS + LETTERS - 1), np.uint64)
     words, rows = [], []
     for i, body in enumerate(bodies):
-        near = body[-600:]
-        found = _TOKEN.findall(near)
+        found, begun = _last_tokens(body)
         hashes = [_class(w) for w in found[-ORDERS:]]
-        if len(near) == len(body) and len(hashes) < ORDERS:
+        if begun and len(hashes) < ORDERS:
             hashes.insert(0, _START)
         size[i] = len(hashes)
         last[i, ORDERS - len(hashes) :] = hashes
@@ -228,51 +241,35 @@ def tail_keys(bodies: list[str]) -> np.ndarray:
     return np.where(out != 0, out - np.uint64(1 << 63), 0).view(np.int64)
 
 
-def tails(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys`` with ``state``; of open texts ``ends``, the contexts of their end; of open and cut ones ``text``.
+def version_of(text: str) -> Column:
+    """Name of a text that copies share; blanks around it don't matter."""
+    return F.unhex(F.md5(F.trim(F.col(text), F.lit(" \t\r\n")))).alias("version")
 
-    Null texts give no row.
-    """
-    types = ", ".join(f"{k} {texts.schema[k].dataType.simpleString()}" for k in keys)
+
+def versions(texts: DataFrame, text: str) -> DataFrame:
+    """The distinct texts: ``version, text``. Null texts have none."""
+    trimmed = F.trim(F.col(text), F.lit(" \t\r\n")).alias("text")
+    return texts.where(F.col(text).isNotNull()).select(trimmed).distinct().select(version_of("text"), "text")
+
+
+def tails(texts: DataFrame) -> DataFrame:
+    """``version, state, ends`` (the contexts of their end) and ``dotted`` of texts (``version, text``); only open ones have ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts_ = b.column(len(keys)).to_pylist()
-            found = [structure(t) for t in texts_]
+            found = [structure(t) for t in b.column(1).to_pylist()]
             state = np.array([s for s, _ in found], np.int32)
             ends = tail_keys([body for s, body in found if s == OPEN])
             offsets = np.concatenate([[0], np.cumsum(state == OPEN) * ends.shape[1]]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ends.ravel()), mask=pa.array(state != OPEN))
-            kept = [t if s != COMPLETE else None for t, s in zip(texts_, state)]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(state), lists, pa.array(kept, pa.string())], [*keys, "state", "ends", "text"])
-
-    return texts.where(F.col(text).isNotNull()).select(*keys, text).mapInArrow(run, f"{types}, state int, ends array<long>, text string")
-
-
-def bit_map(keys: DataFrame, bits: int = _BITS) -> bytes:
-    """Bit map of the long keys in the first column: of fixed size, so a chance hit lets a key too many through."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partial = Partial(bits)
-        for b in batches:
-            partial.add(0, _cells(b.column(0).to_numpy(zero_copy_only=False), bits))
-            yield from partial.batches(False)
-        yield from partial.batches()
-
-    return marks(keys.mapInArrow(run, SCHEMA), keys.rdd.getNumPartitions(), 1, bits, 1)[0]
-
-
-def _cells(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (keys.astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
-
+            dotted = [s == OPEN and bool(_DOTS.search(t)) for (s, _), t in zip(found, b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(state), lists, pa.array(dotted, pa.bool_())], ["version", "state", "ends", "dotted"])
 
-def in_map(bits: bytes, keys: np.ndarray) -> np.ndarray:
-    """Which keys the bit map has."""
-    return marked(bits, _cells(keys, len(bits).bit_length() + 2))
+    return texts.select("version", "text").mapInArrow(run, "version binary, state int, ends array<long>, dotted boolean")
 
 
-def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
-    """``context, n, n_end`` over all texts, of the contexts in the bit map."""
+def context_counts(texts: DataFrame, text: str, wanted: bytes | None) -> DataFrame:
+    """``context, n, n_end`` over all texts, of the contexts in the bit map; without a map, of all."""
     sent = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +305,7 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes) -> DataFrame:
             lasts: list[int] = []
             last_hashes: list[int] = []
             for t in b.column(0).to_pylist():
-                if found := _TOKEN.findall(_without_note(t)):
+                if found := _TOKEN.findall(body_of(t)):
                     numbers.append(0)
                     numbers.extend([classes[w] for w in found[:-1]])
                     lasts.append(len(numbers))
@@ -347,22 +344,20 @@ def _share(found: Column) -> Column:
     return best["n_end"] / best["n"]
 
 
-def judged(texts: DataFrame, keys: list[str], text: str, ends: DataFrame | None = None) -> DataFrame:
-    """``keys``, ``state``, and of open texts ``p_end`` and ``p_word_end``, with ``cut``. Null texts give no row.
+def judged(texts: DataFrame, ends: DataFrame) -> DataFrame:
+    """``version, state``, of open texts ``p_end`` and ``p_word_end``, and ``cut``, of distinct texts (``version, text``) and their tails.
 
-    ``keys`` must tell the rows apart; ``ends`` are their written tails, if there are any. Texts without a letter or digit are complete. An empty table gives no row.
+    Texts without a letter or digit are complete. An empty table gives no row.
     """
-    ends = written(tails(texts, keys, text), "tails") if ends is None else ends
-    # copies of a text vouch for its end no more than the text itself
-    once = texts.where(F.col(text).isNotNull()).select(F.trim(F.col(text), F.lit(" \t\r\n")).alias("text")).distinct()
-    counts = context_counts(once, "text", bit_map(ends.select(F.explode("ends").alias("context"))))
-    dotted = F.col("text").rlike(r"(?:\.{3}|…)[\s\p{Z}]*\z").alias("dotted")  # its end is counted behind the dots
-    asked = ends.where("ends is not null").select(*keys, dotted, F.posexplode("ends").alias("place", "context")).where("context <> 0")
+    asked = ends.where("ends is not null").select("version", "dotted", F.posexplode("ends").alias("place", "context")).where("context <> 0")
+    # every text is counted once: copies of a text vouch for its end no more than the text itself
+    counts = context_counts(texts, "text", chooser(asked.select("context")))
     of_tokens = F.col("place") < ORDERS
+    # the end that is judged doesn't count; behind dots it isn't counted as one
     others = F.col("n") - of_tokens.cast("long"), F.col("n_end") - (of_tokens & ~F.col("dotted")).cast("long")
-    seen = asked.join(counts, "context").select(*keys, of_tokens.alias("of_tokens"), F.struct("place", others[0].alias("n"), others[1].alias("n_end")).alias("found"))
-    told = seen.groupBy(*keys).agg(F.collect_list(F.when(F.col("of_tokens"), F.col("found"))).alias("tokens"), F.collect_list(F.when(~F.col("of_tokens"), F.col("found"))).alias("letters"))
-    told = told.select(*keys, _share(F.col("tokens")).alias("p_end"), _share(F.col("letters")).alias("p_word_end"))
+    seen = asked.join(counts, "context").select("version", of_tokens.alias("of_tokens"), F.struct("place", others[0].alias("n"), others[1].alias("n_end")).alias("found"))
+    told = seen.groupBy("version").agg(F.collect_list(F.when(F.col("of_tokens"), F.col("found"))).alias("tokens"), F.collect_list(F.when(~F.col("of_tokens"), F.col("found"))).alias("letters"))
+    told = told.select("version", _share(F.col("tokens")).alias("p_end"), _share(F.col("letters")).alias("p_word_end"))
     end, word_end = F.coalesce("p_end", F.lit(0.0)), F.coalesce("p_word_end", F.lit(1.0))
     cut = (F.col("state") == CUT) | ((F.col("state") == OPEN) & ((end < LEAST_END) | (word_end < LEAST_WORD_END) | ((end < 2 * LEAST_END) & (word_end < 0.15))))
-    return ends.drop("ends", "text").join(told, keys, "left").withColumn("cut", cut)
+    return ends.select("version", "state").join(told, "version", "left").withColumn("cut", cut)

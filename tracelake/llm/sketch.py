@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK, FAN, FLUSH = 1 << 16, 32, 4_000_000
+#: A map of keys has at least CELLS bits a key; one of more than ``2 ** MAX_BITS`` bits (32 MB) isn't sent.
+CELLS, MAX_BITS = 16, 28
 SCHEMA = "part long, cells binary"
 _ARROW = pa.schema([("part", pa.int64()), ("cells", pa.binary())])
 
@@ -98,3 +100,35 @@ def marked(bits: bytes, cells: np.ndarray) -> np.ndarray:
     """Which cells have their bit."""
     packed = np.frombuffer(bits, np.uint8)
     return (packed[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def chooser(keys: DataFrame, most: int = MAX_BITS) -> bytes | None:
+    """Map of the long keys in the first column, as wide as their number asks for; a chance hit lets few keys too many through.
+
+    None if it would be too large to send: then nothing is filtered where rows are made, and a join has to choose.
+    """
+    name = keys.columns[0]
+    n = keys.agg(F.approx_count_distinct(name, 0.02)).first()[0]
+    bits = max(16, (max(1, n) * CELLS - 1).bit_length())
+    if bits > most:
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partial = Partial(bits)
+        for b in batches:
+            partial.add(0, _cells(b.column(0).to_numpy(zero_copy_only=False), bits))
+            yield from partial.batches(False)
+        yield from partial.batches()
+
+    # tasks are about as many as partitions of a shuffle, or one for a million keys
+    tasks = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), n >> 20)
+    return marks(keys.mapInArrow(run, SCHEMA), tasks, 1, bits, 1)[0]
+
+
+def _cells(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys.astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def in_map(bits: bytes | None, keys: np.ndarray) -> np.ndarray:
+    """Which keys the map has; without a map, all."""
+    return np.ones(len(keys), bool) if bits is None else marked(bits, _cells(keys, len(bits).bit_length() + 2))

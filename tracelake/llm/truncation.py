@@ -1,10 +1,15 @@
 """Texts cut off by field limits.
 
-Near-copies (word shingles of SHINGLE, similarity SIMILAR or more) are found through min-hash bands: each text that may be
-cut meets the texts of its bands that hold its last words further ahead, first the longest, then, if that doesn't settle it, all
-others; bit maps choose the bands and places that such texts ask for. A verified pair is aligned by its words; the copy whose alignment ends early, inside a
-sentence of the longer one, is flagged. Every record that this doesn't flag is scored by closing-word terminality
-(:mod:`tracelake.llm.endings`), so that a missed copy is still judged by its own end.
+Near-copies come first: a copy that was cut holds the beginning of its source, so texts are compared by the word shingles
+(SHINGLE words) of their beginnings. Every text is signed by min-hash bands over its first 1, 2, 4, ... shingles, the longest
+such beginning before its last word; a longer text is signed over the same beginnings, wherever the last words of another
+text stand in it. Texts that agree in a band and in these words are verified (SIMILAR or more of the shorter one's shingles
+stand in the longer one) and aligned by their words; the copy whose alignment ends early, inside a sentence of the longer
+one, is flagged, however its own end looks. Records that this doesn't flag are scored by closing-word terminality
+(:mod:`tracelake.llm.endings`).
+
+Of the holders of a place that go on alike the longest is compared first; what it doesn't settle meets all others. Copies
+of a text are one version and are compared once.
 """
 
 from __future__ import annotations
@@ -14,18 +19,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm.endings import COMPLETE, bit_map, in_map, judged, structure, tails
+from tracelake.llm.endings import COMPLETE, body_of, judged, structure, tails, version_of, versions
+from tracelake.llm.sketch import MAX_BITS, chooser, in_map
 from tracelake.session import written
 
-SHINGLE, SIMILAR, BANDS, ROWS, BAND_BITS = 5, 0.8, 16, 4, 26
-#: Longer texts of one place that a task compares with at once.
-PART = 512
+SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 6, 2
+#: Characters of an end and of what follows a place that are compared before texts are; verifying compares all.
+END, AHEAD = 100, 140
 _CJK = "一-鿿぀-ヿ가-힯"
-_SPLIT = re.compile(rf"[{_CJK}]|[^\s{_CJK}]+")
+_WORD = re.compile(rf"[^\W\d_{_CJK}]+|\d+(?:[.,:/x-]\d+)*%?|[{_CJK}]")
 _STOP = re.compile(r"[.?!。？！][\"'”’»)\]}*]*\Z")
 #: A number or letter that heads an item of a list.
 _ITEM = re.compile(r"(?:^|\n)[ \t>*-]*\w{1,3}\.\Z")
@@ -33,11 +40,6 @@ _SALTS = np.random.default_rng(7).integers(1, 2**63, BANDS * ROWS, dtype=np.uint
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(SHINGLE)], np.uint64)
 
 
-def _split(text: str) -> list[str]:
-    """Words of a text, a CJK character being one."""
-    return text.split() if text.isascii() else _SPLIT.findall(text)
-
-
 class _Words(dict):
     """Hash of a word."""
 
@@ -51,282 +53,288 @@ class _Words(dict):
 _words = _Words()
 
 
-class _Parts(dict):
-    """Keys of the parts of a word that begin it, the whole last."""
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) > 100_000:
-            self.clear()
-        codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        codes = (codes + np.uint64(7)) * np.uint64(0xD6E8FEB86659FD93)
-        found = np.cumsum((codes ^ (codes >> np.uint64(29))) * np.cumprod(np.full(len(codes), 0x9E3779B97F4A7C15, np.uint64)))
-        found = (found ^ (found >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-        self[word] = out = (found ^ (found >> np.uint64(32))).tolist()
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+class Shingled:
+    """The texts of a batch that have SHINGLE words: ``rows`` (their numbers) and, over the windows of all of them one after the
+    other, ``shingles`` and ``anchors`` (a window without its last word); ``begins`` and ``windows`` tell the texts apart."""
+
+    def __init__(self, texts: list[str]):
+        self.rows: list[int] = []
+        lengths, hashes = [], []
+        for i, t in enumerate(texts):
+            found = _WORD.findall(t)
+            if len(found) >= SHINGLE:
+                self.rows.append(i)
+                lengths.append(len(found))
+                hashes.extend([_words[w] for w in found])
+        words, size = np.array(hashes, np.uint64), np.array(lengths, np.int64)
+        self.windows = size - SHINGLE + 1
+        self.begins = np.cumsum(self.windows) - self.windows
+        if not self.rows:
+            self.shingles = self.anchors = words
+            return
+        anchors = sum(words[k : len(words) - SHINGLE + 1 + k] * _POWERS[k] for k in range(SHINGLE - 1))
+        total = anchors + words[SHINGLE - 1 :] * _POWERS[SHINGLE - 1]
+        ends = np.cumsum(size)
+        over = np.zeros(len(words) + 1, np.int32)  # windows that run into the next text
+        np.add.at(over, ends - SHINGLE + 1, 1)
+        np.add.at(over, ends, -1)
+        inside = np.cumsum(over[: len(total)]) == 0
+        self.shingles, self.anchors = total[inside], anchors[inside]
+
+    def heads(self, picks: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
+        """For each (level, texts) the bands of the first ``2 ** level`` shingles of these texts, a row a band; level -1 is no shingle."""
+        out = [np.full((BANDS, len(of)), level + 1, np.uint64) for level, of in picks]
+        edges = [np.stack([self.begins[of], self.begins[of] + (1 << max(level, 0))], axis=1).ravel() for level, of in picks]
+        for k, salt in enumerate(_SALTS):
+            h = np.append(_mixed(self.shingles * salt), np.uint64(0))
+            for (level, of), at, found in zip(picks, edges, out):
+                if level >= 0 and len(of):
+                    found[k // ROWS] = (found[k // ROWS] ^ np.minimum.reduceat(h, at)[::2]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)
+                elif level < 0:
+                    found[k // ROWS] += np.uint64(k)
         return out
 
 
-_parts = _Parts()
-
-
-def _shingles(texts: list[str]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
-    """Texts with enough words, where their shingles begin, the shingles of all of them, and the shingles without their last word."""
-    rows, lengths, hashes = [], [], []
-    for i, t in enumerate(texts):
-        found = _split(t)
-        if len(found) >= SHINGLE:
-            rows.append(i)
-            lengths.append(len(found))
-            hashes.extend([_words[w] for w in found])
-    if not rows:
-        return rows, np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
-    words, size = np.array(hashes, np.uint64), np.array(lengths)
-    anchors = sum(words[k : len(words) - SHINGLE + 1 + k] * _POWERS[k] for k in range(SHINGLE - 1))
-    total = anchors + words[SHINGLE - 1 :] * _POWERS[SHINGLE - 1]
-    ends = np.cumsum(size)
-    over = np.zeros(len(words) + 1, np.int8)  # windows that run into the next text
-    np.add.at(over, ends - SHINGLE + 1, 1)
-    np.add.at(over, ends, -1)
-    inside = np.cumsum(over[: len(total)]) == 0
-    begins = np.cumsum(size - SHINGLE + 1) - (size - SHINGLE + 1)
-    return rows, begins, total[inside], anchors[inside]
-
-
-def _bands(rows: list[int], begins: np.ndarray, every: np.ndarray) -> np.ndarray:
-    """Bands (one row a band) of the texts that :func:`_shingles` gives."""
-    out = np.zeros((BANDS, len(rows)), np.uint64)
-    for k, salt in enumerate(_SALTS if rows else ()):
-        h = every * salt
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        out[k // ROWS] = (out[k // ROWS] ^ np.minimum.reduceat(h, begins)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)
-    return out.view(np.int64)
-
-
-def _version(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
-
+def _level(shingles: np.ndarray) -> np.ndarray:
+    """Number of the longest beginning that so many shingles hold."""
+    return np.where(shingles >= 1, np.log2(np.maximum(shingles, 1)).astype(np.int64), -1)
 
-def _places(anchor: np.ndarray, words: list[str]) -> np.ndarray:
-    """Keys of an end behind the words of ``anchor`` and one more."""
-    return (anchor ^ np.array([_parts[w][-1] for w in words], np.uint64)).view(np.int64)
 
+def _joint(bands: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Keys of bands and the words before an end."""
+    return _mixed(bands ^ (anchors * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
 
-def _joint(band: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Key of a band and a place."""
-    h = (band.view(np.uint64) ^ (place.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h ^ (h >> np.uint64(32))).view(np.int64)
 
+def endings_of(texts: DataFrame) -> DataFrame:
+    """How each of the texts (``version, text``) of at least SHINGLE words ends: ``version, size, anchor, joint, head, tail``.
 
-def bands(texts: DataFrame, text: str) -> DataFrame:
-    """``band, size, version`` (length and hash of the text) for each band of each text of at least SHINGLE words.
-
-    ``anchor`` and ``place`` tell how the text ends: its last SHINGLE - 1 words before the last one, and these with the last;
-    ``joint`` is band and place in one.
+    ``anchor`` are the SHINGLE - 1 words before the last, ``joint`` a key for each band; ``head`` is the end, ``tail`` the last
+    word with what follows it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = b.column(0).to_pylist()
-            rows, begins, every, anchors = _shingles(own)
-            out = _bands(rows, begins, every)
-            size = np.array([len(own[i]) for i in rows], np.int32)
-            version = np.array([_version(own[i]) for i in rows], np.int64)
-            anchor = anchors[np.append(begins[1:], len(anchors)) - 1] if rows else anchors
-            place = _places(anchor, [_split(own[i])[-1] for i in rows])
-            of = np.tile(np.arange(len(rows)), BANDS)
-            cols = [out.ravel(), size[of], version[of], anchor.view(np.int64)[of], place[of], _joint(out.ravel(), place[of])]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["band", "size", "version", "anchor", "place", "joint"])
-
-    return texts.select(text).mapInArrow(run, "band long, size int, version long, anchor long, place long, joint long")
-
-
-def holders(texts: DataFrame, text: str, wanted: list[bytes]) -> DataFrame:
-    """``joint, most, other`` (length and hash) for each place inside each text where a text of one of its bands may be cut.
-
-    Bit maps of the bands, anchors, places and joint keys asked for choose the rows. Behind its last word a text isn't cut.
+            own = [body_of(t) for t in b.column(1).to_pylist()]
+            read = Shingled(own)
+            at = read.begins + read.windows - 1
+            level = _level(read.windows - 1)
+            joint = np.zeros((BANDS, len(at)), np.int64)
+            picks = [(int(x), np.flatnonzero(level == x)) for x in np.unique(level)]
+            for (_, of), found in zip(picks, read.heads(picks)):
+                joint[:, of] = _joint(found, read.anchors[at[of]])
+            ends = [own[i] for i in read.rows]
+            tails_ = [t[t.rfind(_WORD.findall(t[-200:])[-1]) :] if len(t) <= 200 else t[_last_word(t) :] for t in ends]
+            cols = [b.column(0).take(pa.array(read.rows, pa.int64())), pa.array([len(t) for t in ends], pa.int32()), pa.array(read.anchors[at].view(np.int64)), pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * BANDS), pa.array(joint.T.ravel())), pa.array([t[-60:] for t in ends], pa.string()), pa.array([t[:END] for t in tails_], pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, ["version", "size", "anchor", "joint", "head", "tail"])
+
+    return texts.select("version", "text").mapInArrow(run, "version binary, size int, anchor long, joint array<long>, head string, tail string")
+
+
+def _last_word(text: str) -> int:
+    """Place of the last word."""
+    near = 200
+    while True:
+        from_ = max(0, len(text) - near)
+        found = [m.start() for m in _WORD.finditer(text, from_)]
+        if found and (found[-1] > from_ or not from_):
+            return found[-1]
+        near *= 4
+
+
+def holders(texts: DataFrame, anchors: bytes | None, joints: bytes | None) -> DataFrame:
+    """``joint, version, size, ahead`` for each place in each text where the last words of a text of one of its bands stand.
+
+    ``ahead`` is what follows these words. The two maps choose the places, or a column ``sites`` with the words to look for.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(wanted)
+    columns = ["version", "text"] + ["sites"] * ("sites" in texts.columns)
+    sent = texts.sparkSession.sparkContext.broadcast((anchors, joints))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors_, joints_ = sent.value
         for b in batches:
-            own = list(dict.fromkeys(b.column(0).to_pylist()))
-            rows, begins, every, anchors = _shingles(own)
-            if not rows:
-                continue
-            out = _bands(rows, begins, every)
-            asked = in_map(sent.value[0], out.ravel()).reshape(out.shape)
-            at = np.flatnonzero(in_map(sent.value[1], anchors.view(np.int64)))
-            of = np.searchsorted(begins, at, "right") - 1
-            near = asked.any(axis=0)[of]
-            at, of = at[near], of[near]
-            last, found, parts, sizes = -1, [], [], []
-            for i, r in zip((at - begins[of] + SHINGLE - 1).tolist(), of.tolist()):
+            own = [body_of(t) for t in b.column(1).to_pylist()]
+            read = Shingled(own)
+            keys = read.anchors.view(np.int64)
+            chosen = in_map(anchors_, keys)
+            if len(columns) > 2:
+                of = np.repeat(np.array(read.rows, np.int64), read.windows)
+                held = pa.table({"row": np.repeat(np.arange(len(b)), pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)), "key": pc.list_flatten(b.column(2))})
+                chosen = np.isin(_joint(of.astype(np.uint64), keys.view(np.uint64)), _joint(held["row"].to_numpy().astype(np.uint64), held["key"].to_numpy().view(np.uint64)))
+            at = np.flatnonzero(chosen)
+            of = np.searchsorted(read.begins, at, "right") - 1
+            before = at - read.begins[of]
+            near = np.stack([_level((before * 0.8).astype(np.int64)), _level((before * 1.25).astype(np.int64))])
+            near[1] = np.where((1 << np.maximum(near[1], 0)) <= read.windows[of], near[1], near[0])
+            hits: list[tuple[np.ndarray, np.ndarray]] = []
+            wanted = [(int(x), (near == x).any(axis=0)) for x in np.unique(near)]
+            picks = [(x, np.unique(of[held])) for x, held in wanted]
+            for (x, texts_), (_, held), bands in zip(picks, wanted, read.heads(picks)):
+                place = np.flatnonzero(held)
+                column = np.searchsorted(texts_, of[place])
+                for band in bands:
+                    joint = _joint(band[column], read.anchors[at[place]])
+                    keep = in_map(joints_, joint)
+                    hits.append((joint[keep], place[keep]))
+            joint = np.concatenate([j for j, _ in hits]) if hits else np.empty(0, np.int64)
+            place = np.concatenate([p for _, p in hits]) if hits else np.empty(0, np.int64)
+            order = np.lexsort((joint, place))
+            joint, place = joint[order], place[order]
+            once = np.concatenate([[True], (joint[1:] != joint[:-1]) | (place[1:] != place[:-1])]) if len(joint) else np.empty(0, bool)
+            joint, place = joint[once], place[once]
+            ahead, rows, last, starts = [], [], -1, []
+            for r, k in zip(of[place].tolist(), before[place].tolist()):
+                text = own[read.rows[r]]
                 if r != last:
-                    last, found = r, _split(own[rows[r]])
-                own_parts = _parts[found[i]]
-                sizes.append(len(own_parts) - (i == len(found) - 1))
-                parts.extend(own_parts[: sizes[-1]])
-            sizes = np.array(sizes, np.int64)
-            places = (np.repeat(anchors[at], sizes) ^ np.array(parts, np.uint64)).view(np.int64)
-            hit = np.flatnonzero(in_map(sent.value[2], places))
-            place, of = places[hit], np.repeat(of, sizes)[hit]
-            joint = _joint(out[:, of].ravel(), np.tile(place, BANDS))
-            keep = np.flatnonzero(asked[:, of].ravel() & in_map(sent.value[3], joint))
-            joint, of = joint[keep], np.tile(of, BANDS)[keep].tolist()
-            version = {r: _version(own[rows[r]]) for r in set(of)}
-            cols = [joint, [len(own[rows[r]]) for r in of], [version[r] for r in of]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int64()))], ["joint", "most", "other"])
-
-    return texts.select(text).mapInArrow(run, "joint long, most int, other long")
-
-
-def _ending(texts: DataFrame, text: str) -> DataFrame:
-    """``text, anchor, place`` of each text of at least SHINGLE words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = b.column(0).to_pylist()
-            rows, begins, _, anchors = _shingles(own)
-            if rows:
-                anchor = anchors[np.append(begins[1:], len(anchors)) - 1]
-                place = _places(anchor, [_split(own[i])[-1] for i in rows])
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), pa.array(anchor.view(np.int64)), pa.array(place)], ["text", "anchor", "place"])
-
-    return texts.select(text).mapInArrow(run, "text string, anchor long, place long")
+                    last, starts = r, [m.start() for m in _WORD.finditer(text)]
+                ahead.append(text[starts[k + SHINGLE - 1] : starts[k + SHINGLE - 1] + AHEAD])
+                rows.append(read.rows[r])
+            yield pa.RecordBatch.from_arrays([pa.array(joint), b.column(0).take(pa.array(rows, pa.int64())), pa.array([len(own[i]) for i in rows], pa.int32()), pa.array(ahead, pa.string())], ["joint", "version", "size", "ahead"])
 
+    return texts.select(*columns).mapInArrow(run, "joint long, version binary, size int, ahead string")
 
-def _inside_places(texts: DataFrame, text: str, wanted: list[bytes]) -> DataFrame:
-    """``place``: those of the two bit maps (anchors, places) that stand inside a text."""
-    sent = texts.sparkSession.sparkContext.broadcast(wanted)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = list(dict.fromkeys(b.column(0).to_pylist()))
-            rows, begins, _, anchors = _shingles(own)
-            at = np.flatnonzero(in_map(sent.value[0], anchors.view(np.int64))) if rows else np.empty(0, np.int64)
-            of = np.searchsorted(begins, at, "right") - 1
-            last, found, parts, sizes = -1, [], [], []
-            for i, r in zip((at - begins[of] + SHINGLE - 1).tolist() if len(at) else (), of.tolist()):
-                if r != last:
-                    last, found = r, _split(own[rows[r]])
-                own_parts = _parts[found[i]]
-                sizes.append(len(own_parts) - (i == len(found) - 1))
-                parts.extend(own_parts[: sizes[-1]])
-            places = (np.repeat(anchors[at], np.array(sizes, np.int64)) ^ np.array(parts, np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(places[in_map(sent.value[1], places)]))], ["place"])
 
-    return texts.select(text).mapInArrow(run, "place long").distinct()
+def _goes_on(head: str, rest: str, complete: bool) -> bool:
+    """Whether ``rest`` goes on in the sentence that ``head`` ends with; ``complete``: what ``head`` ends looks complete by itself."""
+    if rest.lstrip(" \t\r")[:1] in ("", "\n"):  # at the end of a line no sentence is cut
+        return False
+    if _STOP.search(head):
+        if head[-1] != ".":
+            return False
+        # a point inside a number, an abbreviation or a name, or behind the number of an item
+        return rest[0].isascii() and rest[0].isalnum() or rest[0] == " " and (rest.lstrip(" ")[:1].islower() or rest.lstrip(" ")[:1] not in ("", "\n") and bool(_ITEM.search(head)))
+    if not complete:
+        return True
+    # a whole value, block or JSON text that others follow isn't cut
+    return head[-1] not in ">`]}"
 
 
 def ends_early(short: str, long: str) -> bool:
-    """Whether ``short`` is a near-copy of ``long`` that stops inside one of its sentences."""
-    a, b = (set(_shingles([t])[2].tolist()) for t in (short, long))
-    if not a or len(a & b) < SIMILAR * len(a | b):
+    """Whether ``short`` is a near-copy of the beginning of ``long`` that stops inside one of its sentences."""
+    short, long = body_of(short), body_of(long)
+    words, places = _WORD.findall(short), [m.span() for m in _WORD.finditer(long)]
+    if len(words) < SHINGLE or len(long) <= len(short) * SIMILAR:
         return False
-    words, places = _SPLIT.findall(short), [m.span() for m in _SPLIT.finditer(long)]
     others = [long[x:y] for x, y in places]
-    # the last SHINGLE - 1 whole words before the end fix the place in the longer text
-    anchor = words[-SHINGLE:-1]
-    for i in range(len(others) - len(anchor), -1, -1):
-        if others[i : i + len(anchor)] == anchor:
-            at = i + len(anchor)
-            if at >= len(others) or not others[at].startswith(words[-1]):
-                continue
-            stop = places[at][0] + len(words[-1])
-            return stop < len(long.rstrip()) and _inside(long, stop, short)
+    grams = lambda ws: {tuple(ws[k : k + SHINGLE]) for k in range(len(ws) - SHINGLE + 1)}
+    own = grams(words[:-1])  # the last word may be a part of one
+    if len(own & grams(others)) < SIMILAR * len(own):
+        return False
+    anchor, tail, k = words[-SHINGLE:-1], short[_last_word(short) :], len(words) - SHINGLE
+    complete = structure(short)[0] == COMPLETE
+    for i in range(max(0, int(k * SIMILAR) - 1), min(len(others) - SHINGLE, int(k / SIMILAR) + 1) + 1):
+        if others[i : i + SHINGLE - 1] == anchor:
+            at = places[i + SHINGLE - 1][0]
+            if long.startswith(tail, at) and _goes_on(short[-60:], long[at + len(tail) :], complete):
+                return True
     return False
 
 
-def _inside(long: str, stop: int, short: str) -> bool:
-    """Whether ``stop`` is inside a sentence of ``long``, however the end of ``short`` looks by itself."""
-    rest = long[stop:]
-    if _STOP.search(long[max(0, stop - 40) : stop]):
-        if long[stop - 1] != ".":
-            return False
-        # a point inside a number, an abbreviation or a name, or behind the number of an item
-        return rest[0].isascii() and rest[0].isalnum() or rest[0] == " " and (rest.lstrip(" ")[:1].islower() or rest.strip(" ")[:1] not in ("", "\n") and bool(_ITEM.search(long[max(0, stop - 40) : stop])))
-    if structure(short)[0] != COMPLETE:
-        return True
-    # a whole line, value, block or JSON text that others follow isn't cut
-    return rest.lstrip(" \t\r")[:1] != "\n" and short[-1] not in ">`]}"
-
-
-def cut_copies(open_texts: DataFrame, texts: DataFrame, text: str = "text") -> DataFrame:
-    """``short``: the distinct texts of ``open_texts`` that are cut-off near-copies of one in ``texts``."""
-    # only an end that stands inside some text as well can be a cut: bands are needed of such texts alone
-    ending = written(_ending(open_texts.select(text).where(F.col(text).isNotNull()).distinct(), text), "ending")
-    inside = _inside_places(texts.where(F.col(text).isNotNull()), text, [bit_map(ending.select(x), BAND_BITS) for x in ("anchor", "place")])
-    asked = written(bands(ending.join(inside, "place", "left_semi").select("text"), "text"), "asked")
-    maps = [bit_map(asked.select(x), BAND_BITS) for x in ("band", "anchor", "place", "joint")]
-    every = written(holders(texts.where(F.col(text).isNotNull()), text, maps).distinct(), "holders")
-    keys = ["joint"]
-    longest = every.groupBy(*keys).agg(F.max(F.struct("most", "other")).alias("top")).select(*keys, "top.*")
-    first = written(asked.join(longest, keys).where("most > size").select("version", "other").distinct(), "pairs")
-    settled = written(_verified(first, texts, text), "settled")
-    # what the longest text of a place doesn't settle meets all of its place, in parts of at most PART
-    parts = every.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
-    rest = asked.join(settled, "version", "left_anti").join(parts, keys).select(*keys, "size", "version", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    parted = every.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("other"), F.col("parts")).cast("int"))
-    others = rest.join(parted, [*keys, "part"]).where("most > size").select("version", "other").distinct()
-    more = _verified(written(others.join(first, ["version", "other"], "left_anti"), "pairs"), texts, text)
-    return settled.select("short").unionByName(more.select("short")).distinct()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, text: str) -> DataFrame:
-    """``version, short``: the texts of the pairs that end early in their ``other``."""
-    # only texts of pairs are read again; the hash is that of bands()
-    told = pairs.select(F.explode(F.array("version", "other")).alias("version")).distinct()
-    sided = written(_versioned(texts, text).join(told, "version").groupBy("version").agg(F.first("text").alias("text")), "sided")
-    both = pairs.join(sided.select("version", F.col("text").alias("short")), "version").join(sided.select(F.col("version").alias("other"), F.col("text").alias("long")), "other").select("version", "short", "long")
+def cut_copies(texts: DataFrame, states: DataFrame) -> DataFrame:
+    """``version`` of the texts (``version, text``, each once) that are cut-off near-copies of another one.
+
+    ``states`` has their ``version`` and ``state``.
+    """
+    ending = written(endings_of(texts).join(states.select("version", (F.col("state") == COMPLETE).alias("complete")), "version"), "endings")
+    asked = ending.select("version", "size", "head", "tail", "complete", F.explode("joint").alias("joint"))
+    held = written(_held(texts, ending, asked.select("joint")), "holders")
+    alike = held.groupBy("joint", "ahead").agg(F.max(F.struct("size", "version")).alias("top")).select("joint", "ahead", F.col("top.size").alias("most"), F.col("top.version").alias("other"))
+    first = _candidates(asked, alike).groupBy("version").agg(F.max(F.struct("most", "other")).alias("top")).select("version", "top.other")
+    first = written(first, "pairs")
+    settled = written(_verified(first, texts), "settled")
+    # what the longest holder of a place doesn't settle meets every holder
+    rest = asked.join(first.join(settled, "version", "left_anti").select("version"), "version", "left_semi")
+    others = _candidates(rest, held.withColumnsRenamed({"size": "most", "version": "other"})).select("version", "other").distinct()
+    more = _verified(others.join(first, ["version", "other"], "left_anti"), texts)
+    return settled.unionByName(more).distinct()
+
+
+def _held(texts: DataFrame, ending: DataFrame, joints: DataFrame) -> DataFrame:
+    """The holders of the places that are asked for.
+
+    Where the maps of the places would be too large to send, the texts that hold the last words of another one are found
+    first, by a join of all such words, and only those are read again, with their places at hand.
+    """
+    anchors, wanted = chooser(ending.select("anchor"), MAX_BITS), chooser(joints, MAX_BITS)
+    if anchors is not None and wanted is not None:
+        return holders(texts, anchors, wanted)
+    sites = _sites(texts).join(ending.select("anchor").distinct(), "anchor", "left_semi").groupBy("version").agg(F.collect_set("anchor").alias("sites"))
+    return holders(texts.join(sites, "version"), anchors, wanted).join(joints.distinct(), "joint", "left_semi")
+
+
+def _sites(texts: DataFrame) -> DataFrame:
+    """``version, anchor``: every run of SHINGLE - 1 words in each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [i for i, (x, y) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())) if ends_early(x.rstrip(), y)]
-            yield b.select(["version", "short"]).take(pa.array(keep, pa.int64()))
+            read = Shingled([body_of(t) for t in b.column(1).to_pylist()])
+            rows = np.repeat(np.array(read.rows, np.int64), read.windows)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), pa.array(read.anchors.view(np.int64))], ["version", "anchor"])
+
+    return texts.select("version", "text").mapInArrow(run, "version binary, anchor long")
+
+
+def _candidates(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """``version, most, other``: ends that stand in a text which goes on in their sentence."""
+    both = asked.join(held, "joint").where("version <> other and startswith(ahead, tail) and char_length(ahead) > char_length(tail)")
+    slim = both.select("version", "most", "other", "head", "tail", "ahead", "complete").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(*(b.column(k).to_pylist() for k in ("head", "tail", "ahead", "complete")))
+            keep = [len(tail) >= END or _goes_on(head, ahead[len(tail) :], complete) for head, tail, ahead, complete in rows]
+            yield b.select(["version", "most", "other"]).filter(pa.array(keep, pa.bool_()))
+
+    return slim.mapInArrow(run, "version binary, most int, other binary").distinct()
 
-    return both.mapInArrow(run, "version long, short string").distinct()
 
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``version`` of the pairs whose text ends early in that of ``other``."""
+    both = pairs.join(texts.select("version", F.col("text").alias("short")), "version").join(texts.select(F.col("version").alias("other"), F.col("text").alias("long")), "other")
 
-def _versioned(texts: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_version(t) for t in b.column(0).to_pylist()], pa.int64()), b.column(0)], ["version", "text"])
+            keep = [ends_early(x, y) for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield b.select(["version"]).filter(pa.array(keep, pa.bool_()))
 
-    return texts.where(F.col(text).isNotNull()).select(text).mapInArrow(run, "version long, text string")
+    return both.select("version", "short", "long").mapInArrow(run, "version binary").distinct()
 
 
 def truncated(records: DataFrame) -> DataFrame:
-    """Of records (``source_table, record_id, text``, one row each) those cut off: with ``by`` (copy, structure, ending).
+    """Of records (``source_table, record_id, text``) those cut off: with ``by`` (copy, structure, ending).
 
-    Null texts give no row. Equal texts are compared once, whatever their end looks like. An empty table gives no row.
+    Null texts give no row, repeated rows one. Equal texts are one version, compared once, whatever their end looks like.
+    Further columns are ignored. An empty table gives no row.
     """
-    keys = ["source_table", "record_id"]
-    rows = records.where(F.col("text").isNotNull()).select(*keys, "text")
-    ends = written(tails(rows, keys, "text"), "tails")
-    copies = cut_copies(rows, rows)
-    by_copy = rows.join(copies, F.col("text") == F.col("short")).select(*keys, F.lit(True).alias("copy"))
-    told = judged(rows, keys, "text", ends).select(*keys, "state", "cut").join(by_copy, keys, "left")
+    rows = records.where(F.col("text").isNotNull())
+    texts = written(versions(rows, "text"), "texts")
+    ends = written(tails(texts), "tails")
+    copies = cut_copies(texts, ends).withColumn("copy", F.lit(True))
+    told = judged(texts, ends).select("version", "state", "cut").join(copies, "version", "left").where("cut or copy")
     by = F.when(F.col("copy"), "copy").when(F.col("state") == 1, "structure").otherwise("ending")
-    return told.where("cut or copy").select("source_table", "record_id", by.alias("by"))
+    found = told.select("version", by.alias("by"))
+    return rows.select("source_table", "record_id", version_of("text")).join(found, "version").groupBy("source_table", "record_id").agg(F.min("by").alias("by"))
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
-    """The texts of the two tables, rows delivered again once: ``source_table, record_id, source_dataset, text``."""
+    """The texts of the two tables as delivered: ``source_table, record_id, source_dataset, text``."""
     events = spark.read.parquet(f"{folder}/session_events.parquet").select(F.lit("session_events").alias("source_table"), F.col("event_id").cast("string").alias("record_id"), "source_dataset", F.col("content").alias("text"))
     results = spark.read.parquet(f"{folder}/task_results.parquet").select(F.lit("task_results").alias("source_table"), F.col("task_key").alias("record_id"), "source_dataset", F.col("pred").alias("text"))
-    rows = events.unionByName(results).where("record_id is not null")
-    return rows.distinct()
+    return events.unionByName(results).where("record_id is not null")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return truncated(written(records(spark, folder).drop("source_dataset"), "records")).select("source_table", "record_id").distinct()
+    return truncated(records(spark, folder)).select("source_table", "record_id")
 
 
 def p3_rates(spark: SparkSession, folder: str) -> DataFrame:
     """Texts, cut texts and their share, for each table and source."""
-    rows = written(records(spark, folder).where("text is not null"), "records")
-    cut = truncated(rows.drop("source_dataset")).withColumn("hit", F.lit(1))
-    told = rows.select("source_table", "record_id", "source_dataset").join(cut, ["source_table", "record_id"], "left")
+    rows = records(spark, folder)
+    each = rows.where("text is not null").select("source_table", "record_id", "source_dataset").distinct()
+    told = each.join(truncated(rows).withColumn("hit", F.lit(1)), ["source_table", "record_id"], "left")
     counts = told.groupBy("source_table", "source_dataset").agg(F.count("*").alias("n_texts"), F.count("hit").alias("n_cut"))
     return counts.withColumn("cut_share", F.round(F.col("n_cut") / F.col("n_texts"), 6))
