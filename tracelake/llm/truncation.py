@@ -287,22 +287,32 @@ def _cuts(stop: int, complete: bool, long: str, at: int) -> bool:
 def cut_copies(texts: DataFrame, states: DataFrame) -> DataFrame:
     """``version`` of the texts (``version, text``, each once) that are cut-off near-copies of another one.
 
-    ``states`` has their ``version`` and ``state``.
+    ``states`` has their ``version`` and ``state``, and perhaps ``cut``: what is known as cut already is compared with the longest
+    holders only, as no other one changes that.
     """
     ending = written(endings_of(texts).join(states.select("version", (F.col("state") == COMPLETE).alias("complete")), "version"), "endings")
     asked = ending.select("version", "stop", "complete", "anchor", "place", F.explode("joint").alias("joint"))
     held = _held(texts, asked).groupBy("joint", "kind").agg(F.max(F.struct("size", "version")).alias("top")).select("joint", "kind", F.col("top.size").alias("most"), F.col("top.version").alias("other"))
+    held = _sent_if_small(written(held, "held"))
     first = written(_candidates(asked, held).groupBy("version").agg(F.max(F.struct("most", "other")).alias("top")).select("version", "top.other"), "pairs")
     settled = written(_verified(first, texts), "settled")
     # what the longest holder doesn't settle meets every holder
-    left = written(asked.join(first.join(settled, "version", "left_anti").select("version"), "version", "left_semi"), "left")
+    left = first.join(settled, "version", "left_anti").select("version")
+    if "cut" in states.columns:
+        left = left.join(states.where("cut").select("version"), "version", "left_anti")
+    left = written(asked.join(_sent_if_small(written(left, "left")), "version", "left_semi"), "unsettled")
     if left.isEmpty():
         return settled
     others = _candidates(left, _held(texts, left, True).withColumnsRenamed({"size": "most", "version": "other"})).select("version", "other").distinct()
-    more = _verified(others.join(first, ["version", "other"], "left_anti"), texts)
+    more = _verified(written(others.join(first, ["version", "other"], "left_anti"), "others"), texts)
     return settled.unionByName(more).distinct()
 
 
+def _sent_if_small(rows: DataFrame, most: int = 500_000) -> DataFrame:
+    """A written table of some short columns, to be sent if it has at most ``most`` rows (some 20 MB); a larger one is shuffled."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def _held(texts: DataFrame, asked: DataFrame, every: bool = False) -> DataFrame:
     """The holders of the places that are asked for.
 
@@ -334,8 +344,10 @@ def _candidates(asked: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``version`` of the pairs whose text ends early in that of ``other``."""
-    both = pairs.join(texts.select("version", F.col("text").alias("short")), "version").join(texts.select(F.col("version").alias("other"), F.col("text").alias("long")), "other")
+    """``version`` of the pairs (written) whose text ends early in that of ``other``."""
+    told = written(pairs.select(F.explode(F.array("version", "other")).alias("version")).distinct(), "told")
+    sided = written(texts.select("version", "text").join(_sent_if_small(told), "version", "left_semi"), "sided")
+    both = pairs.join(sided.select("version", F.col("text").alias("short")), "version").join(sided.select(F.col("version").alias("other"), F.col("text").alias("long")), "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -353,12 +365,11 @@ def truncated(records: DataFrame) -> DataFrame:
     """
     rows = records.where(F.col("text").isNotNull())
     texts = written(versions(rows, "text"), "texts")
-    ends = written(tails(texts), "tails")
-    copies = cut_copies(texts, ends).withColumn("copy", F.lit(True))
-    told = judged(texts, ends).select("version", "state", "cut").join(copies, "version", "left").where("cut or copy")
+    told = written(judged(texts, written(tails(texts), "tails")).select("version", "state", "cut"), "judged")
+    copies = cut_copies(texts, told).withColumn("copy", F.lit(True))
     by = F.when(F.col("copy"), "copy").when(F.col("state") == 1, "structure").otherwise("ending")
-    found = told.select("version", by.alias("by"))
-    return rows.select("source_table", "record_id", version_of("text")).join(found, "version").groupBy("source_table", "record_id").agg(F.min("by").alias("by"))
+    found = written(told.join(copies, "version", "left").where("cut or copy").select("version", by.alias("by")), "found")
+    return rows.select("source_table", "record_id", version_of("text")).join(_sent_if_small(found), "version").groupBy("source_table", "record_id").agg(F.min("by").alias("by"))
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
