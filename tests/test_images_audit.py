@@ -83,6 +83,11 @@ def test_audit(spark):
     assert one[:4] == (True, False, True, False) and one[4] == "x data:image/png;base64,<base64> y" and one[5] == ["/a/b.png", "b.png"] and one[6] == [] and one[7] == ["x\n"] and one[8] == 2 and one[9] is None
 
 
+def test_code_of_answers(spark):
+    one = spark.range(1).select(A.closed_tags(F.lit("a<code>x")), A.closed_tags(F.lit("<code>x</code>")), A.last_code(F.lit("<code>1</code><code>\n```python\nx = 1\n```\n</code>")), A.last_code(F.lit("<code>```py\ny</code>")), A.last_code(F.lit("none")), A.saved_result(F.lit("ab" * 10), 5), A.saved_result(F.lit("data:image/png;base64,AAAA"), 50)).first()
+    assert one[:] == ("a<code>x</code>", "<code>x</code>", "x = 1", "y", None, "ababa\n... (truncated)", "data:image/png;base64,...")
+
+
 def test_settings(monkeypatch):
     monkeypatch.setenv("TL_X", "5")
     assert A.expanded({"a": ["${TL_X}", 1]}) == {"a": ["5", 1]}
@@ -96,6 +101,11 @@ def test_arguments_and_rejudge(spark):
     schema = {"crop": {"properties": {"path": {"type": "string"}, "box": {"type": "array", "items": {"type": "integer", "minimum": 0}}}, "required": ["path"]}}
     rows = [("crop", '{"path": "a", "box": [1, 2]}'), ("crop", '{"box": [1, -2, "x"]}'), ("crop", "{"), ("other", "{}"), (None, None)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string, a string").coalesce(1).select(A.argument_problems(schema)("t", "a")).collect()]
-    assert got == [[], ["missing required path", "box[1] must be >= 0", "box[2] should be integer"], ["arguments aren't JSON"], ["unknown tool other"], ["unknown tool None"]]
+    assert got == [[], ["$.box[1]: minimum 0", "$.box[2]: type integer", "$: required path"], ["arguments aren't JSON"], ["unknown tool other"], ["unknown tool None"]]
+    given = spark.createDataFrame([("crop", '{"path": 7, "box": ["1", "x"]}')], "t string, a string")
+    assert given.select(A.argument_problems(schema, True)("t", "a")).first()[0] == ["$.box[1]: type integer"]
+    typed = {"properties": {"a": {"type": "boolean"}, "b": {"type": "number"}, "c": {"type": "integer"}, "d": {"type": "string"}}}
+    assert A.cast({"a": "Yes", "b": "1.5", "c": "z", "d": None, "e": "1"}, typed) == {"a": True, "b": 1.5, "c": "z", "d": None, "e": "1"}
+    assert A._misfits({"a": 1, "b": True, "c": 2}, typed) == ["$.a: type boolean", "$.b: type number"]
     out = A.rejudged(spark.createDataFrame([("a", 0.0), ("b", 1.0)], "k string, score double"), spark.createDataFrame([("a", 1.0)], "k string, score double"), "k", ["score"])
     assert {(r.k, r.score, r.score_prev) for r in out.collect()} == {("a", 1.0, 0.0), ("b", 1.0, None)}

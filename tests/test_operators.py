@@ -80,20 +80,29 @@ def test_running_counts_over_ranges(spark):
 
 def test_bootstrap_interval_covers_and_repeats(spark):
     r = random.Random(2)
-    rows = [("a", r.choice([0.0, 0.25, 0.5, 1.0])) for _ in range(400)] + [("b", 0.5)] * 50 + [("a", None)]
+    rows = [("a", r.choice([0.0, 0.25, 0.5, 1.0])) for _ in range(400)] + [("b", 0.5)] * 50 + [("a", None), (None, 1.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {x.g: (x.low, x.high) for x in K.bootstrap_ci(df, ["g"], "v").collect()}
+    got = {x.g: (x.low, x.high) for x in K.bootstrap_ci(df, ["g"], "v", 2000).collect()}
     values = [v for g, v in rows if g == "a" and v is not None]
     mean = sum(values) / len(values)
-    error = (sum((v - mean) ** 2 for v in values) / len(values) / len(values)) ** 0.5
     assert got["a"][0] < mean < got["a"][1]
-    assert got["a"][1] - got["a"][0] == pytest.approx(3.92 * error, rel=0.25)
-    assert got["b"] == (0.5, 0.5)
-    assert {x.g: (x.low, x.high) for x in K.bootstrap_ci(df.repartition(3), ["g"], "v").collect()} == got
-    levels = {x.level: (x.low, x.high) for x in K.stratified_bootstrap(df, "g", "v").collect()}
+    assert got["b"] == (0.5, 0.5) and got[None] == (1.0, 1.0)
+    assert {x.g: (x.low, x.high) for x in K.bootstrap_ci(df.repartition(3), ["g"], "v", 2000).collect()} == got
+    levels = {x.level: (x.low, x.high) for x in K.stratified_bootstrap(df, "g", "v", 2000).collect()}
     assert set(levels) == {"micro", "macro"} and all(a < b for a, b in levels.values())
 
 
+@pytest.mark.parametrize("n, ties", [(20, False), (200, False), (2000, True)])
+def test_bootstrap_is_as_wide_as_resampling(spark, n, ties):
+    import numpy as np
+
+    r = np.random.default_rng(n)
+    values = np.round(r.random(n), 1) if ties else r.random(n)
+    drawn = np.quantile(values[r.integers(0, n, (20_000, n))].mean(axis=1), [0.025, 0.975])
+    got = K.bootstrap_ci(spark.createDataFrame([(float(v),) for v in values], "v double"), [], "v").first()
+    assert got.high - got.low == pytest.approx(drawn[1] - drawn[0], rel=0.03)
+
+
 def test_votes(spark):
     df = spark.createDataFrame([([1, 1, 0],), ([1, 0],), ([None, 1],), ([],)], "v array<int>")
     assert [r[0] for r in df.coalesce(1).select(K.majority(F.col("v"))).collect()] == [True, False, True, False]
@@ -121,8 +130,10 @@ def test_traces(spark):
     made = R.calls(e)
     assert {(r.event_id, r.call_no, r.call_id, r.tool, r.arguments) for r in made.collect()} == {(3, 0, "c1", "crop", '{"a": 1}'), (3, 1, "c2", "exec", '{"b":2}'), (7, 0, "d", "list_dir", None)}
     assert {(r.result_id, r.call_event_id, r.tool) for r in R.call_results(e, made).collect()} == {(4, 3, "crop"), (5, None, None)}
-    assert {(r.event_id) for r in R.history_window(e, 3).collect()} == set()
-    assert {(r.event_id) for r in R.history_window(e, 5).collect()} == {2, 3, 4, 5, 6}
+    assert {(r.event_id) for r in R.history_window(e, 3).collect()} == {4, 5, 6, 7, 8}  # without a user message all stay
+    assert {(r.event_id) for r in R.history_window(e, 5).collect()} == {2, 3, 4, 5, 6, 7, 8}
+    told = spark.createDataFrame([("s", 2)], "session_key string, last_consolidated int")
+    assert {(r.event_id) for r in R.history_window(e, 9, consolidated=told).collect()} == {3, 4, 5, 6, 7, 8}
     assert [r[0] for r in e.where("event_id = 5").select(R.saved_paths(F.col("content"))).collect()] == [["/a/b.png"]]
     assert {(r.event_id, r.observation_no) for r in R.numbered(e).collect()} == {(k, k) for k in range(1, 7)} | {(7, 1), (8, 2)}
     told = {r.tool: (r.n_calls, r.share, r.coverage) for r in R.tool_distribution(made).collect()}
@@ -148,11 +159,13 @@ def test_task_key(spark):
     assert one[:] == ("a_b_7", "dataset_7", "dataset_7")
 
 
-def test_chunks():
-    import pandas as pd
-
-    f = R.chunked.__globals__["_chunks"](10).func
-    assert f(pd.Series(["", None, "short", "one two three four", "abcdefghijklmno", "line\nsecond line here"])).tolist() == [[], [], ["short"], ["one two", "three four"], ["abcdefghij", "klmno"], ["line", "second", "line here"]]
+def test_chunks(spark):
+    texts = ["", None, "short", "one two three four", "abcdefghijklmno", "line\nsecond line here", "  led by blanks", "ab \n\n  cd 0123456789"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = [r[1] for r in sorted(df.select("k", R.chunked(F.col("t"), 10)).collect())]
+    assert got == [[], [], ["short"], ["one two", "three four"], ["abcdefghij", "klmno"], ["line", "second", "line here"], ["  led by", "blanks"], ["ab ", "cd", "0123456789"]]
+    long = spark.createDataFrame([("x" * 300_000,), ("word " * 60_000,)], "t string").select(R.chunked(F.col("t"))).collect()
+    assert [len(r[0]) for r in long] == [150, 151] and max(map(len, long[1][0])) <= 2000
 
 
 def test_empty_tables(spark):

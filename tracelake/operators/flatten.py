@@ -45,6 +45,7 @@ class Tokens:
     end: np.ndarray  # byte after the last
     text: np.ndarray  # index of the text
     parent: np.ndarray  # token of the bracket around it, -1 at the top
+    close: np.ndarray  # byte after the bracket that closes it, 0 for other tokens
     readable: np.ndarray  # by text
 
 
@@ -156,11 +157,13 @@ def tokens(texts: pa.Array) -> Tokens:
     key = np.sort(level[lefts] * stride + lefts)
     if len(around):
         parent[around] = key[np.searchsorted(key, inner[around] * stride + around) - 1] % stride
+    close = np.zeros(len(kind), np.int64)
+    close[lefts] = end[rights]
     _grammar(kind, text, parent, bad)
     keep = ~bad[text]
     renumber = np.cumsum(keep) - 1
     parent = np.where(parent >= 0, renumber[parent], -1)[keep]
-    return Tokens(data, kind[keep], at[keep], end[keep], text[keep], parent, ~bad[:n])
+    return Tokens(data, kind[keep], at[keep], end[keep], text[keep], parent, close[keep], ~bad[:n])
 
 
 def _is_scalar(word: bytes) -> bool:
@@ -199,10 +202,19 @@ def _grammar(kind: np.ndarray, text: np.ndarray, parent: np.ndarray, bad: np.nda
 
 @dataclass
 class Level:
-    """Elements being flattened: index of their root row and their path."""
+    """Values being flattened: index of their root row, their path and the path of the nearest element above (null at the top).
+
+    Of elements that are told ``value`` is the JSON text, if they come from one.
+    """
 
     root: np.ndarray
     path: pa.Array
+    above: pa.Array
+    value: pa.Array | None = None
+
+    def take(self, rows: np.ndarray) -> Level:
+        at = pa.array(rows, pa.int64())
+        return Level(self.root[rows], self.path.take(at), self.above.take(at))
 
 
 def _join(*parts: pa.Array | str) -> pa.Array:
@@ -224,7 +236,7 @@ def _strings(t: Tokens, rows: np.ndarray) -> pa.Array:
 NONE, FIRST, SELF = 0, 1, 2
 
 
-def json_nodes(texts: pa.Array, where: Level, top_is: np.ndarray) -> Iterator[Level]:
+def json_nodes(texts: pa.Array, where: Level, top_is: np.ndarray, values_: bool = False) -> Iterator[Level]:
     """Objects that are array elements in JSON texts (without nulls), with root and path.
 
     Strings that are JSON themselves are read through under the same path; what isn't readable is a leaf.
@@ -254,24 +266,28 @@ def json_nodes(texts: pa.Array, where: Level, top_is: np.ndarray) -> Iterator[Le
         index = np.full(stride, -1, np.int64)
         index[children] = np.arange(len(children))
         holder = np.where(top, -1, index[np.maximum(arrays, 0)])
-        path = np.full(len(children), "", object)
+        path, above = np.full(len(children), "", object), np.full(len(children), None, object)
         path[top] = where.path.take(pa.array(of[top])).to_numpy(zero_copy_only=False) + own[top]
+        above[top] = where.above.take(pa.array(of[top])).to_numpy(zero_copy_only=False)
+        element = is_object & (in_array | (top & (top_is[of] != NONE)))
         ready, left = top.copy(), np.flatnonzero(~top)
         while len(left):
             now = left[ready[holder[left]]]
             path[now] = path[holder[now]] + own[now]
+            above[now] = np.where(element[holder[now]], path[holder[now]], above[holder[now]])
             ready[now] = True
             left = left[~ready[left]]
         root = where.root[of]
-        element = is_object & (in_array | (top & (top_is[of] != NONE)))
-        yield Level(root[element], pa.array(path[element], pa.string()))
+        body = [t.data[a:b].tobytes() for a, b in zip(t.at[children[element]], t.close[children[element]])] if values_ else None
+        yield Level(root[element], pa.array(path[element], pa.string()), pa.array(above[element], pa.string()), None if body is None else pa.array(body, pa.binary()).cast(pa.string()))
         inner = np.flatnonzero(t.kind[children] == STRING)
         values = _strings(t, children[inner])
         likely = _likely(values)
         picked = inner[likely]
         texts = values.take(pa.array(np.flatnonzero(likely)))
         top_is = np.where(in_array[picked], SELF, np.where(top[picked], top_is[of[picked]], NONE))
-        where = Level(root[picked], pa.array(path[picked], pa.string()))
+        # a text that is an element by itself has the element above it, another one the element that it stands in
+        where = Level(root[picked], pa.array(path[picked], pa.string()), pa.array(above[picked], pa.string()))
 
 
 def _likely(texts: pa.Array) -> np.ndarray:
@@ -280,84 +296,129 @@ def _likely(texts: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.match_substring_regex(seen, r'^[\[{"](?s:.*)[\]}"]$'), False).to_numpy(zero_copy_only=False).astype(bool)
 
 
-def _readable(texts: pa.Array, where: Level, top_is: int = NONE) -> Iterator[Level]:
+def _readable(texts: pa.Array, where: Level, top_is: int = NONE, values_: bool = False) -> Iterator[Level]:
     """Array-element objects in the texts that may be JSON."""
     rows = np.flatnonzero(_likely(texts))
     if len(rows):
-        yield from json_nodes(texts.take(pa.array(rows)), Level(where.root[rows], where.path.take(pa.array(rows))), np.full(len(rows), top_is))
+        yield from json_nodes(texts.take(pa.array(rows)), where.take(rows), np.full(len(rows), top_is), values_)
+
+
+def _children(values: pa.Array, where: Level) -> tuple[pa.Array, np.ndarray, Level]:
+    """Elements of a list column by its offsets: their values, places and where they are, keys handed down by a take."""
+    wide = pa.types.is_large_list(values.type)
+    offsets = np.frombuffer(values.buffers()[1], np.int64 if wide else np.int32)[values.offset : values.offset + len(values) + 1]
+    parents = pc.list_parent_indices(values)
+    child = pc.list_flatten(values)
+    of = parents.to_numpy(zero_copy_only=False)
+    lengths = np.where(values.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets.astype(np.int64)), 0)
+    place = np.arange(len(child)) - (np.cumsum(lengths) - lengths)[of] if len(child) else np.empty(0, np.int64)
+    path = _join(where.path.take(parents), "[", pa.array(place, pa.int64()).cast(pa.string()), "]")
+    return child, place, Level(where.root[of], path, where.above.take(parents))
 
 
 def nested_nodes(values: pa.Array, where: Level, top_is: int = NONE) -> Iterator[Level]:
     """Array-element objects of an Arrow column of any nesting, by list offsets and parent indexes."""
     kind = values.type
     if pa.types.is_list(kind) or pa.types.is_large_list(kind):
-        offsets = np.frombuffer(values.buffers()[1], np.int32 if pa.types.is_list(kind) else np.int64)[values.offset : values.offset + len(values) + 1]
-        parents = pc.list_parent_indices(values)
-        child = pc.list_flatten(values)
-        of = parents.to_numpy(zero_copy_only=False)
-        valid = values.is_valid().to_numpy(zero_copy_only=False)
-        lengths = np.where(valid, np.diff(offsets.astype(np.int64)), 0)
-        place = np.arange(len(child)) - (np.cumsum(lengths) - lengths)[of] if len(child) else np.empty(0, np.int64)
-        path = _join(where.path.take(parents), "[", pa.array(place, pa.int64()).cast(pa.string()), "]")
-        below = Level(where.root[of], path)
+        child, _, below = _children(values, where)
         if pa.types.is_struct(child.type):
-            there = child.is_valid()
-            yield Level(below.root[there.to_numpy(zero_copy_only=False)], path.filter(there))
+            there = np.flatnonzero(child.is_valid().to_numpy(zero_copy_only=False))
+            yield below.take(there)
+            below = Level(below.root, below.path, below.path)
         yield from nested_nodes(child, below, SELF)
     elif pa.types.is_struct(kind):
-        there = values.is_valid()
-        some, root, path = values.filter(there), where.root[there.to_numpy(zero_copy_only=False)], where.path.filter(there)
+        there = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
+        some, own = values.take(pa.array(there)), where.take(there)
         for k, field in enumerate(kind):
-            yield from nested_nodes(pc.struct_field(some, k), Level(root, _join(path, "." + field.name)))
+            yield from nested_nodes(pc.struct_field(some, k), Level(own.root, _join(own.path, "." + field.name), own.above))
     elif pa.types.is_string(kind) or pa.types.is_large_string(kind):
         yield from _readable(values, where, top_is)
 
 
-def node_paths(table: DataFrame, key: str, column: str, json_text: bool = False) -> DataFrame:
-    """One row per object that is an array element in ``column``, at any depth: ``root_id``, ``node_path``.
+def _start(column: str, n: int) -> Level:
+    return Level(np.arange(n), pa.array([column] * n, pa.string()), pa.nulls(n, pa.string()))
 
-    With ``json_text`` the column is JSON text itself, in which a bare object counts as element 0. A row's path starts
-    with the column's name; ``parent_path`` names the nearest element above it, null at the top. Rows with a null key or
-    value give none, unreadable texts are leaves, repeated rows count once, further columns are ignored.
+
+def _place(path: pa.Array) -> pa.Array:
+    """The place that a path ends with."""
+    return pc.struct_field(pc.extract_regex(path, r"\[(?P<n>\d+)\]$"), "n").cast(pa.int64())
+
+
+_NODES = ["root_id", "node_path", "parent_path", "place"]
+
+
+def nodes(table: DataFrame, key: str, column: str, json_text: bool = False, values: bool = False) -> DataFrame:
+    """One row per object that is an array element in ``column``, at any depth: ``root_id, node_path, parent_path, place``.
+
+    With ``json_text`` the column is JSON text itself, in which a bare object counts as element 0; ``values`` adds the object's
+    JSON text as ``value``. A path starts with the column's name; ``parent_path`` names the nearest element above it, null at
+    the top; ``place`` is the one in its array. Rows with a null key or value give none, unreadable texts are leaves, repeated
+    rows count once, further columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, values = batch.column(0), batch.column(1)
-            start = Level(np.arange(len(keys)), pa.array([column] * len(keys), pa.string()))
-            for level in _readable(values, start, FIRST) if json_text else nested_nodes(values, start):
+            keys, held = batch.column(0), batch.column(1)
+            start = _start(column, len(keys))
+            for level in _readable(held, start, FIRST, values) if json_text else nested_nodes(held, start):
                 if len(level.root):
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(level.root)).cast(pa.string()), level.path.cast(pa.string())], ["root_id", "node_path"])
+                    cols = [keys.take(pa.array(level.root)).cast(pa.string()), level.path.cast(pa.string()), level.above.cast(pa.string()), _place(level.path)]
+                    yield pa.RecordBatch.from_arrays(cols + [level.value] * values, _NODES + ["value"] * values)
 
+    if values and not json_text:
+        raise ValueError("values are those of JSON texts; child_table gives the fields of nested columns")
     rows = table.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(column).alias("value"))
-    return rows.mapInArrow(run, "root_id string, node_path string").distinct()
+    return rows.mapInArrow(run, "root_id string, node_path string, parent_path string, place long" + ", value string" * values).distinct()
 
 
-def p4_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    """Nodes of the three nested fields, one row each."""
-    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
-    parts = [("session_events", node_paths(read("session_events"), "event_id", "tool_calls", True)), ("task_results", node_paths(read("task_results"), "task_key", "samples")), ("sft_samples", node_paths(read("sft_samples"), "sample_id", "messages"))]
-    every = [nodes.select(F.lit(name).alias("root_table"), "root_id", "node_path") for name, nodes in parts]
-    return every[0].unionByName(every[1]).unionByName(every[2])
-
-
-def with_parent(nodes: DataFrame) -> DataFrame:
-    """Adds ``parent_path``, the nearest element above, and ``place`` in its array."""
-    above = F.regexp_extract("node_path", r"^(.*\])[^\]]*\[\d+\]$", 1)
-    return nodes.withColumns({"parent_path": F.when(above != "", above), "place": F.regexp_extract("node_path", r"\[(\d+)\]$", 1).cast("long")})
+def node_paths(table: DataFrame, key: str, column: str, json_text: bool = False) -> DataFrame:
+    """``root_id, node_path`` of :func:`nodes`."""
+    return nodes(table, key, column, json_text).select("root_id", "node_path")
 
 
 def child_table(table: DataFrame, key: str, path: str) -> DataFrame:
-    """Elements of a nested array as a flat table: ``key``, ``parent_places`` (the place in each array above) and ``place``,
-    then the element's own plain fields. ``path`` names the arrays from the outermost, such as ``samples.turns``.
+    """Elements of a nested array as a flat table: ``root_id, node_path, parent_path, place``, then their plain fields as ``item_<name>``.
 
-    Null and empty arrays and null structs give no row; a null element is kept out as well.
+    ``path`` names the arrays from the outermost, such as ``samples.turns``. Null and empty arrays, null structs and null
+    elements give no row; repeated rows count once.
     """
     names = path.split(".")
-    rows = table.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.array().cast("array<int>").alias("parent_places"), F.col(names[0]).alias("items"))
-    for k, name in enumerate(names):
-        rows = rows.select("key", "parent_places", F.posexplode("items").alias("place", "item")).where("item is not null")
-        if k + 1 < len(names):
-            rows = rows.select("key", F.concat("parent_places", F.array("place")).alias("parent_places"), F.col(f"item.{names[k + 1]}").alias("items"))
-    fields = [f for f in rows.schema["item"].dataType.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType))]
-    return rows.select(F.col("key").cast("string").alias("root_id"), "parent_places", "place", *(F.col(f"item.{f.name}").alias(f"item_{f.name}") for f in fields)).distinct()
+    kind = table.schema[names[0]].dataType
+    for name in names[1:]:
+        kind = kind.elementType[name].dataType
+    fields = [f for f in kind.elementType.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, held = batch.column(0), batch.column(1)
+            where = _start(names[0], len(keys))
+            for k, name in enumerate(names):
+                if k:
+                    held, where = pc.struct_field(held, name), Level(where.root, _join(where.path, "." + name), where.path)
+                held, place, where = _children(held, where)
+                there = np.flatnonzero(held.is_valid().to_numpy(zero_copy_only=False))
+                held, place, where = held.take(pa.array(there)), place[there], where.take(there)
+            cols = [keys.take(pa.array(where.root)).cast(pa.string()), where.path.cast(pa.string()), where.above.cast(pa.string()), pa.array(place, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols + [pc.struct_field(held, f.name) for f in fields], _NODES + [f"item_{f.name}" for f in fields])
+
+    rows = table.where(F.col(key).isNotNull() & F.col(names[0]).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(names[0]).alias("value"))
+    schema = T.StructType([T.StructField(n, T.LongType() if n == "place" else T.StringType()) for n in _NODES] + [T.StructField(f"item_{f.name}", f.dataType) for f in fields])
+    return rows.mapInArrow(run, schema).distinct()
+
+
+def call_table(table: DataFrame, key: str, column: str = "tool_calls") -> DataFrame:
+    """Calls in JSON texts as a flat table: ``root_id, node_path, parent_path, place, call_id, tool, arguments``.
+
+    Rows are the elements of the outermost array; name and arguments may stand in ``function`` or beside it.
+    """
+    every = nodes(table, key, column, True, True).where("parent_path is null").withColumn("value", F.try_parse_json("value"))
+    text = lambda *paths: F.coalesce(*(F.try_variant_get("value", p, "string") for p in paths))
+    return every.select(*_NODES, text("$.id").alias("call_id"), text("$.function.name", "$.name").alias("tool"), text("$.function.arguments", "$.arguments").alias("arguments"))
+
+
+def p4_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the three nested fields, one row each."""
+    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    parts = [("session_events", nodes(read("session_events"), "event_id", "tool_calls", True)), ("task_results", nodes(read("task_results"), "task_key", "samples")), ("sft_samples", nodes(read("sft_samples"), "sample_id", "messages"))]
+    every = [rows.select(F.lit(name).alias("root_table"), *_NODES) for name, rows in parts]
+    return every[0].unionByName(every[1]).unionByName(every[2])

@@ -100,31 +100,71 @@ def percentiles(rows: DataFrame, group: str, value: str, at: dict[str, float]) -
     return found.select(group, *((F.col(f"_low_{n}") * (1 - weight(q)) + F.col(f"_high_{n}") * weight(q)).alias(n) for n, q in at.items()))
 
 
-def bootstrap_ci(rows: DataFrame, group: list[str], value: str, samples: int = 1000, seed: int = 20260722) -> DataFrame:
-    """95 % interval of the mean by resampling, per group (no group: over all rows).
-
-    A group is reduced to its distinct values with their counts; a resample gives each value a Poisson weight drawn from
-    the hash of (seed, sample, value), scaled by its count through a normal draw, so the work grows with distinct values times
-    samples and no row is drawn on the driver. The interval agrees with drawing n of n in distribution, not draw by draw.
+def _poisson_table(mean: Column) -> Column:
+    """Cumulated probabilities of a Poisson law, from 0 on, as far as doubles tell them apart."""
+    most = F.ceil(mean + 10 * F.sqrt(mean) + 12).cast("int")
+    first = F.exp(-mean)
+    start = F.struct(F.array(first).alias("table"), first.alias("p"))
+    step = lambda acc, k: F.struct(F.array_append(acc["table"], F.element_at(acc["table"], -1) + acc["p"] * mean / k).alias("table"), (acc["p"] * mean / k).alias("p"))
+    return F.aggregate(F.sequence(F.lit(1), most), start, step)["table"]
+
+
+def _resampled_means(rows: DataFrame, group: list[str], value: str, samples: int, seed: int) -> DataFrame:
+    """``group, _sample, _mean, _all``: means of resamples of each group with its size.
+
+    A group is reduced to its distinct values with their counts. A value that stands n times gets a Poisson(n) weight: by
+    inversion of a hash of (seed, sample, value, group) up to n = 64, beyond by a rounded normal. The random size W of such a
+    resample is taken out by scaling its deviation with sqrt(W / n), so the variance is that of drawing n of n. The work grows
+    with distinct values times samples, and nothing is drawn on the driver.
     """
     counts = rows.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").cast("double").alias("_n"))
-    drawn = counts.withColumn("_sample", F.explode(F.sequence(F.lit(1), F.lit(samples))))
+    total = counts.groupBy(*(F.col(g).alias(f"_of_{g}") for g in group)).agg(F.sum("_n").alias("_all"), (F.sum(F.col("_n") * F.col(value)) / F.sum("_n")).alias("_mu"))
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    known = counts.join(F.broadcast(total), same) if not group else counts.join(total, same)  # without groups the total is one row
+    drawn = known.withColumn("_table", F.when(F.col("_n") <= 64, _poisson_table(F.col("_n")))).withColumn("_sample", F.explode(F.sequence(F.lit(1), F.lit(samples))))
     unit = lambda k: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.col("_sample"), F.col(value), *group), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    normal = F.sqrt(-2 * F.log(unit(1))) * F.cos(6.283185307179586 * unit(2))
-    weighted = drawn.withColumn("_w", F.greatest(F.lit(0.0), F.round(F.col("_n") + F.sqrt("_n") * normal)))
-    means = weighted.groupBy(*group, "_sample").agg(F.try_divide(F.sum(F.col("_w") * F.col(value)), F.sum("_w")).alias("_mean"))
+    drawn = drawn.withColumns({"_u": unit(1), "_v": unit(2)})
+    normal = F.sqrt(-2 * F.log("_u")) * F.cos(6.283185307179586 * F.col("_v"))
+    few = F.size(F.filter("_table", lambda c: c < F.col("_u")))
+    weight = F.when(F.col("_n") <= 64, few.cast("double")).otherwise(F.greatest(F.lit(0.0), F.round(F.col("_n") + F.sqrt("_n") * normal)))
+    sums = drawn.withColumn("_w", weight).groupBy(*group, "_sample").agg(F.sum(F.col("_w") * F.col(value)).alias("_s"), F.sum("_w").alias("_w"), F.max("_all").alias("_all"), F.max("_mu").alias("_mu"))
+    off = F.coalesce(F.try_divide("_s", "_w") - F.col("_mu"), F.lit(0.0)) * F.sqrt(F.col("_w") / F.col("_all"))
+    return sums.select(*group, "_sample", (F.col("_mu") + off).alias("_mean"), "_all")
+
+
+def bootstrap_ci(rows: DataFrame, group: list[str], value: str, samples: int = 10_000, seed: int = 20260722) -> DataFrame:
+    """95 % interval of the mean by resampling, per group (no group: over all rows); it agrees with drawing n of n in distribution."""
+    means = _resampled_means(rows, group, value, samples, seed)
     return means.groupBy(*group).agg(F.round(F.percentile("_mean", F.lit(0.025)), 6).alias("low"), F.round(F.percentile("_mean", F.lit(0.975)), 6).alias("high"))
 
 
-def stratified_bootstrap(rows: DataFrame, stratum: str, value: str, samples: int = 1000, seed: int = 20260722) -> DataFrame:
+def stratified_bootstrap(rows: DataFrame, stratum: str, value: str, samples: int = 10_000, seed: int = 20260722) -> DataFrame:
     """Micro and macro intervals, resampling inside each stratum."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(stratum, value).agg(F.count("*").cast("double").alias("_n"))
-    drawn = counts.withColumn("_sample", F.explode(F.sequence(F.lit(1), F.lit(samples))))
-    unit = lambda k: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.col("_sample"), F.col(value), F.col(stratum)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    normal = F.sqrt(-2 * F.log(unit(1))) * F.cos(6.283185307179586 * unit(2))
-    weighted = drawn.withColumn("_w", F.greatest(F.lit(0.0), F.round(F.col("_n") + F.sqrt("_n") * normal)))
-    per = weighted.groupBy("_sample", stratum).agg(F.sum(F.col("_w") * F.col(value)).alias("s"), F.sum("_w").alias("w"))
-    each = per.groupBy("_sample").agg(F.try_divide(F.sum("s"), F.sum("w")).alias("micro"), F.avg(F.try_divide("s", "w")).alias("macro"))
+    per = _resampled_means(rows, [stratum], value, samples, seed)
+    each = per.groupBy("_sample").agg((F.sum(F.col("_mean") * F.col("_all")) / F.sum("_all")).alias("micro"), F.avg("_mean").alias("macro"))
     ends = lambda c: F.array(F.round(F.percentile(c, F.lit(0.025)), 6), F.round(F.percentile(c, F.lit(0.975)), 6))
     wide = each.agg(ends("micro").alias("micro"), ends("macro").alias("macro"))
     return wide.select(F.explode(F.array(F.struct(F.lit("micro").alias("level"), F.col("micro").alias("ci")), F.struct(F.lit("macro").alias("level"), F.col("macro").alias("ci")))).alias("r")).select("r.level", F.col("r.ci")[0].alias("low"), F.col("r.ci")[1].alias("high"))
+
+
+def accuracy(rows: DataFrame, by: list[str], correct: Column, missing: Column | None = None, missing_is_wrong: bool = True) -> DataFrame:
+    """``n_correct, total, n_missing, accuracy`` of each group; rows without a trace count as wrong or are left out."""
+    gone = F.coalesce(missing, F.lit(False)) if missing is not None else F.lit(False)
+    right = F.coalesce(correct, F.lit(False)) & ~gone
+    total = F.count("*") if missing_is_wrong else F.count_if(~gone)
+    grouped = rows.groupBy(*by).agg(F.count_if(right).alias("n_correct"), total.alias("total"), F.count_if(gone).alias("n_missing"))
+    return grouped.withColumn("accuracy", F.round(F.coalesce(F.try_divide("n_correct", "total"), F.lit(0.0)), 4))
+
+
+def html_summary(rows: DataFrame, by: list[str], passed: Column, score: Column, threshold: float = 80.0) -> DataFrame:
+    """Of pages with a rule verdict and perhaps a score: total, passed by rule, judged, correct (passed and score from the threshold on), mean score."""
+    right = F.coalesce(passed & (score >= threshold), F.lit(False))
+    return rows.groupBy(*by).agg(F.count("*").alias("total"), F.count_if(passed).alias("rule_passed"), F.count(score).alias("judged"), F.count_if(right).alias("correct"), F.round(F.coalesce(F.avg(score), F.lit(0.0)), 4).alias("avg_score"))
+
+
+def shared_metrics(metrics: Column) -> Column:
+    """Names of the metrics that every row has (an aggregate over arrays of names), in order."""
+    each = F.collect_list(F.array_distinct(metrics))
+    return F.array_sort(F.aggregate(each, F.element_at(each, 1), lambda a, x: F.array_intersect(a, x)))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +16,6 @@ RETRYABLE = ("error calling llm:", "error code: 400", "error code: 429", "error
 HOST_PATH = r"(?<![A-Za-z0-9_.-])/(?!mnt/data(?:/|\b)|tmp(?:/|\b))(?:mnt|home|root|Users|opt|srv|var|etc|usr)/[^\s\"'<>]+"
 
 
-
 def events(raw: DataFrame) -> DataFrame:
     """Message rows, each event once, with a clean role and ``at`` (microseconds)."""
     role = F.lower(F.trim("role"))
@@ -63,16 +61,21 @@ def tool_distribution(made: DataFrame, sample: str = "session_key") -> DataFrame
     return joined.select("tool", "n_calls", F.round(F.col("n_calls") / F.col("_calls"), 6).alias("share"), "n_samples", F.round(F.col("n_samples") / F.col("_samples"), 6).alias("coverage"), F.round(F.col("n_calls") / F.col("n_samples"), 6).alias("calls_a_sample"))
 
 
-def history_window(rows: DataFrame, n: int, order: str = "event_id", parts: int = 64) -> DataFrame:
-    """The last ``n`` messages of each session, without those before the first user message among them.
+def history_window(rows: DataFrame, n: int, order: str = "event_id", parts: int = 64, consolidated: DataFrame | None = None) -> DataFrame:
+    """The last ``n`` messages of each session, without those before the first user message among them; all of them if there is none.
 
-    The last ``n`` are taken in each of ``parts`` parts of a session first, so no task sorts a whole session.
+    ``consolidated`` (``session_key, last_consolidated``) leaves out the first messages of a session, as many as are told. The
+    last ``n`` are taken in each of ``parts`` parts of a session first, so no task sorts a whole session.
     """
-    slim = rows.select("session_key", order, "role").withColumn("_part", F.pmod(F.xxhash64(order), F.lit(parts)))
+    slim = rows.select("session_key", order, "role")
+    if consolidated is not None:
+        placed = running_counts(slim, "session_key", [F.col(order)], {"_place": F.lit(1)})
+        slim = placed.join(consolidated.select("session_key", "last_consolidated"), "session_key", "left").where(F.col("_place") > F.coalesce("last_consolidated", F.lit(0))).select("session_key", order, "role")
+    slim = slim.withColumn("_part", F.pmod(F.xxhash64(order), F.lit(parts)))
     last = lambda x, keys: x.withColumn("_back", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).where(F.col("_back") <= n).drop("_back")
     ranked = last(last(slim, ["session_key", "_part"]).drop("_part"), ["session_key"])
     first = ranked.groupBy("session_key").agg(F.min(F.when(F.col("role") == "user", F.col(order))).alias("_first"))
-    return ranked.join(first, "session_key").where(F.col(order) >= F.col("_first")).select("session_key", order, "role")
+    return ranked.join(first, "session_key").where(F.col("_first").isNull() | (F.col(order) >= F.col("_first"))).select("session_key", order, "role")
 
 
 def numbered(rows: DataFrame, order: str = "event_id", name: str = "observation_no") -> DataFrame:
@@ -94,25 +97,11 @@ def truncated_text(text: Column, most: int) -> Column:
 
 
 def chunked(text: Column, most: int = 2000) -> Column:
-    """Pieces of at most ``most`` characters that end at a line break, else a blank, else anywhere; none for null."""
-    return _chunks(most)(text)
-
-
-def _chunks(most: int):
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        def pieces(t: str | None) -> list[str]:
-            out = []
-            while t:
-                if len(t) <= most:
-                    out.append(t)
-                    break
-                head = t[:most]
-                at = next((p for p in (head.rfind("\n"), head.rfind(" ")) if p > 0), most)
-                out.append(t[:at])
-                t = t[at:].lstrip()
-            return out
-
-        return texts.map(pieces)
-
-    return cut
+    """Pieces of at most ``most`` characters that end at a line break, else a blank, else anywhere; none for null.
+
+    A pattern whose alternatives are those three ends, each as late as it can be, matches piece by piece; blanks that
+    begin a piece are passed over.
+    """
+    any_ = r"[\s\S]"
+    ends = (rf"{any_}{{1,{most}}}\z", rf"{any_}{{1,{most - 1}}}(?=\n)", rf"{any_}{{1,{most - 1}}}(?= )", rf"{any_}{{1,{most}}}")
+    return F.coalesce(F.regexp_extract_all(text, F.lit(rf"(?U)(?:\A|\s*+)((?>{'|'.join(ends)}))"), 1), F.array().cast("array<string>"))

@@ -676,15 +676,42 @@ def progress_stream(spark, folder):
 
 @query()
 def p4_found(spark, folder):
+    return flatten.p4_nodes(spark, folder).select("root_table", "root_id", "node_path")
+
+
+@query()
+def p4_links(spark, folder):
     return flatten.p4_nodes(spark, folder)
 
 
-@query(f"with {_RES}, s as (select task_key, i as sample_no, samples[i + 1] as s from (select task_key, samples, unnest(range(len(samples))) as i from t where samples is not null)), u as (select task_key, sample_no, j as turn_no, s.turns[j + 1] as u from (select *, unnest(range(len(s.turns))) as j from s where s is not null and s.turns is not null)) select task_key as root_id, sample_no::int as sample_no, turn_no::int as turn_no, u.step as step, u.finish_reason as finish_reason from u where u is not null")
+@query(f"with {_CALLS} select c.event_id::varchar as root_id, 'tool_calls[' || c.call_no || ']' as node_path, c.call_no::bigint as place, c.call_id, c.tool, c.arguments from (select event_id, i as call_no, json_extract_string(a, '$[' || i || '].id') as call_id, coalesce(json_extract_string(a, '$[' || i || '].function.name'), json_extract_string(a, '$[' || i || '].name')) as tool, coalesce(json_extract_string(a, '$[' || i || '].function.arguments'), json_extract_string(a, '$[' || i || '].arguments')) as arguments from (select event_id, a, unnest(range(json_array_length(a)::bigint)) as i from (select event_id, case when json_type(j) = 'OBJECT' then json_array(j) else j end as a from (select event_id, case when json_valid(tool_calls) then json(tool_calls) end as j from ev where tool_calls is not null) where json_type(j) in ('OBJECT', 'ARRAY'))) where json_type(a, '$[' || i || ']') = 'OBJECT') c")
+def p4_calls(spark, folder):
+    # of the arguments the text, in which an object's blanks don't count
+    return flatten.call_table(_t(spark, folder, "session_events"), "event_id").select("root_id", "node_path", "place", "call_id", "tool", "arguments")
+
+
+@query("with s as (select distinct sample_id, messages from sft_samples where sample_id is not null), m as (select sample_id, i as place, messages[i + 1] as m from (select sample_id, messages, unnest(range(len(messages))) as i from s)) select distinct sample_id::varchar as root_id, 'messages[' || place || ']' as node_path, place::bigint as place, m.role as role, m.content as content from m where m is not null")
+def p4_messages(spark, folder):
+    rows = flatten.child_table(_t(spark, folder, "sft_samples"), "sample_id", "messages")
+    return rows.select("root_id", "node_path", "place", F.col("item_role").alias("role"), F.col("item_content").alias("content"))
+
+
+_SAMPLES = f"{_RES}, s as (select task_key, i as sample_no, samples[i + 1] as s from (select task_key, samples, unnest(range(len(samples))) as i from t where samples is not null)), u as (select task_key, sample_no, j as turn_no, s.turns[j + 1] as u from (select *, unnest(range(len(s.turns))) as j from s where s is not null and s.turns is not null))"
+
+
+@query(f"with {_SAMPLES} select task_key as root_id, 'samples[' || sample_no || ']' as node_path, sample_no::bigint as place, s.sample_index as sample_index, s.pred as pred, s.score as score, s.error as error, s.stopped_reason as stopped_reason from s where s is not null")
+def p4_samples(spark, folder):
+    rows = flatten.child_table(_t(spark, folder, "task_results"), "task_key", "samples")
+    return rows.select("root_id", "node_path", "place", *(F.col(f"item_{c}").alias(c) for c in ("sample_index", "pred", "score", "error", "stopped_reason")))
+
+
+@query(f"with {_SAMPLES} select task_key as root_id, 'samples[' || sample_no || '].turns[' || turn_no || ']' as node_path, 'samples[' || sample_no || ']' as parent_path, turn_no::bigint as turn_no, u.step as step, u.finish_reason as finish_reason from u where u is not null")
 def p4_turns(spark, folder):
     rows = flatten.child_table(_t(spark, folder, "task_results"), "task_key", "samples.turns")
-    return rows.select("root_id", F.col("parent_places")[0].alias("sample_no"), F.col("place").alias("turn_no"), F.col("item_step").alias("step"), F.col("item_finish_reason").alias("finish_reason"))
+    return rows.select("root_id", "node_path", "parent_path", F.col("place").alias("turn_no"), F.col("item_step").alias("step"), F.col("item_finish_reason").alias("finish_reason"))
 
 
-@query()
-def p4_links(spark, folder):
-    return flatten.with_parent(flatten.p4_nodes(spark, folder))
+@query(f"with {_SAMPLES}, r as (select task_key, sample_no, turn_no, k as place, u.tool_results[k + 1] as r from (select *, unnest(range(len(u.tool_results))) as k from u where u is not null and u.tool_results is not null)) select task_key as root_id, 'samples[' || sample_no || '].turns[' || turn_no || '].tool_results[' || place || ']' as node_path, 'samples[' || sample_no || '].turns[' || turn_no || ']' as parent_path, place::bigint as place, r.tool_call_id as tool_call_id, r.name as name, r.args as args, r.error as error from r where r is not null")
+def p4_tool_results(spark, folder):
+    rows = flatten.child_table(_t(spark, folder, "task_results"), "task_key", "samples.turns.tool_results")
+    return rows.select("root_id", "node_path", "parent_path", "place", *(F.col(f"item_{c}").alias(c) for c in ("tool_call_id", "name", "args", "error")))
