@@ -118,3 +118,20 @@ def test_html(spark):
     one = spark.range(1).select(H.score_in(F.lit("score: 87/100")), H.score_in(F.lit("101 or 55.5.")), H.score_in(F.lit("none")), H.viewport(F.lit("1280x720")), H.viewport(F.lit("1280,720")), H.viewport(F.lit("big")), H.with_base(F.lit("<html><head><title>"), "/a"), H.longest_fenced(F.lit("```a<b>```\n```\n<ccc>\n```\n```<ddd>```"))).first()
     assert one[0] == 87.0 and one[1] == 55.5 and one[2] is None and tuple(one[3]) == tuple(one[4]) == (1280, 720) and one[5] is None
     assert one[6] == '<html><head><base href="/a"><title>' and one[7] == "<ccc>"
+
+
+def test_grounding(spark):
+    from tracelake.functions import geometry as G
+
+    texts = ["[1, 2]", "[[3, 4]]", "17, 500", "[5]", "x 1 y 2 z 3", "", None, '["6", "7.5"]', "[1, 2, 3]"]
+    got = [r[0] and (r[0].x, r[0].y) for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(G.coordinate(F.col("t"))).collect()]
+    assert got == [(1, 2), (3, 4), (17, 500), None, None, None, None, (6, 7.5), None]
+    block = "<tool_call><function=computer_use><parameter=action>click</parameter><parameter=coordinate>[{}, 20]</parameter></function></tool_call>"
+    answers = [block.format(1) + block.format(10) + "<tool_call><function=computer_use></function></tool_call>", 'so "coordinate": [5, 6]', "none"]
+    df = spark.createDataFrame([(t,) for t in answers], "t string").coalesce(1)
+    none = F.lit(None).cast("struct<x: double, y: double>")
+    assert [r[0] and tuple(r[0]) for r in df.select(G.click_point(none, F.col("t"))).collect()] == [(10, 20, "hermes_text"), (5, 6, "pred_text"), None]
+    point = F.struct(F.lit(500.0).alias("x"), F.lit(1000.0).alias("y"))
+    click, held = G.click_point(point, F.lit("")), G.bbox_of(F.lit("[100, 50, 20, 10]"))
+    one = spark.range(1).select(G.grounding_score(click, held, F.lit(100.0), F.lit(50.0)), G.grounding_score(click, G.bbox_of(F.lit("x")), F.lit(100.0), F.lit(50.0)), G.pixel_score(F.struct(F.lit(0.5).alias("x"), F.lit(0.5).alias("y")), held, F.lit(100.0), F.lit(50.0)), G.pixel_score(F.struct(F.lit(30.0).alias("x"), F.lit(30.0).alias("y")), held, F.lit(56.0), F.lit(28.0))).first()
+    assert tuple(one[0]) == (1, 50.0, 50.0, "tool_calls") and tuple(one[1]) == (0, None, None, "tool_calls") and tuple(one[2]) == (1, 50.0, 25.0) and one[3].score == 1

@@ -10,18 +10,19 @@ from tracelake.operators import traces as R
 from tracelake.operators.ordered import running_counts
 
 
-@pytest.mark.parametrize("text", ["", "3", "-1", "2:5", "-3:", ":-2", "::2", "1:9:3", "-4:-1", "20:30", "5:2"])
+@pytest.mark.parametrize("text", ["", "3", "-1", "2:5", "-3:", ":-2", "::2", "1:9:3", "-4:-1", "20:30", "5:2", "::-1", "8:2:-3", "-2::-4"])
 def test_python_slice(spark, text):
     rows = list(range(10))
     df = spark.createDataFrame([(k,) for k in rows], "k long")
     expect = rows if text == "" else [rows[int(text)]] if ":" not in text else rows[slice(*(int(p) if p else None for p in text.split(":")))]
+    expect = sorted(expect)
     text = text or ":"
     assert sorted(r.k for r in S.python_slice(df, text, "k").collect()) == expect
 
 
-def test_slice_needs_a_positive_step(spark):
+def test_slice_needs_a_step(spark):
     with pytest.raises(ValueError):
-        S.python_slice(spark.range(3).toDF("k"), "::-1", "k")
+        S.python_slice(spark.range(3).toDF("k"), "::0", "k")
 
 
 def test_gain_verdicts(spark):
@@ -163,11 +164,72 @@ def test_chunks(spark):
     texts = ["", None, "short", "one two three four", "abcdefghijklmno", "line\nsecond line here", "  led by blanks", "ab \n\n  cd 0123456789"]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
     got = [r[1] for r in sorted(df.select("k", R.chunked(F.col("t"), 10)).collect())]
-    assert got == [[], [], ["short"], ["one two", "three four"], ["abcdefghij", "klmno"], ["line", "second", "line here"], ["  led by", "blanks"], ["ab ", "cd", "0123456789"]]
+    assert got == [[], [], ["short"], ["one two", "three four"], ["abcdefghij", "klmno"], ["line", "second", "line here"], ["  led by", "blanks"], ["ab \n", "cd", "0123456789"]]
     long = spark.createDataFrame([("x" * 300_000,), ("word " * 60_000,)], "t string").select(R.chunked(F.col("t"))).collect()
     assert [len(r[0]) for r in long] == [150, 151] and max(map(len, long[1][0])) <= 2000
 
 
+def test_sessions_are_judged_in_order(spark):
+    event = lambda k, s, role, content=None, calls=None, call_id=None: (k, s, role, content, calls, call_id, None)
+    call = lambda name, **a: __import__("json").dumps([{"id": "c", "function": {"name": name, "arguments": a}}])
+    data = [
+        event(1, "none", "user", "q"),
+        event(2, "plain", "assistant", "a"), event(3, "noref", "assistant", "a", call("crop")),
+        event(4, "wrong", "assistant", "no", call("crop")), event(5, "low", "assistant", "yes", call("list_dir")),
+        event(6, "twice", "assistant", "yes", call("write_file", path="/mnt/data/a.py", content="plt.savefig('/mnt/data/o.png')")), event(7, "twice", "tool", "Saved to: /mnt/data/o.png", None, "c"), event(8, "twice", "assistant", "yes", call("crop")),
+        event(9, "host", "assistant", "yes", call("crop", path="/home/u/x.png")), event(10, "fine", "assistant", "yes", call("crop", path="/mnt/data/x.png")),
+        event(11, "click", "assistant", None, call("computer_use", action="type")), event(12, "point", "assistant", None, call("crop")), event(13, "point", "assistant", None, call("computer_use", coordinate="[17, 500]")),
+    ]
+    e = R.events(spark.createDataFrame(data, EVENT))
+    made = R.calls(e)
+    reference = spark.createDataFrame([(s, "yes") for s in ("none", "plain", "wrong", "low", "twice", "host", "fine", "click", "point")], "session_key string, reference string")
+    facts = R.session_facts(e, made, reference)
+    stage, reason = S.rejected(R.session_rules((F.col("answer") == F.col("reference")) | F.col("point").isNotNull()))
+    got = {r.session_key: r.reason for r in facts.select("session_key", reason.alias("reason")).collect()}
+    assert got == {"none": "no_response", "plain": "no_tool_calls", "noref": "no_ref_answer", "wrong": "answer_wrong", "low": "single_list_dir", "twice": "image_overwrite", "host": "host_path_hit", "fine": None, "click": "computer_use_no_coordinate", "point": None}
+    assert {r.session_key: (r.point.x, r.point.y) for r in facts.where("point is not null").collect()} == {"point": (17.0, 500.0)}
+    assert {r.session_key: r.is_last for r in R.terminator_last(made).where("has_tool").collect()} == {"click": True, "point": True}
+    told = R.observations(e, made)
+    assert [(r.session_key, r.tool, r.observation_no, r.images) for r in told.collect()] == [("twice", "crop", 1, [])]
+    assert R.observation_blocks(told).first().block == "[tool_call #1] crop({})\n[tool_response #1]\nSaved to: /mnt/data/o.png"
+    audit = R.prefix_audit(told, spark.createDataFrame([("twice", " o.png ")], "session_key string, reference string")).first()
+    assert (audit.n_responses, audit.has_answer, audit.n_channel, audit.tool_counts) == (1, True, 0, {"crop": 1})
+
+
+def test_summaries(spark):
+    rows = spark.createDataFrame([("a", 1, False), ("a", 0, False), ("a", 1, True), ("b", None, True)], "g string, c int, gone boolean")
+    assert {r.g: r[1:] for r in K.accuracy(rows, ["g"], F.col("c") == 1, F.col("gone")).collect()} == {"a": (1, 3, 1, 0.3333), "b": (0, 1, 1, 0.0)}
+    assert {r.g: r[1:] for r in K.accuracy(rows, ["g"], F.col("c") == 1, F.col("gone"), False).collect()} == {"a": (1, 2, 1, 0.5), "b": (0, 0, 1, 0.0)}
+    pages = spark.createDataFrame([("a", True, 90.0), ("a", True, 10.0), ("a", False, None)], "g string, p boolean, s double")
+    assert K.html_summary(pages, ["g"], F.col("p"), F.col("s")).first()[:] == ("a", 3, 2, 2, 1, 50.0)
+    metrics = spark.createDataFrame([(["b", "a", "c"],), (["a", "b"],)], "m array<string>")
+    assert metrics.agg(K.shared_metrics(F.col("m"))).first()[0] == ["a", "b"]
+    one = S.intersection_summary(spark.createDataFrame([("1",), ("1",), ("2",), (None,)], "item_id string"), spark.createDataFrame([("1",), ("9",)], "item_id string")).first()
+    assert one[:] == (4, 2, 1, 1)
+    assert S.checked_conditions(["x"], ["x", "y"]) == ["x"]
+    for bad in (["x", "x"], ["z"]):
+        with pytest.raises(ValueError):
+            S.checked_conditions(bad, ["x", "y"])
+    source = spark.createDataFrame([("k", ["p", "q"])], "key string, predictions array<string>")
+    take = lambda n: S.at_position(spark.createDataFrame([("k", n)], "key string, i int"), source, "key", "i", "predictions").first().source_value
+    assert take(1) == "q"
+    with pytest.raises(Exception, match="no element"):
+        take(2)
+    assert [r.n for r in S.by_count(spark.createDataFrame([("a", 1), ("b", 3)], "r string, n int"), ["r"]).collect()] == [3, 1]
+    assert S.completed(spark.createDataFrame([("x",), ("",), (None,)], "error string")).count() == 2
+    images = spark.range(1).select(S.device_references(F.array(F.lit("r/desktop.png"), F.lit("logo.png")), F.array(F.lit("/a"), F.lit("/b")))).first()[0]
+    assert images == {"desktop": "/a"}
+    pairs = S.device_pairs(spark.createDataFrame([("t", "d", 1.0), ("t", "m", 2.0)], "task string, device string, v double"), spark.createDataFrame([("t", "d", 3.0)], "task string, device string, v double"), "task", "device", "v")
+    assert S.device_mean(pairs, "task", "device", F.col("made") - F.col("reference")).first()[:] == ("t", 2.0, 1)
+
+
+def test_conversion_forms(spark):
+    one = spark.range(1).select(C.assistant_text(F.lit("r"), F.lit("c")), C.assistant_text(F.lit(None).cast("string"), F.lit(None).cast("string")), C.response_text(F.lit("t"), F.array(F.lit("a"), F.lit("b"))), C.response_text(F.lit("t"), F.array(F.lit("a")), True), C.host_paths(F.lit("/mnt/data/x"), F.lit("/h")), C.chosen_tools(None, F.array(F.lit("b"), F.lit("z"), F.lit("a")), ["a", "b"]), C.chosen_tools(["a", "q"], F.array(), ["a", "b"]), C.chosen_tools(["all"], F.array(), ["a", "b"]), C.chosen_tools([], F.array(), ["a"])).first()
+    assert one[:] == ("<think>r</think>c", "", "<image><image>t", "t<image>", "/h/x", ["b", "a"], ["a"], ["a", "b"], [])
+    tools = spark.createDataFrame([("s", ["b", "no", "a"])], "session_key string, tools array<string>")
+    assert C.tools_json(tools, spark.createDataFrame([("a", '{"n": 1}'), ("b", '{"n": 2}')], "tool string, schema string")).first().tools_json == '[{"n": 2}, {"n": 1}]'
+
+
 def test_empty_tables(spark):
     e = R.events(spark.createDataFrame([], EVENT))
     assert R.calls(e).count() == R.history_window(e, 3).count() == R.numbered(e).count() == C.sft_messages(e).count() == 0

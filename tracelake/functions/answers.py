@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 #: Answers that need a context to count (fixed values).
 TRIVIAL = ("0", "1", "2", "3", "4", "5", "yes", "no", "true", "false")
 #: Words that mark a sentence with the answer (fixed values).
-SIGNALS = ("answer", "result", "therefore", "thus", "so the", r"= \*\*", "approximately", "is about", "final", "overall", "in summary", "conclusion", "the gap", "the difference")
+SIGNAL_PATTERN = r"answer|result|therefore|thus|so the|= \*\*|approximately|is about|final|overall|in summary|conclusion|the gap|the difference"
+#: A number, and where a reference counts as an answer: ``{}`` stands for it (fixed patterns).
 NUMBER = r"(?<![a-zA-Z])[-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?%?"
+ANSWER_FORMS = (r"(?:answer|result|total|difference|gap|value|count|sum)\s*(?:is|=|:)\s*\**\s*{}\b", r"=\s*\**\s*{}\b(?!\s*[%)\]])", r"\*\*{}\*\*", r"\\\\?boxed\{\s*{}\s*\}")
 _FLOAT = r"(?i)^[+-]?(?:(?:\d+(?:_\d+)*)(?:\.(?:\d+(?:_\d+)*)?)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+(?:_\d+)*)?$"
 
 
@@ -63,7 +65,7 @@ def numbers(text: Column) -> Column:
 
 def answer_sentences(text: Column) -> Column:
     """Sentences with a signal word, joined by blanks; empty if there is none."""
-    pattern = r"(?i)[^.。\n]*(?:" + "|".join(SIGNALS) + r")[^.。\n]*"
+    pattern = rf"(?i)[^.。\n]*(?:{SIGNAL_PATTERN})[^.。\n]*"
     return F.array_join(F.regexp_extract_all(text, F.lit(pattern), 0), " ")
 
 
@@ -74,19 +76,19 @@ def quoted(text: Column) -> Column:
 
 def has_answer_context(text: Column, reference: Column) -> Column:
     """The reference stands where an answer is given: behind a word for it, an equals sign, in bold or boxed."""
-    q = quoted(reference)
-    forms = (
-        F.concat(F.lit(r"(?iU)(?:answer|result|total|difference|gap|value|count|sum)\s*(?:is|=|:)\s*\**\s*"), q, F.lit(r"\b")),
-        F.concat(F.lit(r"(?iU)=\s*\**\s*"), q, F.lit(r"\b(?!\s*[%)\]])")),
-        F.concat(F.lit(r"(?iU)\*\*"), q, F.lit(r"\*\*")),
-        F.concat(F.lit(r"(?iU)\\\\?boxed\{\s*"), q, F.lit(r"\s*\}")),
-    )
-    hit = F.lit(False)
-    for pattern in forms:
-        hit = hit | F.regexp_like(text, pattern)
+    q, hit = quoted(reference), F.lit(False)
+    for form in ANSWER_FORMS:
+        ahead, behind = form.split("{}")
+        hit = hit | F.regexp_like(text, F.concat(F.lit(f"(?iU){ahead}"), q, F.lit(behind)))
     return hit
 
 
+def nearest(values: Column, to: Column) -> Column:
+    """The value nearest to ``to``, of equally near ones the first; null values don't count."""
+    near = F.filter(F.transform(values, lambda x, i: F.struct(F.abs(x - to).alias("d"), i.alias("i"), x.alias("x"))), lambda s: s["x"].isNotNull())
+    return F.array_min(near)["x"]
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def boxed(texts: pd.Series) -> pd.Series:
     """Contents of ``\\boxed{...}`` with balanced braces, which no regex can find; null for null."""
@@ -136,7 +138,7 @@ def match_method(response: Column, boxes: Column, reference: Column, tolerance:
     told = answer_sentences(response)
     inside = F.flatten(F.transform(bolds, numbers))
     chosen = numbers(F.when(told != "", told).otherwise(response))
-    closest = F.array_min(F.transform(chosen, lambda x, i: F.struct(F.abs(x - value).alias("d"), i.alias("i"), x.alias("x"))))["x"]
+    closest = nearest(chosen, value)
     bound = F.when(told != "", F.lit(tolerance)).otherwise(F.lit(tolerance * 0.5))
     ending = F.when(told != "", F.lit("")).otherwise(F.lit("_fallback"))
     return F.when(response.isNull() | reference.isNull(), F.lit(None).cast("string")).otherwise(

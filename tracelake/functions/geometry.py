@@ -11,7 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A number, names of GUI actions, and names of coordinates in references and answers (fixed values).
 _NUM = r"[-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?"
+_TEXT_COORDINATE = r"\"coordinate\"\s*:\s*\[\s*(-?\d+(?:\.\d+)?)\s*,\s*(-?\d+(?:\.\d+)?)\s*\]"
 _ACTIONS = "click|doubleclick|double_click|rightclick|right_click|moveto|move_to|dragto|drag_to|mousedown|mouse_down|mouseup|mouse_up"
 
 
@@ -177,3 +179,59 @@ def tool_call_block(texts: pd.Series) -> pd.DataFrame:
         return {"name": None, "arguments": None}
 
     return pd.DataFrame([read(t) for t in texts], columns=["name", "arguments"])
+
+
+def _point(x: Column, y: Column) -> Column:
+    x, y = x.try_cast("double"), y.try_cast("double")
+    return F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
+
+
+def coordinate(value: Column) -> Column:
+    """A point from the text of a coordinate: a list of two, such a list alone in a list, or text with just two numbers; else null."""
+    items = F.from_json(value, "array<string>")
+    inner = F.from_json(F.when(F.size(items) == 1, items[0]), "array<string>")
+    two = F.when(F.size(items) == 2, items).when(F.size(inner) == 2, inner)
+    found = F.regexp_extract_all(F.when(items.isNull(), value), F.lit(r"-?\d+(?:\.\d+)?"), 0)
+    return F.coalesce(_point(two[0], two[1]), F.when(F.size(found) == 2, _point(found[0], found[1])))
+
+
+def call_coordinate(arguments: Column, at: str = "$.coordinate") -> Column:
+    """The point in a call's arguments, an object as JSON text."""
+    return coordinate(F.try_variant_get(F.try_parse_json(arguments), at, "string"))
+
+
+def block_coordinate(text: Column, tool: str = "computer_use") -> Column:
+    """The point of the last ``<function=tool>`` block inside tool-call tags that has one."""
+    bodies = F.regexp_extract_all(text, F.lit(rf"(?is)<tool_call\b[^>]*>(?:(?!</tool_call).)*?<function\s*=\s*{tool}\s*>((?:(?!</function).)*)</function\s*>"), 1)
+    told = F.transform(bodies, lambda b: coordinate(F.trim(F.regexp_extract(b, r"(?is)<parameter\s*=\s*coordinate\s*>(.*?)</parameter\s*>", 1))))
+    return F.try_element_at(F.filter(told, lambda p: p.isNotNull()), F.lit(-1))
+
+
+def click_point(structured: Column, text: Column) -> Column:
+    """The click of an answer with the ``source`` it comes from: a structured call's point, else a tool-call block, else a coordinate in the text."""
+    n = [F.try_element_at(F.regexp_extract_all(text, F.lit(_TEXT_COORDINATE), k), F.lit(-1)) for k in (1, 2)]
+    tagged = lambda p, source: F.when(p.isNotNull(), F.struct(p["x"].alias("x"), p["y"].alias("y"), F.lit(source).alias("source")))
+    return F.coalesce(tagged(structured, "tool_calls"), tagged(block_coordinate(text), "hermes_text"), tagged(_point(*n), "pred_text"))
+
+
+def grounding_score(click: Column, bbox: Column, width: Column, height: Column) -> Column:
+    """Score record of a click in thousandths of the image: ``score, px, py, source``; a box or click that is missing scores 0."""
+    px, py = click["x"] / 1000.0 * width, click["y"] / 1000.0 * height
+    inside = point_in_box(F.struct(px.alias("x"), py.alias("y")), box(bbox["x1"], bbox["y1"], bbox["x2"], bbox["y2"])) & (width > 0) & (height > 0)
+    known = bbox.isNotNull() & click.isNotNull()
+    return F.struct(F.coalesce(inside, F.lit(False)).cast("int").alias("score"), F.when(known, F.round(px, 2)).alias("px"), F.when(known, F.round(py, 2)).alias("py"), F.coalesce(click["source"], F.lit("")).alias("source"))
+
+
+def pixel_score(click: Column, bbox: Column, width: Column, height: Column) -> Column:
+    """Score record of a click in the unit square, or in pixels of the resized image: ``score, px, py``."""
+    size = smart_resize(height.cast("double"), width.cast("double"))
+    unit = in_unit(click["x"], click["y"])
+    px = F.when(unit, click["x"] * width).otherwise(click["x"] * (width / size["width"]))
+    py = F.when(unit, click["y"] * height).otherwise(click["y"] * (height / size["height"]))
+    inside = point_in_box(F.struct(px.alias("x"), py.alias("y")), box(bbox["x1"], bbox["y1"], bbox["x2"], bbox["y2"]))
+    return F.struct(F.coalesce(inside, F.lit(False)).cast("int").alias("score"), F.round(px, 2).alias("px"), F.round(py, 2).alias("py"))
+
+
+def distinct_points(points: Column) -> Column:
+    """Points in order, those equal to eight places once."""
+    return F.array_distinct(F.transform(points, lambda p: F.transform(p, lambda v: F.round(v, 8))))

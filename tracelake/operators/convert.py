@@ -78,3 +78,41 @@ def task_key(source: Column, item: Column) -> Column:
     """Cleaned source and item id; a missing or empty source is "dataset"."""
     clean = F.regexp_replace(F.regexp_replace(F.coalesce(F.nullif(source, F.lit("")), F.lit("dataset")), r"[^A-Za-z0-9_.-]+", "_"), r"^_+|_+$", "")
     return F.concat(F.coalesce(F.nullif(clean, F.lit("")), F.lit("dataset")), F.lit("_"), item.cast("string"))
+
+
+def host_paths(text: Column, root: Column) -> Column:
+    """The virtual root replaced by that of a host."""
+    return F.when(root.isNotNull() & (root != ""), F.replace(text, F.lit("/mnt/data"), root)).otherwise(text)
+
+
+def short_digest(text: Column, most: int = 9) -> Column:
+    """The first characters of the SHA-1, as long ids are shortened."""
+    return F.substring(F.sha1(text), 1, most)
+
+
+def assistant_text(reasoning: Column, content: Column) -> Column:
+    """An assistant's text behind its thinking, if there is any."""
+    think = F.when(F.coalesce(reasoning, F.lit("")) != "", F.concat(F.lit("<think>"), reasoning, F.lit("</think>")))
+    return F.concat(F.coalesce(think, F.lit("")), F.coalesce(content, F.lit("")))
+
+
+def response_text(content: Column, images: Column, behind: bool = False) -> Column:
+    """A tool's text with one image token for each of its images, ahead of it or behind."""
+    tokens = F.repeat(F.lit("<image>"), F.coalesce(F.size(images), F.lit(0)))
+    text = F.coalesce(block_text(content), F.lit(""))
+    return F.concat(text, tokens) if behind else F.concat(tokens, text)
+
+
+def tools_json(tools: DataFrame, schemas: DataFrame) -> DataFrame:
+    """``session_key, tools_json``: schemas (``tool, schema`` as JSON text) of each session's tools, in their order; unknown tools are left out."""
+    each = tools.select("session_key", F.posexplode("tools").alias("place", "tool"))
+    known = each.join(schemas.select("tool", "schema"), "tool").groupBy("session_key").agg(F.array_sort(F.collect_list(F.struct("place", "schema"))).alias("s"))
+    return known.select("session_key", F.concat(F.lit("["), F.array_join(F.transform("s", lambda x: x["schema"]), ", "), F.lit("]")).alias("tools_json"))
+
+
+def chosen_tools(wanted: list[str] | None, used: Column, pool: list[str]) -> Column:
+    """Names of a sample's tools: an override that is known, all of the pool (``["all"]``), none (``[]``), else the used ones in the pool."""
+    known = F.array(*map(F.lit, pool)) if pool else F.array().cast("array<string>")
+    if wanted is None:
+        return F.array_intersect(used, known)
+    return known if wanted == ["all"] else F.array_intersect(F.array(*map(F.lit, wanted)), known) if wanted else F.array().cast("array<string>")

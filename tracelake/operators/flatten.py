@@ -411,8 +411,8 @@ def call_table(table: DataFrame, key: str, column: str = "tool_calls") -> DataFr
 
     Rows are the elements of the outermost array; name and arguments may stand in ``function`` or beside it.
     """
-    every = nodes(table, key, column, True, True).where("parent_path is null").withColumn("value", F.try_parse_json("value"))
-    text = lambda *paths: F.coalesce(*(F.try_variant_get("value", p, "string") for p in paths))
+    every = nodes(table, key, column, True, True).where("parent_path is null")
+    text = lambda *paths: F.coalesce(*(F.get_json_object("value", p) for p in paths))
     return every.select(*_NODES, text("$.id").alias("call_id"), text("$.function.name", "$.name").alias("tool"), text("$.function.arguments", "$.arguments").alias("arguments"))
 
 

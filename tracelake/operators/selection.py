@@ -35,19 +35,25 @@ def first_per_key(rows: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
 def python_slice(rows: DataFrame, text: str, position: str, total: int | None = None) -> DataFrame:
     """Rows of a slice ``a:b:c`` or of a single index, negatives counted from the end.
 
-    ``position`` is a 0-based column. Only negative bounds need the number of rows, an aggregate.
+    ``position`` is a 0-based column. Only negative bounds and steps need the number of rows, an aggregate. The rows of a negative
+    step are the same set; who wants them backwards sorts by position.
     """
     parts = [int(p) if p.strip() else None for p in text.split(":")]
     if len(parts) == 1:
         parts = [parts[0], None if parts[0] == -1 else parts[0] + 1, None]
     start, stop, step = (parts + [None] * 3)[:3]
     step = 1 if step is None else step
-    if step <= 0:
-        raise ValueError("the step of a slice must be positive")
-    if total is None and any(x is not None and x < 0 for x in (start, stop)):
+    if step == 0:
+        raise ValueError("the step of a slice must not be zero")
+    if total is None and (step < 0 or any(x is not None and x < 0 for x in (start, stop))):
         total = rows.count()
-    low = max(0, start + total) if start is not None and start < 0 else (start or 0)
-    high = stop if stop is None or stop >= 0 else max(0, stop + total)
+    if total is None:
+        low, high = start or 0, stop
+    else:
+        low, high, step = slice(start, stop, step).indices(total)
+    if step < 0:  # the same places from the lowest on
+        n = len(range(low, high, step))
+        low, high, step = low + (n - 1) * step, low + 1, -step
     kept = rows.where(F.col(position) >= low)
     kept = kept if high is None else kept.where(F.col(position) < high)
     return kept if step == 1 else kept.where((F.col(position) - low) % step == 0)
@@ -109,3 +115,50 @@ def rejection_rollup(rows: DataFrame) -> DataFrame:
 def ranked(rows: DataFrame, group: list[str], order: list[Column], name: str = "place") -> DataFrame:
     """Row number inside a group, for groups that are bounded by what they describe (samples of a task, calls of a turn)."""
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
+def completed(results: DataFrame, error: str = "error") -> DataFrame:
+    """Results without an error: only these count as done when a run goes on."""
+    return results.where(F.coalesce(F.col(error), F.lit("")) == "")
+
+
+def intersection_summary(gain: DataFrame, correct: DataFrame, key: str = "item_id") -> DataFrame:
+    """One row: ``rows, unique_ids, kept, dropped`` of an intersection of two indexes by id."""
+    hit = gain.join(correct.select(key).distinct().withColumn("_hit", F.lit(1)), key, "left")
+    return hit.agg(F.count("*").alias("rows"), F.count_distinct(key).alias("unique_ids"), F.count_distinct(F.when(F.col("_hit") == 1, F.col(key))).alias("kept")).withColumn("dropped", F.col("unique_ids") - F.col("kept"))
+
+
+def at_position(rows: DataFrame, source: DataFrame, key: str, position: str, values: str) -> DataFrame:
+    """Rows with the element at ``position`` (0-based) of the array ``values`` of their source; a position out of range is an error."""
+    joined = rows.join(source.select(key, values), key, "left")
+    inside = (F.col(position) >= 0) & (F.col(position) < F.size(values))
+    found = F.when(inside, F.try_element_at(values, (F.col(position) + 1).cast("int"))).otherwise(F.raise_error(F.concat(F.lit("no element "), F.col(position).cast("string"), F.lit(" for "), F.col(key))))
+    return joined.select(*rows.columns, found.alias("source_value"))
+
+
+def checked_conditions(wanted: list[str], known: list[str]) -> list[str]:
+    """The conditions asked for, if they are known and none is named twice."""
+    if len(set(wanted)) != len(wanted) or not set(wanted) <= set(known):
+        raise ValueError(f"conditions must be distinct ones of {sorted(known)}")
+    return wanted
+
+
+def by_count(rows: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
+    """Groups with the largest count first, ties by name."""
+    return rows.orderBy(F.desc(count), *keys)
+
+
+def device_pairs(reference: DataFrame, made: DataFrame, task: str, device: str, value: str) -> DataFrame:
+    """Reference and made values of the devices that both have: ``task, device, reference, made``."""
+    return reference.select(task, device, F.col(value).alias("reference")).join(made.select(task, device, F.col(value).alias("made")), [task, device])
+
+
+def device_mean(pairs: DataFrame, task: str, device: str, score: Column) -> DataFrame:
+    """Mean score over a task's devices, to four places, and their number."""
+    return pairs.groupBy(task).agg(F.round(F.avg(score), 4).alias("viewport_mean"), F.count_distinct(device).alias("devices"))
+
+
+def device_references(images: Column, resolved: Column, devices: tuple[str, ...] = ("desktop", "tablet", "mobile")) -> Column:
+    """Map from device to resolved path, of the images whose name without ending is a device."""
+    zipped = F.filter(F.arrays_zip(images.alias("i"), resolved.alias("r")), lambda z: F.regexp_extract(z["i"], r"([^/]*?)(?:\.[^./]*)?$", 1).isin(*devices))
+    return F.map_from_entries(F.transform(zipped, lambda z: F.struct(F.regexp_extract(z["i"], r"([^/]*?)(?:\.[^./]*)?$", 1), z["r"])))

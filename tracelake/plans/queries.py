@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions import answers as A
+from tracelake.functions import audit as AU
 from tracelake.functions import geometry as G
 from tracelake.functions import web as H
 from tracelake.operators import convert as C
@@ -15,6 +16,7 @@ from tracelake.operators import flatten
 from tracelake.operators import selection as S
 from tracelake.operators import stats as K
 from tracelake.operators import traces as R
+from tracelake.operators.ordered import running_counts
 from tracelake.streaming import progress as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +57,9 @@ _ROLL = "r as (select distinct item_key, item_id, source_dataset, avg_k, correct
 _RES = "t as (select distinct on (task_key) * from task_results where task_key is not null)"
 
 
+_SAMPLES = f"{_RES}, s as (select task_key, i as sample_no, samples[i + 1] as s from (select task_key, samples, unnest(range(len(samples))) as i from t where samples is not null)), u as (select task_key, sample_no, j as turn_no, s.turns[j + 1] as u from (select *, unnest(range(len(s.turns))) as j from s where s is not null and s.turns is not null))"
+
+
 # --- rollouts and selection
 
 
@@ -185,18 +190,41 @@ def start_id(spark, folder):
 # --- aggregates over results
 
 
-@query(f"""with {_RES}, a as (select coalesce(source_dataset, 'none') as source_dataset, count(*) as total, bool_or(coalesce(score, 0) > 1) as continuous, count(*) filter (where coalesce(score, 0) = 1) as ones, count(*) filter (where coalesce(score, 0) >= 50) as high, avg(coalesce(score, 0)) as mean, count(*) filter (where coalesce(error, '') <> '') as errors, count(*) filter (where contains(coalesce(error, ''), 'Timeout')) as timeouts, sum(coalesce(usage_total.total_tokens, 0))::bigint as total_tokens, round(avg(coalesce(n_tool_calls, 0)), 2) as avg_tool_calls, max(coalesce(avg_k, 1)) as avg_k, round(avg(coalesce(score_avg, score, 0)), 4) as accuracy_avg_k from t group by 1)
+@query(f"""with {_RES}, a as (select coalesce(source_dataset, 'none') as source_dataset, count(*) as total, bool_or(coalesce(score, 0) > 1 or source_dataset = 'pagecraft') as continuous, count(*) filter (where coalesce(score, 0) = 1) as ones, count(*) filter (where coalesce(score, 0) >= 50) as high, avg(coalesce(score, 0)) as mean, count(*) filter (where coalesce(error, '') <> '') as errors, count(*) filter (where contains(coalesce(error, ''), 'Timeout')) as timeouts, sum(coalesce(usage_total.total_tokens, 0))::bigint as total_tokens, round(avg(coalesce(n_tool_calls, 0)), 2) as avg_tool_calls, max(coalesce(avg_k, 1)) as avg_k, round(avg(coalesce(score_avg, score, 0)), 4) as accuracy_avg_k from t group by 1)
 select source_dataset, total, continuous, errors, timeouts, total_tokens, avg_tool_calls, avg_k, accuracy_avg_k, case when continuous then high else ones end as correct, round(case when continuous then high else ones end / total, 4) as accuracy, case when continuous then round(mean, 2) end as avg_score from a""")
 def run_aggregate(spark, folder):
-    rows = _t(spark, folder, "task_results").where("task_key is not null").dropDuplicates(["task_key"]).withColumn("source_dataset", F.coalesce("source_dataset", F.lit("none")))
-    return K.run_aggregate(rows, ["source_dataset"], F.lit(False))
+    # columns before the de-duplication: samples aren't read
+    columns = ["task_key", "source_dataset", "score", "error", "usage_total", "n_tool_calls", "avg_k", "score_avg"]
+    rows = _t(spark, folder, "task_results").where("task_key is not null").select(*columns).dropDuplicates(["task_key"]).withColumn("source_dataset", F.coalesce("source_dataset", F.lit("none")))
+    return K.run_aggregate(rows, ["source_dataset"], F.col("source_dataset") == "pagecraft")
 
 
-@query(f"with {_RES}, x as (select source_dataset, score, case when pred = gt then 1.0 else 0.0 end as new_score from t) select source_dataset, count(*) as n, count(*) filter (where score <> new_score) as flips from x group by source_dataset")
+@query(f"with {_RES}, x as (select source_dataset, score, case when pred is null then score when pred = gt then 1.0 else 0.0 end as new_score from t) select source_dataset, count(*) as n, count(*) filter (where score <> new_score) as flips from x group by source_dataset")
 def rejudge_flips(spark, folder):
     rows = _t(spark, folder, "task_results").where("task_key is not null").dropDuplicates(["task_key"])
-    new = rows.withColumns({"score_prev": F.col("score"), "score_new": F.when(F.col("pred") == F.col("gt"), 1.0).otherwise(0.0)})
-    return new.groupBy("source_dataset").agg(F.count("*").alias("n"), F.count_if(F.col("score_prev") != F.col("score_new")).alias("flips"))
+    new = rows.where("pred is not null").select("task_key", F.when(F.col("pred") == F.col("gt"), 1.0).otherwise(0.0).alias("score"))
+    judged = AU.rejudged(rows.select("task_key", "source_dataset", "score"), new, "task_key", ["score"])
+    return judged.groupBy("source_dataset").agg(F.count("*").alias("n"), F.count_if(F.col("score_prev") != F.col("score")).alias("flips"))
+
+
+@query(f"with {_RES} select source_dataset, count(*) filter (where coalesce(score, 0) = 1 and samples is not null) as n_correct, count(*) as total, count(*) filter (where samples is null) as n_missing, round(count(*) filter (where coalesce(score, 0) = 1 and samples is not null) / count(*), 4) as accuracy from t group by source_dataset")
+def accuracy_summary(spark, folder):
+    # of the samples one leaf tells whether there is a trace
+    rows = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", "source_dataset", "score", F.col("samples.sample_index").isNull().alias("gone")).dropDuplicates(["task_key"])
+    return K.accuracy(rows, ["source_dataset"], F.coalesce("score", F.lit(0.0)) == 1, F.col("gone"))
+
+
+@query(f"with {_RES} select source_dataset, count(*) as total, count(*) filter (where contains(pred, '<')) as rule_passed, count(score) as judged, count(*) filter (where contains(pred, '<') and score * 100 >= 80) as correct, round(coalesce(avg(score * 100), 0), 4) as avg_score from t group by source_dataset")
+def html_summary(spark, folder):
+    rows = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", "source_dataset", "pred", "score").dropDuplicates(["task_key"])
+    return K.html_summary(rows, ["source_dataset"], F.col("pred").contains("<"), F.col("score") * 100)
+
+
+@query(f"with {_RES} select coalesce(source_dataset, '') as source_dataset, item_id, task_key, row_number() over (order by coalesce(source_dataset, ''), item_id nulls first, task_key) as place from t")
+def sorted_results(spark, folder):
+    rows = _t(spark, folder, "task_results").where("task_key is not null").select(F.coalesce("source_dataset", F.lit("")).alias("source_dataset"), "item_id", "task_key").dropDuplicates(["task_key"])
+    # places over ranges: no task sorts everything
+    return running_counts(rows.withColumn("_all", F.lit(1)), "_all", [F.col("source_dataset"), F.col("item_id"), F.col("task_key")], {"place": F.lit(1)}).select("source_dataset", "item_id", "task_key", "place")
 
 
 @query(f"with {_ROLL} select item_key, len(list_filter(corrects, lambda x: x = 1)) > len(list_filter(corrects, lambda x: x = 0)) as verdict from r where corrects is not null")
@@ -216,10 +244,12 @@ def component_mean(spark, folder):
     return rows.select("l_orderkey", F.round(K.component_mean(F.col("scores")), 6).alias("component_mean"))
 
 
-@query("select l_orderkey, round(avg(l_quantity), 4) as viewport_mean, count(distinct l_returnflag) as devices from lineitem where l_returnflag in ('A', 'R') group by l_orderkey")
+@query("with r as (select l_orderkey, l_returnflag as device, max(l_quantity) as q from lineitem where l_linestatus = 'F' group by 1, 2), m as (select l_orderkey, l_returnflag as device, max(l_extendedprice) as q from lineitem where l_discount > 0.03 group by 1, 2) select l_orderkey, round(avg(m.q - r.q), 4) as viewport_mean, count(distinct device) as devices from r join m using (l_orderkey, device) group by l_orderkey")
 def viewport_mean(spark, folder):
-    rows = _t(spark, folder, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
-    return rows.groupBy("l_orderkey").agg(F.round(F.avg("l_quantity"), 4).alias("viewport_mean"), F.count_distinct("l_returnflag").alias("devices"))
+    rows = _t(spark, folder, "lineitem").withColumn("device", F.col("l_returnflag"))
+    side = lambda kept, value: rows.where(kept).groupBy("l_orderkey", "device").agg(F.max(value).alias("q"))
+    pairs = S.device_pairs(side("l_linestatus = 'F'", "l_quantity"), side("l_discount > 0.03", "l_extendedprice"), "l_orderkey", "device", "q")
+    return S.device_mean(pairs, "l_orderkey", "device", F.col("made") - F.col("reference"))
 
 
 @query(f"with {_RES}, s as (select task_key, unnest(samples) as s from t) select task_key, s.sample_index as sample_index, round(avg(s.score) over (partition by task_key order by s.sample_index rows unbounded preceding), 6) as running_avg from s where s is not null")
@@ -271,6 +301,16 @@ def missing_fields(spark, folder):
     return rows.groupBy("source_dataset").agg(F.count("*").alias("n"), F.count_if(blank("answer")).alias("no_answer"), F.count_if(blank("query")).alias("no_query"), F.count_if(F.coalesce(F.size("images") <= 0, F.lit(True))).alias("no_media"))
 
 
+@query(f"with {_ITEMS} select count(*) as rows, count(distinct item_id) as unique_ids, count(distinct item_id) filter (where item_id in (select item_id from rollouts where kept)) as kept, count(distinct item_id) - count(distinct item_id) filter (where item_id in (select item_id from rollouts where kept)) as dropped from i")
+def intersection_summary(spark, folder):
+    return S.intersection_summary(_items(spark, folder), _t(spark, folder, "rollouts").where("kept").select("item_id"))
+
+
+@query(f"with {_RES} select task_key from t where coalesce(error, '') = ''")
+def completed_tasks(spark, folder):
+    return S.completed(_t(spark, folder, "task_results").where("task_key is not null").select("task_key", "error").dropDuplicates(["task_key"])).select("task_key")
+
+
 # --- traces
 
 
@@ -304,14 +344,14 @@ def last_assistant(spark, folder):
     return R.last_matching(_events(spark, folder).where("session_key is not null"), (F.col("role") == "assistant") & (F.coalesce("content", F.lit("")) != ""), "content")
 
 
-@query(f"with {_CALLS} select session_key, max_by(json_extract_string(case when json_valid(arguments) then arguments end, '$.actions[0].type'), event_id * 1000 + call_no) as action from calls where tool = 'computer_use' and session_key is not null and json_extract_string(case when json_valid(arguments) then arguments end, '$.actions[0].type') is not null group by session_key")
+@query(f"with {_CALLS} select session_key, max_by(json_extract_string(case when json_valid(arguments) then arguments end, '$.actions[0].type'), (event_id, call_no)) as action from calls where tool = 'computer_use' and session_key is not null and json_extract_string(case when json_valid(arguments) then arguments end, '$.actions[0].type') is not null group by session_key")
 def last_matching(spark, folder):
-    made = R.calls(_events(spark, folder)).withColumn("at", F.col("event_id") * 1000 + F.col("call_no"))
+    made = R.calls(_events(spark, folder)).withColumn("at", F.struct("event_id", "call_no"))
     made = made.withColumn("action", F.get_json_object("arguments", "$.actions[0].type"))
     return R.last_matching(made.where("session_key is not null"), (F.col("tool") == "computer_use") & F.col("action").isNotNull(), "action", "at")
 
 
-@query(f"with {_EV}, b as (select session_key, event_id, r, row_number() over (partition by session_key order by event_id desc) as n from ev where session_key is not null), w as (select * from b where n <= 10), f as (select session_key, min(event_id) filter (where r = 'user') as k from w group by session_key) select w.session_key, w.event_id, w.r as role from w join f using (session_key) where w.event_id >= f.k")
+@query(f"with {_EV}, b as (select session_key, event_id, r, row_number() over (partition by session_key order by event_id desc) as n from ev where session_key is not null), w as (select * from b where n <= 10), f as (select session_key, min(event_id) filter (where r = 'user') as k from w group by session_key) select w.session_key, w.event_id, w.r as role from w join f using (session_key) where f.k is null or w.event_id >= f.k")
 def history_window(spark, folder):
     return R.history_window(_events(spark, folder).where("session_key is not null"), 10)
 
@@ -335,6 +375,64 @@ def call_quality(spark, folder):
     return counts.select("session_key", "n_calls", F.when(single, F.concat(F.lit("single_"), F.col("tool"))).when(F.col("n_calls") > 12, "too_many_calls").alias("reason"))
 
 
+@query(f"with {_CALLS}, s as (select session_key, count(*) as n, min(tool) as tool from calls group by session_key) select session_key, 'single_' || tool as reason from s where n = 1 and tool in ('read_file', 'sample_color', 'write_file', 'list_dir', 'edit_file')")
+def single_low_value(spark, folder):
+    counts = R.calls(_events(spark, folder)).groupBy("session_key").agg(F.count("*").alias("n"), F.min("tool").alias("tool"))
+    return counts.where((F.col("n") == 1) & F.col("tool").isin(*R.LOW_VALUE_TOOLS)).select("session_key", F.concat(F.lit("single_"), "tool").alias("reason"))
+
+
+@query(f"with {_CALLS} select session_key, count(*) as n_calls from calls group by session_key having count(*) > 12")
+def too_many_calls(spark, folder):
+    return R.calls(_events(spark, folder)).groupBy("session_key").agg(F.count("*").alias("n_calls")).where("n_calls > 12")
+
+
+@query(f"with {_CALLS} select session_key, max(event_id) filter (where tool = 'computer_use') is not null as has_tool, coalesce(max(event_id) filter (where tool = 'computer_use') = max(event_id), false) as is_last from calls group by session_key")
+def terminator_last(spark, folder):
+    return R.terminator_last(R.calls(_events(spark, folder)))
+
+
+@query(f"with {_CALLS}, p as (select session_key, unnest(regexp_extract_all(content, 'Saved to: (\\S+)', 1)) as path from ev where r = 'tool' union all select session_key, json_extract_string(case when json_valid(arguments) then arguments end, '$.path') from calls where tool = 'write_file') select session_key, path, count(*) as n from p where regexp_matches(lower(path), '\\.(png|jpg|jpeg|gif|bmp|webp)$') group by session_key, path")
+def written_images(spark, folder):
+    rows = _events(spark, folder)
+    return R.written_images(rows, R.calls(rows))
+
+
+_OBS = f"""{_CALLS}, l as (select session_key, call_id, max_by(tool, event_id * 1000 + call_no) as tool, max_by(coalesce(arguments, '{{}}'), event_id * 1000 + call_no) as arguments from calls where call_id is not null group by session_key, call_id),
+o as (select ev.session_key, ev.event_id, coalesce(l.tool, 'unknown_tool') as tool, ev.content from ev left join l on l.session_key = ev.session_key and l.call_id = ev.tool_call_id where ev.r = 'tool' and ev.session_key is not null and regexp_replace(coalesce(ev.content, ''), '\\s', '', 'g') <> '')"""
+
+
+@query(f"with {_OBS} select session_key, event_id, row_number() over (partition by session_key order by event_id) as observation_no, tool, length(content)::int as n_chars from o where tool <> 'list_dir'")
+def session_observations(spark, folder):
+    rows = _events(spark, folder).where("session_key is not null")
+    told = R.observations(rows, R.calls(rows), without=("list_dir",))
+    return told.select("session_key", "event_id", "observation_no", "tool", F.char_length("response").alias("n_chars"))
+
+
+@query(f"with {_OBS}, a as (select session_key, max(item_id) as item_id from sessions where session_key is not null group by session_key), i as (select item_id, max(trim(answer, ' ')) as answer from items where item_id is not null group by item_id) select o.session_key, count(*) as n_responses, sum(length(o.content))::bigint as text_chars, coalesce(bool_or(length(i.answer) >= 3 and contains(o.content, i.answer)), false) as has_answer, count(*) filter (where o.tool in ('computer_use', 'write_file')) as n_channel from o left join a using (session_key) left join i using (item_id) group by o.session_key")
+def prefix_audit(spark, folder):
+    rows = _events(spark, folder).where("session_key is not null")
+    answers = _t(spark, folder, "items").where("item_id is not null").groupBy("item_id").agg(F.max(F.trim("answer")).alias("reference"))
+    known = _t(spark, folder, "sessions").where("session_key is not null").groupBy("session_key").agg(F.max("item_id").alias("item_id")).join(answers, "item_id", "left")
+    return R.prefix_audit(R.observations(rows, R.calls(rows)), known).select("session_key", "n_responses", "text_chars", "has_answer", "n_channel")
+
+
+@query(f"with {_SAMPLES} select task_key, sample_no::int as sample_no, u.step as step, k::int as call_no, r.name as tool, r.error as error from (select task_key, sample_no, u, k, u.tool_results[k + 1] as r from (select *, unnest(range(len(u.tool_results))) as k from u where u is not null and u.tool_results is not null)) where r is not null and r.name is not null")
+def turn_observations(spark, folder):
+    rows = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", "samples").dropDuplicates(["task_key"])
+    return R.turn_observations(rows).select("task_key", "sample_no", "step", "call_no", "tool", "error")
+
+
+@query()
+def session_verdicts(spark, folder):
+    rows = _events(spark, folder).where("session_key is not null")
+    items = _t(spark, folder, "items").where("item_id is not null").groupBy("item_id").agg(F.max("answer").alias("reference"))
+    known = _t(spark, folder, "sessions").where("session_key is not null").groupBy("session_key").agg(F.max("item_id").alias("item_id")).join(items, "item_id")
+    facts = R.session_facts(rows, R.calls(rows), known).withColumn("boxes", A.boxed("answer"))
+    right = A.match_method(F.col("answer"), F.col("boxes"), F.col("reference"), 0.02) != "none"
+    stage, reason = S.rejected(R.session_rules(right | F.col("has_tool")))
+    return facts.select("session_key", stage.alias("stage"), reason.alias("reason"))
+
+
 _QUALITY = f"""{_CALLS}, c as (select session_key, count(*) as n, min(tool) as tool from calls group by session_key), m as (select session_key, bool_or(r = 'assistant' and coalesce(content, '') <> '') as answered from ev group by session_key),
 q as (select m.session_key, case when not m.answered then 'correctness' when c.n is null then 'correctness' when c.n = 1 and c.tool in ('read_file', 'sample_color', 'write_file', 'list_dir', 'edit_file') then 'quality' when c.n > 12 then 'quality' end as stage, case when not m.answered then 'no_response' when c.n is null then 'no_tool_calls' when c.n = 1 and c.tool in ('read_file', 'sample_color', 'write_file', 'list_dir', 'edit_file') then 'single_low_value' when c.n > 12 then 'too_many_calls' end as reason from m left join c on c.session_key = m.session_key)"""
 
@@ -359,10 +457,13 @@ def duplicate_paths(spark, folder):
     return paths.groupBy("session_key", "path").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query(f"with {_EV} select session_key, count(*) as n_messages, count(*) filter (where regexp_matches(coalesce(content, ''), '(^|[^A-Za-z0-9_.-])/(home|root|Users|opt|srv|var|etc|usr)/[^\\s\"''<>]+')) as n_host_paths from ev group by session_key")
+@query(f"with {_EV}, x as (select session_key, regexp_replace(coalesce(content, '') || chr(10) || (case when r = 'assistant' then coalesce(tool_calls, '') else '' end), '/mnt/data\\b|/tmp\\b', 'X', 'g') as c from ev), p as (select session_key, regexp_replace(coalesce(media_dir, ''), '/mnt/data\\b|/tmp\\b', 'X', 'g') as c from sessions), u as (select * from x union all select * from p) select session_key, bool_or(regexp_matches(c, '(^|[^A-Za-z0-9_.-])/(mnt|home|root|Users|opt|srv|var|etc|usr)/[^\\s\"\'\'<>]+')) as hit from u group by session_key")
 def host_path_hits(spark, folder):
-    hit = F.coalesce("content", F.lit("")).rlike(r"(^|[^A-Za-z0-9_.-])/(home|root|Users|opt|srv|var|etc|usr)/[^\s\"'<>]+")
-    return _events(spark, folder).groupBy("session_key").agg(F.count("*").alias("n_messages"), F.count_if(hit).alias("n_host_paths"))
+    media = _t(spark, folder, "sessions").select("session_key", F.coalesce("media_dir", F.lit("")).alias("system_prompt"))
+    rows = _events(spark, folder)
+    every = rows.select("session_key").unionByName(media.select("session_key")).distinct()
+    hit = R.host_path_sessions(rows, media).withColumn("hit", F.lit(True))
+    return every.join(hit, every["session_key"].eqNullSafe(hit["session_key"]), "left").select(every["session_key"], F.coalesce("hit", F.lit(False)).alias("hit"))
 
 
 @query("with f as (select distinct item_index, unnest(images) as image from items), s as (select distinct unnest(images) as image from sft_samples) select f.item_index, f.image from f where f.image is not null and not exists (select 1 from s where s.image = f.image)")
@@ -380,12 +481,12 @@ def retryable_errors(spark, folder):
     return _t(spark, folder, "documents").where(hit).select("doc_id")
 
 
-@query(f"with {_CALLS} select session_key, event_id, call_no::bigint as call_no, case when regexp_matches(lower(arguments), 'rm +-[rf]+|mkfs|dd +if=|shutdown|reboot') then 'dangerous' when contains(arguments, '../') then 'traversal' when regexp_matches(arguments, '(^|[^a-z0-9_./-])/(etc|usr|var|root|home)/') then 'outside' else 'ok' end as verdict from calls where tool = 'exec'")
+@query(f"with {_CALLS}, c as (select session_key, event_id, call_no, json_extract_string(case when json_valid(arguments) then arguments end, '$.command') as command from calls where tool = 'exec') select session_key, event_id, call_no::bigint as call_no, case when command is null then null when not regexp_matches(lower(trim(command, ' ')), '--limit [1-4]') then 'not_allowed' when contains(command, '/mnt/data/m') then 'outside' else 'ok' end as verdict from (select session_key, event_id, call_no, replace(command, '/mnt/data/m', '/srv/mnt/data/m') as command from c)")
 def command_guard(spark, folder):
     made = R.calls(_events(spark, folder)).where("tool = 'exec'")
-    a = F.col("arguments")
-    verdict = F.when(F.lower(a).rlike("rm +-[rf]+|mkfs|dd +if=|shutdown|reboot"), "dangerous").when(a.contains("../"), "traversal").when(a.rlike("(^|[^a-z0-9_./-])/(etc|usr|var|root|home)/"), "outside").otherwise("ok")
-    return made.select("session_key", "event_id", F.col("call_no").cast("long").alias("call_no"), verdict.alias("verdict"))
+    # some of the paths are moved out of the working directory, so that each verdict occurs
+    command = F.replace(F.try_variant_get(F.try_parse_json("arguments"), "$.command", "string"), F.lit("/mnt/data/m"), F.lit("/srv/mnt/data/m"))
+    return made.select("session_key", "event_id", F.col("call_no").cast("long").alias("call_no"), AU.command_verdict(command, ["--limit [1-4]"], "/mnt/data").alias("verdict"))
 
 
 @query(f"with {_EV} select event_id from ev where r in ('user', 'assistant') and contains(lower(concat_ws(' ', r, content, tool_calls)), 'legend')")
@@ -394,9 +495,10 @@ def event_search(spark, folder):
     return _events(spark, folder).where(F.col("role").isin("user", "assistant") & text.contains("legend")).select("event_id")
 
 
-@query("select doc_id, regexp_matches(coalesce(session_key, ''), '^https?://[^/\\s]+') as valid from documents")
+@query("select doc_id, regexp_matches(u, '(?i)^https?://[^/?#\\s]+') as valid from (select doc_id, (case doc_id % 4 when 0 then 'http://' when 1 then 'HTTPS://' when 2 then 'ftp://' else 'https:///' end) || run_id as u from documents where run_id is not null)")
 def url_validity(spark, folder):
-    return _t(spark, folder, "documents").select("doc_id", F.coalesce("session_key", F.lit("")).rlike(r"^https?://[^/\s]+").alias("valid"))
+    scheme = F.element_at(F.array(*map(F.lit, ("http://", "HTTPS://", "ftp://", "https:///"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    return _t(spark, folder, "documents").where("run_id is not null").select("doc_id", AU.valid_url(F.concat(scheme, "run_id")).alias("valid"))
 
 
 @query("select 'supplier' as origin, s_suppkey as id, s_name as name, s_nationkey as nation from supplier union all select 'customer', c_custkey, c_name, c_nationkey from customer")
@@ -408,6 +510,9 @@ def union_inputs(spark, folder):
 
 # --- text
 
+#: Numbers as the engine's pattern finds them: a letter takes the sign or digit behind it, what begins with a letter is none.
+_NUMBERS = "list_transform(list_filter(regexp_extract_all(text, '[a-zA-Z][-+0-9]?|[-+]?[0-9]+(?:\\.[0-9]+)?(?:[eE][-+]?[0-9]+)?%?'), lambda s: not regexp_matches(s, '^[a-zA-Z]')), lambda s: try_cast(replace(s, '%', '') as double))"
+
 
 @query("select doc_id, len(regexp_extract_all(text, '\\*\\*(.+?)\\*\\*', 1)) as n_bold, list_extract(regexp_extract_all(text, '\\*\\*(.+?)\\*\\*', 1), 1) as first_bold from documents where text is not null")
 def bold_extract(spark, folder):
@@ -427,18 +532,17 @@ def yes_no_parse(spark, folder):
     return rows.select("task_key", A.last_yes_no(F.col("judge_raw")).alias("verdict"))
 
 
-@query("select doc_id, len(regexp_extract_all(text, '[0-9]+(?:\\.[0-9]+)?')) as n_numbers, try_cast(list_extract(regexp_extract_all(text, '[0-9]+(?:\\.[0-9]+)?'), 1) as double) as first_number from documents where text is not null")
+@query(f"with x as (select doc_id, {_NUMBERS} as v from documents where text is not null) select doc_id, len(v) as n_numbers, list_extract(v, 1) as first_number from x")
 def number_extract(spark, folder):
-    found = F.regexp_extract_all("text", F.lit(r"[0-9]+(?:\.[0-9]+)?"), 0)
-    return _t(spark, folder, "documents").where("text is not null").select("doc_id", F.size(found).cast("long").alias("n_numbers"), F.try_element_at(found, F.lit(1)).try_cast("double").alias("first_number"))
+    rows = _t(spark, folder, "documents").where("text is not null").select("doc_id", A.numbers(F.col("text")).alias("v"))
+    return rows.select("doc_id", F.size("v").cast("long").alias("n_numbers"), F.try_element_at("v", F.lit(1)).alias("first_number"))
 
 
-@query("with x as (select doc_id, unnest(regexp_extract_all(text, '[0-9]+(?:\\.[0-9]+)?')) as s, generate_subscripts(regexp_extract_all(text, '[0-9]+(?:\\.[0-9]+)?'), 1) as i from documents where text is not null) select doc_id, arg_min(try_cast(s as double), abs(try_cast(s as double) - 500) * 1e6 + i) as nearest from x where try_cast(s as double) is not null and abs(try_cast(s as double)) < 1e6 group by doc_id")
+@query(f"with x as (select doc_id, {_NUMBERS} as l from documents where text is not null), y as (select doc_id, unnest(l) as v, generate_subscripts(l, 1) as i from x) select doc_id, v as nearest from y where v is not null qualify row_number() over (partition by doc_id order by abs(v - 500), i) = 1")
 def nearest_number(spark, folder):
-    rows = _t(spark, folder, "documents").where("text is not null").select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"[0-9]+(?:\.[0-9]+)?"), 0)).alias("i", "s"))
-    value = F.col("s").try_cast("double")
-    kept = rows.withColumn("v", value).where("v is not null and abs(v) < 1e6")
-    return kept.groupBy("doc_id").agg(F.min(F.struct(F.abs(F.col("v") - 500).alias("d"), "i", "v")).getField("v").alias("nearest"))
+    # a document's numbers stay in its row: no shuffle
+    near = A.nearest(A.numbers(F.col("text")), F.lit(500.0))
+    return _t(spark, folder, "documents").where("text is not null").select("doc_id", near.alias("nearest")).where("nearest is not null")
 
 
 @query("select p_partkey, p_size, abs(p_size - 25) / 25.0 <= 0.2 as close from part")
@@ -446,17 +550,58 @@ def numeric_close(spark, folder):
     return _t(spark, folder, "part").select("p_partkey", "p_size", A.numeric_close(F.col("p_size").cast("double"), F.lit(25.0), 0.2).alias("close"))
 
 
-@query(r"with n as (select distinct item_index, lower(trim(answer, ' ')) as a from items where answer is not null), f as (select *, case when regexp_full_match(a, '[+-]?[0-9]+(\.[0-9]+)?%?') then try_cast(replace(a, '%', '') as double) end as v from n) select item_index, case when v is null then a when v = floor(v) then v::bigint::varchar else v::varchar end as normalized from f where a not like '%e%' or v is null")
+@query(r"with n as (select distinct item_index, lower(trim(answer, ' ')) as a from items where answer is not null), f as (select *, case when regexp_full_match(a, '[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)(e[+-]?[0-9]+)?%*') then try_cast(replace(a, '%', '') as double) end as v from n) select item_index, case when v is null then a when v = floor(v) and not contains(a, 'e') then v::bigint::varchar else v::varchar end as normalized from f")
 def normalize_answer(spark, folder):
-    rows = _t(spark, folder, "items").where("answer is not null").select("item_index", "answer").distinct()
-    numeric = F.lower(F.trim("answer")).rlike(r"^[+-]?[0-9]+(\.[0-9]+)?%?$")
-    return rows.where(~F.lower("answer").contains("e") | ~numeric).select("item_index", A.normalized_answer(F.col("answer")).alias("normalized"))
+    return _t(spark, folder, "items").where("answer is not null").select("item_index", "answer").distinct().select("item_index", A.normalized_answer(F.col("answer")).alias("normalized"))
 
 
-@query("select doc_id, length(text) > 0 and regexp_matches(lower(text), 'answer|result|therefore|thus|conclusion|the gap|the difference') as signalled from documents where text is not null")
+@query(f"select doc_id, array_to_string(regexp_extract_all(text, '(?i)[^.。\n]*(?:{A.SIGNAL_PATTERN})[^.。\n]*'), ' ') as told from documents where text is not null")
 def answer_sentences(spark, folder):
-    pattern = "answer|result|therefore|thus|conclusion|the gap|the difference"
-    return _t(spark, folder, "documents").where("text is not null").select("doc_id", ((F.char_length("text") > 0) & F.lower("text").rlike(pattern)).alias("signalled"))
+    return _t(spark, folder, "documents").where("text is not null").select("doc_id", A.answer_sentences(F.col("text")).alias("told"))
+
+
+@query("with d as (select text, doc_id, lower(case doc_id % 3 when 0 then '2' when 1 then 'no' else '4' end) as q from documents where text is not null) select doc_id, regexp_matches(text, '(?i)(?:answer|result|total|difference|gap|value|count|sum)\\s*(?:is|=|:)\\s*\\**\\s*' || q || '(?:[^\\pL\\pN_]|$)') or regexp_matches(text, '(?i)=\\s*\\**\\s*' || q || '(?:\\s*$|\\s+[^\\s%)\\]]|[^\\pL\\pN_\\s%)\\]])') or regexp_matches(text, '(?i)\\*\\*' || q || '\\*\\*') or regexp_matches(text, '(?i)\\\\{1,2}boxed\\{\\s*' || q || '\\s*\\}') as in_context from d")
+def answer_context(spark, folder):
+    q = F.element_at(F.array(F.lit("2"), F.lit("no"), F.lit("4")), (F.col("doc_id") % 3 + 1).cast("int"))
+    return _t(spark, folder, "documents").where("text is not null").select("doc_id", A.has_answer_context(F.col("text"), q).alias("in_context"))
+
+
+@query("select doc_id, regexp_replace(text, '\\[(?:Image file paths — use these in scripts|File paths — read these using tools such as read_file)\\]\\n(?:- [^\\n]*\\n)+\\n', '', 'g') as text from (select doc_id, case when doc_id % 2 = 0 then '[Image file paths — use these in scripts]' || chr(10) || '- /mnt/data/' || doc_id || '.png' || chr(10) || chr(10) || text else text end as text from documents where text is not null)")
+def hint_strip(spark, folder):
+    hint = F.concat(F.lit("[Image file paths — use these in scripts]\n- /mnt/data/"), F.col("doc_id").cast("string"), F.lit(".png\n\n"))
+    told = F.when(F.col("doc_id") % 2 == 0, F.concat(hint, "text")).otherwise(F.col("text"))
+    return _t(spark, folder, "documents").where("text is not null").select("doc_id", C.without_hint(told).alias("text"))
+
+
+@query("select doc_id, nullif(regexp_extract(text, '^\\s*(\\d{1,9})\\s*[xX,]\\s*(\\d{1,9})\\s*$', 1), '')::int as width, nullif(regexp_extract(text, '^\\s*(\\d{1,9})\\s*[xX,]\\s*(\\d{1,9})\\s*$', 2), '')::int as height from (select item_index as doc_id, coalesce(case item_index % 3 when 0 then width || 'x' || height when 1 then ' ' || width || ' , ' || height else answer end, '') as text from (select distinct on (item_index) * from items))")
+def viewport_parse(spark, folder):
+    size = F.when(F.col("item_index") % 3 == 0, F.concat(F.col("width").cast("string"), F.lit("x"), F.col("height").cast("string"))).when(F.col("item_index") % 3 == 1, F.concat(F.lit(" "), F.col("width").cast("string"), F.lit(" , "), F.col("height").cast("string"))).otherwise(F.col("answer"))
+    view = H.viewport(F.coalesce(size, F.lit("")))
+    return _t(spark, folder, "items").dropDuplicates(["item_index"]).select(F.col("item_index").alias("doc_id"), view["width"].alias("width"), view["height"].alias("height"))
+
+
+@query("select doc_id, case when length(text) > 400 then substr(text, 1, 400) || chr(10) || '... [truncated ' || (length(text) - 400) || ' chars]' else text end as short from documents where text is not null")
+def truncate_text(spark, folder):
+    return _t(spark, folder, "documents").where("text is not null").select("doc_id", R.truncated_text(F.col("text"), 400).alias("short"))
+
+
+@query("select doc_id, trim(regexp_replace(run_id || '/' || coalesce(session_key, ''), '[<>:\"/\\\\|?*]', '_', 'g'), E' \\t\\n') as safe, coalesce(nullif(regexp_replace(regexp_replace(coalesce(nullif(source, ''), 'dataset'), '[^A-Za-z0-9_.-]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'dataset') || '_' || doc_id as task_key from documents where run_id is not null")
+def sanitize_key(spark, folder):
+    name = F.concat("run_id", F.lit("/"), F.coalesce("session_key", F.lit("")))
+    return _t(spark, folder, "documents").where("run_id is not null").select("doc_id", C.safe_name(name).alias("safe"), C.task_key(F.col("source"), F.col("doc_id").cast("string")).alias("task_key"))
+
+
+@query("select doc_id, sha256(text) as digest, substr(sha1(text), 1, 9) as short_digest from documents where text is not null")
+def content_hash(spark, folder):
+    return _t(spark, folder, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("digest"), C.short_digest(F.col("text")).alias("short_digest"))
+
+
+@query(f"with {_EV}, s as (select session_key, max(media_dir) as media_dir from sessions where session_key is not null group by session_key) select event_id, case when s.media_dir <> '' then replace(replace(content, '/mnt/data', s.media_dir), s.media_dir, '/mnt/data') else content end as text, case when s.media_dir <> '' then replace(content, '/mnt/data', s.media_dir) else content end as host_text from ev left join s using (session_key) where content is not null")
+def path_rewrite(spark, folder):
+    roots = _t(spark, folder, "sessions").where("session_key is not null").groupBy("session_key").agg(F.max("media_dir").alias("media_dir"))
+    rows = _events(spark, folder).where("content is not null").select("event_id", "session_key", "content").join(roots, "session_key", "left")
+    host = C.host_paths(F.col("content"), F.col("media_dir"))
+    return rows.select("event_id", C.virtual_paths(host, F.col("media_dir")).alias("text"), host.alias("host_text"))
 
 
 @query()
@@ -511,14 +656,39 @@ def looks_like_html(spark, folder):
     return _t(spark, folder, "documents").where("text is not null").select("doc_id", H.looks_like_html(F.col("text")).alias("is_html"))
 
 
-@query("with a as (select doc_id, regexp_replace(text, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<[^>]+>', ' ', 'g') as t from documents where source = 'page_dump' and text is not null) select doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[ \\t\\r\\n]+', ' ', 'g'), ' ') as plain from a")
+@query("with a as (select doc_id, regexp_replace(text, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<[^>]+>', ' ', 'g') as t from documents where text is not null) select doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', \'\'\'\'), '&nbsp;', ' '), '&amp;', '&'), '[ \\t\\r\\n]+', ' ', 'g'), ' ') as plain from a")
 def html_to_text(spark, folder):
-    return _t(spark, folder, "documents").where("source = 'page_dump' and text is not null").select("doc_id", H.plain_text(F.col("text")).alias("plain"))
+    return _t(spark, folder, "documents").where("text is not null").select("doc_id", H.plain_text(F.col("text")).alias("plain"))
+
 
+@query()
+def html_extract(spark, folder):
+    rows = _t(spark, folder, "task_results").where("task_key is not null and pred is not null").select("task_key", "pred").dropDuplicates(["task_key"])
+    return rows.select("task_key", H.extracted(F.col("pred")).alias("by_priority"), H.extracted_by_position(F.col("pred")).alias("by_position"), H.extracted_by_fence(F.col("pred")).alias("by_fence"))
 
-@query("select event_id, json_extract_string(props, '$.k')::bigint as k from events where props is not null")
+
+_TAGS = "list_transform(regexp_extract_all({0}, '<([a-zA-Z][a-zA-Z0-9]*)', 1), lambda x: lower(x))"
+
+
+@query(f"with {_RES}, x as (select task_key, {_TAGS.format('pred')} as a, {_TAGS.format('gt')} as b from t where pred is not null and gt is not null), k as (select task_key, a, b, unnest(list_distinct(list_concat(a, b))) as tag from x), c as (select task_key, len(list_filter(a, lambda y: y = tag)) as n, len(list_filter(b, lambda y: y = tag)) as m from k) select x.task_key, coalesce((select round(sum(least(n, m)) / sum(greatest(n, m)), 6) from c where c.task_key = x.task_key), 1.0) as jaccard from x")
+def bag_jaccard(spark, folder):
+    rows = _t(spark, folder, "task_results").where("task_key is not null and pred is not null and gt is not null").select("task_key", "pred", "gt").dropDuplicates(["task_key"])
+    tags = lambda c: H.bag(F.transform(F.regexp_extract_all(c, F.lit("<([a-zA-Z][a-zA-Z0-9]*)"), 1), F.lower))
+    return rows.select("task_key", F.round(H.bag_jaccard(tags("pred"), tags("gt")), 6).alias("jaccard"))
+
+
+@query(f"with {_CALLS}, u as (select session_key, event_id, call_no, case when json_valid(arguments) then json(arguments) end as j from calls where tool = 'computer_use'), a as (select *, json_extract(j, '$.actions') as l from u) select session_key, event_id, call_no::bigint as call_no, json_extract_string(l, '$[0].type') as action, json_extract(l, '$[0].coordinate[0]')::double as x, json_extract(l, '$[0].coordinate[1]')::double as y from a")
 def json_args(spark, folder):
-    return _t(spark, folder, "events").where("props is not null").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    made = R.calls(_events(spark, folder)).where("tool = 'computer_use'")
+    first = made.withColumn("p", G.call_coordinate(F.col("arguments"), "$.actions[0].coordinate"))
+    return first.select("session_key", "event_id", F.col("call_no").cast("long").alias("call_no"), F.try_variant_get(F.try_parse_json("arguments"), "$.actions[0].type", "string").alias("action"), "p.x", "p.y")
+
+
+@query("select sample_id, json_array_length(tools)::int as n_tools, json_extract_string(tools, '$[0].function.name') as first_tool from (select distinct on (sample_id) sample_id, case when json_valid(tools) then tools end as tools from sft_samples where sample_id is not null)")
+def json_array_text(spark, folder):
+    fenced = F.concat(F.lit("Tools:\n```json\n"), F.col("tools"), F.lit("\n```"))
+    rows = _t(spark, folder, "sft_samples").where("sample_id is not null").dropDuplicates(["sample_id"]).select("sample_id", AU.json_array_in(fenced).alias("v"))
+    return rows.select("sample_id", F.when(F.col("v").isNotNull(), F.size("v")).alias("n_tools"), F.try_variant_get(F.try_element_at("v", F.lit(1)), "$.function.name", "string").alias("first_tool"))
 
 
 @query("select item_index, x1 <= x2 and y1 <= y2 as ordered, 500 / 1000.0 * width between least(x1, x2) and greatest(x1, x2) and 500 / 1000.0 * height between least(y1, y2) and greatest(y1, y2) as hit from (select item_index, width, height, v[1] as x1, v[2] as y1, v[3] as x2, v[4] as y2 from (select distinct item_index, width, height, try_cast(answer as double[]) as v from items where regexp_matches(answer, '^\\s*\\[') and width > 0 and height > 0) where len(v) = 4)")
@@ -530,11 +700,37 @@ def point_in_bbox(spark, folder):
     return rows.select("item_index", ordered.alias("ordered"), G.point_in_box(p, G.box(b["x1"], b["y1"], b["x2"], b["y2"])).alias("hit"))
 
 
-@query("select vec_id, round(case when a between 0 and 1 and b between 0 and 1 then a else a / 1000.0 end, 9) as x, round(case when a between 0 and 1 and b between 0 and 1 then b else b / 1000.0 end, 9) as y, abs(a - b) <= 0.1 as close from (select vec_id, embedding[1]::double as a, embedding[2]::double as b from embeddings)")
+@query("select vec_id, round(case when a between 0 and 1 and b between 0 and 1 then a else a / 1000.0 end, 9) as x, round(case when a between 0 and 1 and b between 0 and 1 then b else b / 1000.0 end, 9) as y from (select vec_id, embedding[1]::double as a, embedding[2]::double as b from embeddings)")
 def coord_normalize(spark, folder):
     rows = _t(spark, folder, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("a"), F.col("embedding")[1].cast("double").alias("b"))
     p = G.unit_prediction(F.col("a"), F.col("b"))
-    return rows.select("vec_id", F.round(p["x"], 9).alias("x"), F.round(p["y"], 9).alias("y"), (F.abs(F.col("a") - F.col("b")) <= 0.1).alias("close"))
+    return rows.select("vec_id", F.round(p["x"], 9).alias("x"), F.round(p["y"], 9).alias("y"))
+
+
+@query("select vec_id, abs(a - c) <= 0.1 and abs(b - d) <= 0.1 as close from (select vec_id, embedding[1]::double as a, embedding[2]::double as b, embedding[3]::double as c, embedding[4]::double as d from embeddings)")
+def point_close(spark, folder):
+    e = [F.col("embedding")[i].cast("double") for i in range(4)]
+    a, b = (F.struct(e[i].alias("x"), e[i + 1].alias("y")) for i in (0, 2))
+    return _t(spark, folder, "embeddings").select("vec_id", G.point_close(a, b, 0.1).alias("close"))
+
+
+@query("with r as (select vec_id, list_transform(embedding, lambda v: round(v::double, 1) + 0.0) as v from embeddings), p as (select vec_id, unnest(v) as x, generate_subscripts(v, 1) as i from r), f as (select vec_id, x, min(i) as i from p group by vec_id, x) select vec_id, list(x order by i)::varchar as kept from f group by vec_id")
+def ordered_dedupe(spark, folder):
+    kept = F.array_distinct(F.transform("embedding", lambda v: F.round(v.cast("double"), 1)))
+    return _t(spark, folder, "embeddings").select("vec_id", F.concat(F.lit("["), F.array_join(kept.cast("array<string>"), ", "), F.lit("]")).alias("kept"))
+
+
+_CLICK = "p as (select task_key, t.pred, i.b, i.w, i.h, try_cast(regexp_extract(t.pred, '(-?[0-9]+(?:\\.[0-9]+)?)', 1) as double) as x, t.n_tool_calls::double * 10 as y from t join (select item_id, max(case when regexp_matches(answer, '^\\s*\\[') then answer end) as b, max(width)::double as w, max(height)::double as h from items where item_id is not null group by item_id) i using (item_id))"
+
+
+@query(f"with {_RES}, {_CLICK}, q as (select task_key, w, h, x, y, try_cast(b as double[]) as v from p), z as (select *, len(v) = 4 as ok, x / 1000.0 * w as px, y / 1000.0 * h as py from q) select task_key, coalesce(ok and px between least(v[1], v[3]) and greatest(v[1], v[3]) and py between least(v[2], v[4]) and greatest(v[2], v[4]) and w > 0 and h > 0, false)::int as score, case when ok and px is not null and y is not null then 'tool_calls' end as source, case when ok and y is not null then round(px, 2) end as px from z")
+def grounding_score(spark, folder):
+    items = _t(spark, folder, "items").where("item_id is not null").groupBy("item_id").agg(F.max(F.when(F.col("answer").rlike(r"^\s*\["), F.col("answer"))).alias("b"), F.max("width").cast("double").alias("w"), F.max("height").cast("double").alias("h"))
+    rows = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", "item_id", "pred", "n_tool_calls").dropDuplicates(["task_key"]).join(items, "item_id")
+    x, y = F.nullif(F.regexp_extract("pred", r"(-?[0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast("double"), F.col("n_tool_calls").cast("double") * 10
+    click = G.click_point(F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y"))), F.lit(""))
+    told = rows.select("task_key", G.grounding_score(click, G.bbox_of(F.col("b")), F.col("w"), F.col("h")).alias("s"))
+    return told.select("task_key", "s.score", F.when(F.col("s.px").isNotNull(), F.col("s.source")).alias("source"), "s.px")
 
 
 @query("with s as (select distinct item_index, width::double as w, height::double as h from items where width > 0 and height > 0), r as (select *, greatest(28, round_even(h / 28, 0) * 28) as hb, greatest(28, round_even(w / 28, 0) * 28) as wb, sqrt(h * w / (16384 * 784)::double) as sh, sqrt((4 * 784)::double / (h * w)) as gr from s) select item_index, (case when hb * wb > 16384 * 784 then floor(h / sh / 28) * 28 when hb * wb < 4 * 784 then ceil(h * gr / 28) * 28 else hb end)::bigint as height, (case when hb * wb > 16384 * 784 then floor(w / sh / 28) * 28 when hb * wb < 4 * 784 then ceil(w * gr / 28) * 28 else wb end)::bigint as width from r")
@@ -544,7 +740,7 @@ def smart_resize(spark, folder):
     return rows.select("item_index", r["height"].alias("height"), r["width"].alias("width"))
 
 
-@query()
+@query(f"with {_RES}, a as (select task_key, regexp_extract_all(pred, '(?is)<answer>(.*?)</answer>', 1) as l, pred from t where pred is not null), s as (select task_key, case when len(l) > 0 then l[len(l)] else pred end as scope from a), f as (select task_key, list_concat([(1, regexp_extract_all(scope, '(?i)pyautogui\\.\\w+\\(\\s*x\\s*=\\s*(-?\\d+(?:\\.\\d+)?)\\s*,\\s*y\\s*=\\s*(-?\\d+(?:\\.\\d+)?)', 1), regexp_extract_all(scope, '(?i)pyautogui\\.\\w+\\(\\s*x\\s*=\\s*(-?\\d+(?:\\.\\d+)?)\\s*,\\s*y\\s*=\\s*(-?\\d+(?:\\.\\d+)?)', 2))], [(2, regexp_extract_all(scope, '(?i)x\\s*=\\s*(-?\\d+(?:\\.\\d+)?)\\s*,\\s*y\\s*=\\s*(-?\\d+(?:\\.\\d+)?)', 1), regexp_extract_all(scope, '(?i)x\\s*=\\s*(-?\\d+(?:\\.\\d+)?)\\s*,\\s*y\\s*=\\s*(-?\\d+(?:\\.\\d+)?)', 2))], [(3, regexp_extract_all(scope, '[\\(\\[]\\s*(-?\\d+(?:\\.\\d+)?)\\s*,\\s*(-?\\d+(?:\\.\\d+)?)\\s*[\\)\\]]', 1), regexp_extract_all(scope, '[\\(\\[]\\s*(-?\\d+(?:\\.\\d+)?)\\s*,\\s*(-?\\d+(?:\\.\\d+)?)\\s*[\\)\\]]', 2))]) as c from s), g as (select task_key, list_filter(c, lambda z: len(z[2]) > 0)[1] as z from f) select task_key, z[2][len(z[2])]::double as x, z[3][len(z[3])]::double as y from g where z is not null")
 def click_extract(spark, folder):
     rows = _t(spark, folder, "task_results").where("task_key is not null and pred is not null").select("task_key", "pred").dropDuplicates(["task_key"])
     return rows.select("task_key", G.last_click(F.col("pred")).alias("p")).where("p is not null").select("task_key", "p.x", "p.y")
@@ -567,7 +763,9 @@ def text_plumbing(spark, folder):
     return _t(spark, folder, "documents").where("text is not null and run_id is not null").select("doc_id", F.char_length(R.truncated_text(t, 4000)).cast("long").alias("n"), C.safe_name(name).alias("safe"), (F.replace(t, F.lit("/mnt/data"), F.lit("/work")) == t).alias("no_path"), F.sha2(t, 256).alias("digest"))
 
 
-@query()
+@query("""with recursive d as (select doc_id, text as t, -1 as chunk_no, '' as chunk from documents where text is not null and text <> ''), c as (select * from d union all
+select doc_id, regexp_replace(substr(t, n + 1), '^\\s+', ''), chunk_no + 1, substr(t, 1, n) from (select *, case when length(t) <= 2000 then length(t) when strpos(r, chr(10)) between 1 and 1999 then 2000 - strpos(r, chr(10)) when strpos(r, ' ') between 1 and 1999 then 2000 - strpos(r, ' ') else 2000 end as n from (select *, reverse(substr(t, 1, 2000)) as r from c where t <> '')))
+select doc_id, chunk_no, chunk from c where chunk_no >= 0""")
 def chunk_text(spark, folder):
     return _t(spark, folder, "documents").where("text is not null").select("doc_id", F.posexplode(R.chunked(F.col("text"))).alias("chunk_no", "chunk"))
 
@@ -586,13 +784,13 @@ def grounding_items(spark, folder):
     return rows.select("item_index", (four & F.col("width").isNotNull() & F.col("height").isNotNull()).alias("grounding"))
 
 
-@query("select distinct item_index, regexp_extract(query, '([0-9]{4})', 1) as year, case when len(images) > 0 then images[1] end as first_image from items where query is not null")
-def item_features(spark, folder):
-    rows = _t(spark, folder, "items").where("query is not null").select("item_index", "query", "images").distinct()
-    return rows.select("item_index", F.regexp_extract("query", "([0-9]{4})", 1).alias("year"), F.try_element_at("images", F.lit(1)).alias("first_image"))
+@query("select distinct item_index, trim(split_part(system_prompt, chr(10) || chr(10) || '---' || chr(10) || chr(10), 1), E' \\t\\n') as prompt from (select row_number() over (order by session_key) as item_index, p as system_prompt from (select session_key, max(system_prompt) as p from sessions where session_key is not null and not starts_with(system_prompt, '[') group by session_key))")
+def prompt_clean(spark, folder):
+    rows = _t(spark, folder, "sessions").where("session_key is not null and not startswith(system_prompt, '[')").groupBy("session_key").agg(F.max("system_prompt").alias("p"))
+    return rows.withColumn("item_index", F.row_number().over(Window.orderBy("session_key")).cast("long")).select("item_index", F.rtrim(C.prompt_text(F.col("p"))).alias("prompt"))
 
 
-@query()
+@query(f"with {_RES}, b as (select task_key, list_filter(list_transform(regexp_extract_all(pred, '(?is)```(?:html)?\\s*(.*?)```', 1), lambda x: trim(x, E' \\t\\n\\r')), lambda x: contains(x, '<') and contains(x, '>')) as l from t where pred is not null), u as (select task_key, unnest(l) as block, generate_subscripts(l, 1) as i from b) select task_key, block from u qualify row_number() over (partition by task_key order by length(block) desc, i) = 1")
 def longest_block(spark, folder):
     return _t(spark, folder, "task_results").where("task_key is not null and pred is not null").select("task_key", "pred").dropDuplicates(["task_key"]).select("task_key", H.longest_fenced(F.col("pred")).alias("block")).where("block is not null")
 
@@ -696,9 +894,6 @@ def p4_messages(spark, folder):
     return rows.select("root_id", "node_path", "place", F.col("item_role").alias("role"), F.col("item_content").alias("content"))
 
 
-_SAMPLES = f"{_RES}, s as (select task_key, i as sample_no, samples[i + 1] as s from (select task_key, samples, unnest(range(len(samples))) as i from t where samples is not null)), u as (select task_key, sample_no, j as turn_no, s.turns[j + 1] as u from (select *, unnest(range(len(s.turns))) as j from s where s is not null and s.turns is not null))"
-
-
 @query(f"with {_SAMPLES} select task_key as root_id, 'samples[' || sample_no || ']' as node_path, sample_no::bigint as place, s.sample_index as sample_index, s.pred as pred, s.score as score, s.error as error, s.stopped_reason as stopped_reason from s where s is not null")
 def p4_samples(spark, folder):
     rows = flatten.child_table(_t(spark, folder, "task_results"), "task_key", "samples")
