@@ -34,10 +34,9 @@ def test_plan_equals_best_fit_one_by_one(seed):
     assert sorted(capacity - u for u in used.values()) == one_by_one(sizes, capacity)
 
 
-@pytest.mark.parametrize("bucket, plan_rows", [(200_000, 4_000_000), (7, 4_000_000), (7, 0)])
-def test_packed_tables(spark, monkeypatch, bucket, plan_rows):
+@pytest.mark.parametrize("bucket", [200_000, 7])
+def test_packed_tables(spark, monkeypatch, bucket):
     monkeypatch.setattr(P, "_BUCKET", bucket)
-    monkeypatch.setattr(P, "PLAN_ROWS", plan_rows)
     r = random.Random(4)
     rows = [(k, " ".join(r.choice(["alpha", "beta", "zeta", "中文"]) for _ in range(r.randint(0, 60)))) for k in range(80)] + [(100, None), (101, ""), (102, "word " * 500), (103, "word " * 64), (None, "x")]
     df = spark.createDataFrame(rows + rows[:9], "doc_id long, text string").selectExpr("*", "1 as capacity", "2 as rank", "3 as container_id")

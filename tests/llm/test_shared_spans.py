@@ -27,9 +27,10 @@ def made(seed):
     return rows + [(70, None), (71, ""), (72, rows[3][1]), (73, rows[3][1]), (74, "x" * 700), (75, "x" * 650), (None, rows[0][1])]
 
 
-@pytest.mark.parametrize("seed, fan", [(1, 64), (2, 64), (3, 3)])
-def test_pairs_equal_brute_force(spark, monkeypatch, seed, fan):
+@pytest.mark.parametrize("seed, fan, bits", [(1, 64, 28), (2, 64, 8), (3, 3, 28), (4, 3, 8)])
+def test_pairs_equal_brute_force(spark, monkeypatch, seed, fan, bits):
     monkeypatch.setattr(S, "FAN", fan)
+    monkeypatch.setattr(S, "MAX_BITS", bits)  # below 16 no sketch is sent
     rows = made(seed)
     df = spark.createDataFrame(rows + rows[:5], "doc_id long, text string").selectExpr("*", "1 as entity", "2 as hash")
     found = [tuple(x) for x in S.shared_pairs(df).collect()]
@@ -90,3 +91,26 @@ def test_pairs_of_periodic_text(spark, monkeypatch, unit):
     rows = [(k, word(150) + run + word(150)) for k in range(5)]
     found = {tuple(x) for x in S.shared_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == brute(rows) == {(a, b) for a in range(5) for b in range(a + 1, 5)}
+
+
+@pytest.mark.parametrize("fan", [64, 2])
+def test_links_are_the_different_texts_that_share(spark, monkeypatch, fan):
+    monkeypatch.setattr(S, "FAN", fan)
+    rows = [x for x in made(6) if x[0] is not None]
+    by = {}
+    for a, b in brute([(t, t) for t in {t for _, t in rows if t}]):
+        by.setdefault(a, set()).add(b)
+        by.setdefault(b, set()).add(a)
+    got = {x.doc_id: x.n_links for x in S.shared_shares(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: len(by.get(t, ())) for k, t in rows if k in got} and all(t not in by or k in got for k, t in rows)
+
+
+def test_few_windows_pass_at_any_width(spark, monkeypatch):
+    r = random.Random(12)
+    rows = [(k, "".join(r.choice("abcdefghij ") for _ in range(4000))) for k in range(300)]
+    rows += [(1000 + k, t[1000:2000]) for k, t in rows[:5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for bits in (28, 8):  # with the sketch, and at a hundredth of the need and less without one
+        monkeypatch.setattr(S, "MAX_BITS", bits)
+        assert S.candidates(df, "doc_id", "text").count() <= 0.05 * 300 * 4000 * 2 / S.SPREAD
+        assert {tuple(x) for x in S.shared_pairs(df).collect()} == {(k, 1000 + k) for k in range(5)}

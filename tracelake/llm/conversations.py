@@ -1,11 +1,11 @@
 """Rebuilding conversations from message rows.
 
-The rows of a session are fragments of its export: most were saved once, some again, some late. Each row becomes a
-message hash of (session, role, instant, call id, calls, content); fragments that hold the same hash overlap there and are
-merged at it, so that every message stands once. What the delivery leaves open is ordered as the data demand: by instant, a
-tool message without a later time of its own right behind the call it answers. Conversations with a gap are dropped: a call
-without its one result, a result without its call, a user without a visible reply, a foreign role or a start that isn't
-a user's.
+The rows of a session are what was saved of it: most once, some again, some late. Each row becomes a message hash of (session,
+role, instant, call id, calls, content), and rows with one hash are one message. This is de-duplication by message hashes, not
+a matching of suffixes and prefixes: the rows carry no fragment that could overlap another one (the README has the figures).
+The order is that of the instants, a tool message without a later time of its own right behind the call it answers.
+Conversations with a gap are dropped: a call without its one result, a result without its call, a user without a visible
+reply, a foreign role or a start that isn't a user's.
 
 No step brings a session into one task: call links are joined on (session, call), running counts go over ranges.
 """
@@ -85,5 +85,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """The conversations with their texts: ``session_key, turn_no, role, content, tool_call_id, timestamp_iso``."""
     events = spark.read.parquet(f"{folder}/session_events.parquet")
-    texts = events.groupBy("event_id").agg(*(F.first(c).alias(c) for c in ("content", "tool_call_id", "timestamp_iso")))
-    return conversations(events).join(texts, "event_id").select("session_key", "turn_no", "role", "content", "tool_call_id", "timestamp_iso")
+    kept = written(conversations(events), "conversations")
+    # of the texts only those of kept messages are brought together
+    texts = events.select("event_id", "content", "tool_call_id", "timestamp_iso").join(kept.select("event_id"), "event_id", "left_semi").dropDuplicates(["event_id"])
+    return kept.join(texts, "event_id").select("session_key", "turn_no", "role", "content", "tool_call_id", "timestamp_iso")

@@ -29,7 +29,6 @@ from tracelake.session import written
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published splitting pattern of that vocabulary (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-PLAN_ROWS = 4_000_000
 _BUCKET = 200_000
 
 
@@ -105,13 +104,11 @@ def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int
 
 
 def _looked_up(rows: DataFrame, plans: dict[int, list[tuple[int, int, int, int]]]) -> DataFrame:
-    """``container_id`` of rows with ``capacity``, ``rest`` and ``rank``."""
+    """``container_id`` of rows with ``capacity``, ``rest`` and ``rank``.
+
+    A plan has a step for each size and gap that meet, at most some for each token of the capacity, whatever the number of documents.
+    """
     spark = rows.sparkSession
-    if sum(map(len, plans.values())) > PLAN_ROWS:  # too many steps to send: join them, cut to stretches of ranks
-        steps = [(c, s, r, k, p) for c, plan in plans.items() for s, r, k, p in plan]
-        w = Window.partitionBy("capacity", "rest").orderBy("from_rank")
-        plan = spark.createDataFrame(steps, "capacity int, rest long, from_rank long, first long, per long").withColumn("to_rank", F.coalesce(F.lead("from_rank").over(w), F.lit(2**62)))
-        return rows.join(plan, ["capacity", "rest"]).where("rank >= from_rank and rank < to_rank").withColumn("container_id", F.expr("first + (rank - from_rank) div per")).drop("from_rank", "to_rank", "first", "per")
     packed = {c: tuple(np.array(x, np.int64).reshape(-1, 4)[np.lexsort((np.array(x)[:, 1], np.array(x)[:, 0]))].T) for c, x in plans.items() if x}
     sent = spark.sparkContext.broadcast(packed)
     names = rows.columns

@@ -4,18 +4,20 @@ A span of at least ``MIN_CHARS`` characters is at least as many bytes, so window
 the Arrow buffers: of every ``SPREAD`` neighbouring ``CORE``-byte windows the one with the smallest hash is chosen
 (``CORE + SPREAD - 1 = MIN_CHARS``), hence two texts that share a span choose a common window inside it.
 
-Pass 1 adds the chosen windows of each partition to a count-min sketch; the partition sketches are merged in a tree.
-The merged counters only overestimate, so pass 2 loses nothing when it re-scans the texts and keeps only windows whose
-counters all reach two. Those are grouped exactly and verified on the bytes around them.
+Pass 1 adds the chosen windows of each partition to a count-min sketch, as wide as the bytes of the texts ask for; the
+partition sketches are merged in a tree. The merged counters only overestimate, so pass 2 loses nothing when it re-scans the
+texts and keeps only windows whose counters all reach two. Those are grouped exactly and verified on the bytes around them.
+A sketch of more than ``2 ** MAX_BITS`` cells a row isn't sent: then its cells are the window hashes themselves and stay a
+distributed table, counted by an aggregate, and the windows meet those that are repeated by a join on the hash.
 
 Copies of a whole text are one entity and are expanded only in the result. A window that more than ``FAN`` different
 surroundings share isn't compared pairwise: each row is replaced by the hashes of all its ``MIN_CHARS``-character windows
-around the core, and rows that agree in one of them are cases by definition, so the work follows the result.
+around the core, rolled over the characters, and rows that agree in one of them are cases by definition, so the work follows
+the result.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -98,17 +100,21 @@ def _windows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def _rows_of(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << bits) - 1)
-    return (h & mask).astype(np.int64), ((h >> np.uint64(64 - bits)) & mask).astype(np.int64)
+    """Cells of the two rows; chosen windows have small hashes, so the second row takes bits that are mixed again."""
+    mixed = (h ^ (h >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return (h & np.uint64((1 << bits) - 1)).astype(np.int64), (mixed >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def repeated_cells(texts: DataFrame, text: str) -> tuple[int, list[bytes]]:
+def repeated_cells(texts: DataFrame, text: str, most: int = 0) -> tuple[int, list[bytes]] | None:
     """Width of the merged sketch and, of each of its two rows, a bit for every counter that reached two.
 
-    The size is bounded: at most ``2 ** MAX_BITS`` bits a row; a fuller sketch lets more windows through and loses none.
+    The width has CELLS_PER_WINDOW cells for each window that the texts' bytes let expect; None if that is more than
+    ``2 ** most`` (MAX_BITS), which is too much to send.
     """
     size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    bits = int(np.clip(np.ceil(np.log2(max(1.0, size * 2 / SPREAD * CELLS_PER_WINDOW))), 16, MAX_BITS))
+    bits = max(16, int(np.ceil(np.log2(max(1.0, size * 2 / SPREAD * CELLS_PER_WINDOW)))))
+    if bits > (most or MAX_BITS):
+        return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partial = Partial(bits)
@@ -121,14 +127,44 @@ def repeated_cells(texts: DataFrame, text: str) -> tuple[int, list[bytes]]:
             yield from partial.batches(False)
         yield from partial.batches()
 
-    source = texts.select(text)
-    return bits, marks(source.mapInArrow(run, SCHEMA), source.rdd.getNumPartitions(), 2, bits, 2)
+    # a task reads about 16 MB of text at least
+    return bits, marks(texts.select(text).mapInArrow(run, SCHEMA), max(1, size >> 24), 2, bits, 2)
+
+
+def _repeated_windows(texts: DataFrame, text: str) -> DataFrame:
+    """``entity, places``: of each text the windows (``at, hash``) that stand in another row as well, without a sketch to send."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            offsets = _text_offsets(column)
+            for base, row, ends, at, h in _windows(column):
+                owner = np.searchsorted(ends, at, "right") + row
+                _, once = np.unique(np.stack([h, owner.astype(np.uint64)]), axis=1, return_index=True) if len(h) else (h, np.empty(0, np.int64))
+                first = np.zeros(len(h), bool)
+                first[once] = True  # a text counts once for each of its windows
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1).take(pa.array(owner)), pa.array(at + base - offsets[owner]), pa.array(first.astype(np.int32))], ["hash", "entity", "at", "first"])
+
+    slim = written(texts.select(text, entity_of(text)).mapInArrow(run, "hash long, entity binary, at long, first int"), "all-windows")
+    repeated = slim.groupBy("hash").agg(F.sum("first").alias("n")).where("n > 1").select("hash")
+    # the places of a text are bounded by its length
+    return slim.join(repeated, "hash", "left_semi").groupBy("entity").agg(F.collect_set(F.struct("at", "hash")).alias("places"))
+
+
+def entity_of(text: str) -> Column:
+    """Name of a whole text."""
+    return F.unhex(F.md5(text)).alias("entity")
 
 
 def _char_start(data: np.ndarray) -> np.ndarray:
     return (data & 0xC0) != 0x80
 
 
+def _text_offsets(column: pa.Array) -> np.ndarray:
+    wide = not pa.types.is_string(column.type)
+    return np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+
+
 def candidates(texts: DataFrame, key: str, text: str) -> DataFrame:
     """Windows that may stand in more than one text: hash, key, entity (hash of the whole text), place and surroundings.
 
@@ -136,42 +172,50 @@ def candidates(texts: DataFrame, key: str, text: str) -> DataFrame:
     ``around`` are the bytes near the core, ``before`` of them ahead of it.
     """
     spark = texts.sparkSession
-    bits, repeated = repeated_cells(texts, text)
-    sent = spark.sparkContext.broadcast(repeated)
+    sketch = repeated_cells(texts, text)
+    rows = texts.select(key, text, entity_of(text)) if sketch else texts.select(key, text, entity_of(text)).join(_repeated_windows(texts, text), "entity").select(key, text, "entity", "places")
+    sent = spark.sparkContext.broadcast(sketch)
     key_type = texts.schema[key].dataType.simpleString()
 
+    def chosen(batch: pa.RecordBatch, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Row, byte place in the buffer and hash of each window."""
+        if sent.value is None:
+            for r, places in enumerate(batch.column(3).to_pylist()):
+                yield from ((r, int(offsets[r]) + p["at"], p["hash"]) for p in places)
+            return
+        bits, repeated = sent.value
+        for base, row, ends, at, h in _windows(batch.column(1)):
+            a, b = _rows_of(h, bits)
+            hit = marked(repeated[0], a) & marked(repeated[1], b)
+            yield from zip((np.searchsorted(ends, at[hit], "right") + row).tolist(), (at[hit] + base).tolist(), h[hit].view(np.int64).tolist())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, column = batch.column(0), batch.column(1)
+            column = batch.column(1)
             data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
-            offsets = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_string(column.type) else np.int64)[column.offset : column.offset + len(column) + 1]
-            out: dict[str, list] = {k: [] for k in ("hash", "row", "entity", "at", "char_at", "before", "around")}
-            entity: dict[int, bytes] = {}
+            offsets = _text_offsets(column)
+            out: dict[str, list] = {k: [] for k in ("hash", "row", "at", "char_at", "before", "around")}
             starts: dict[int, np.ndarray | None] = {}
-            for base, row, ends, at, h in _windows(column):
-                a, b = _rows_of(h, bits)
-                hit = marked(sent.value[0], a) & marked(sent.value[1], b)
-                for p, x, r in zip((at[hit] + base).tolist(), h[hit].view(np.int64).tolist(), (np.searchsorted(ends, at[hit], "right") + row).tolist()):
-                    lo, hi = int(offsets[r]), int(offsets[r + 1])
-                    if r not in entity:
-                        whole = data[lo:hi]
-                        entity[r] = hashlib.blake2b(whole, digest_size=16).digest()
-                        starts[r] = None if whole.max() < 128 else np.cumsum(_char_start(whole))
-                    reach = MIN_CHARS - CORE if starts[r] is None else 4 * MIN_CHARS - CORE
-                    s = max(lo, p - reach)
-                    out["hash"].append(x)
-                    out["row"].append(r)
-                    out["entity"].append(entity[r])
-                    out["at"].append(p - lo)
-                    out["char_at"].append(p - lo if starts[r] is None else int(starts[r][p - lo - 1]) if p > lo else 0)
-                    out["before"].append(p - s)
-                    out["around"].append(data[s : min(hi, p + CORE + reach)].tobytes())
+            for r, p, x in chosen(batch, offsets):
+                lo, hi = int(offsets[r]), int(offsets[r + 1])
+                if r not in starts:
+                    whole = data[lo:hi]
+                    starts[r] = None if whole.max() < 128 else np.cumsum(_char_start(whole))
+                reach = MIN_CHARS - CORE if starts[r] is None else 4 * MIN_CHARS - CORE
+                s = max(lo, p - reach)
+                out["hash"].append(x)
+                out["row"].append(r)
+                out["at"].append(p - lo)
+                out["char_at"].append(p - lo if starts[r] is None else int(starts[r][p - lo - 1]) if p > lo else 0)
+                out["before"].append(p - s)
+                out["around"].append(data[s : min(hi, p + CORE + reach)].tobytes())
+            row = pa.array(out["row"], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["hash"], pa.int64()), keys.take(pa.array(out["row"], pa.int64())), pa.array(out["entity"], pa.binary()), pa.array(out["at"], pa.int64()), pa.array(out["char_at"], pa.int64()), pa.array(out["before"], pa.int32()), pa.array(out["around"], pa.binary())],
+                [pa.array(out["hash"], pa.int64()), batch.column(0).take(row), batch.column(2).take(row), pa.array(out["at"], pa.int64()), pa.array(out["char_at"], pa.int64()), pa.array(out["before"], pa.int32()), pa.array(out["around"], pa.binary())],
                 ["hash", "key", "entity", "at", "char_at", "before", "around"],
             )
 
-    return texts.select(key, text).mapInArrow(run, f"hash long, key {key_type}, entity binary, at long, char_at long, before int, around binary")
+    return rows.mapInArrow(run, f"hash long, key {key_type}, entity binary, at long, char_at long, before int, around binary")
 
 
 def _whole_chars(data: np.ndarray) -> tuple[int, int, int]:
@@ -230,20 +274,35 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each row all windows of MIN_CHARS characters around its core: hash, place and the character before (-1: no window before)."""
+    """Of each row all windows of MIN_CHARS characters around its core: hash, place and the character before (-1: no window before).
+
+    The characters of a batch's rows are one array; two polynomials over mixed characters roll over it.
+    """
     for batch in batches:
-        window, entity, start, prior = [], [], [], []
-        for e, c, b, x in zip(*(batch.column(k).to_pylist() for k in ("entity", "char_at", "before", "around"))):
+        bodies, first = [], []
+        for c, b, x in zip(*(batch.column(k).to_pylist() for k in ("char_at", "before", "around"))):
             data = np.frombuffer(x, np.uint8)
-            skip, tail, n = _whole_chars(data)
-            body = x[skip : len(x) - tail].decode()
-            first = c - int(_char_start(data[skip:b]).sum())
-            for s in range(0, n - MIN_CHARS + 1):
-                window.append(hashlib.blake2b(body[s : s + MIN_CHARS].encode(), digest_size=16).digest())
-                entity.append(e)
-                start.append(first + s)
-                prior.append(ord(body[s - 1]) if s else -1)
-        yield pa.RecordBatch.from_arrays([pa.array(window, pa.binary()), pa.array(entity, pa.binary()), pa.array(start, pa.int64()), pa.array(prior, pa.int32())], ["window", "entity", "start", "prior"])
+            skip, tail, _ = _whole_chars(data)
+            bodies.append(x[skip : len(x) - tail].decode())
+            first.append(c - int(_char_start(data[skip:b]).sum()))
+        codes = np.frombuffer("".join(bodies).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        length = np.array([len(x) for x in bodies], np.int64)
+        begin = np.cumsum(length) - length
+        n = np.maximum(length - MIN_CHARS + 1, 0)
+        row = np.repeat(np.arange(len(n)), n)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        at = begin[row] + place
+        hashes = []
+        for base, salt in ((_BASE, 0x2545F4914F6CDD1D), (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)):
+            mixed = (codes + np.uint64(3)) * np.uint64(salt)
+            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+            power = np.cumprod(np.full(len(codes) + 1, base, np.uint64))
+            inverse = np.cumprod(np.full(len(codes) + 1, pow(base, -1, 1 << 64), np.uint64))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((mixed ^ (mixed >> np.uint64(29))) * power[: len(codes)])])
+            hashes.append((sums[at + MIN_CHARS] - sums[at]) * inverse[at])
+        window = pa.Array.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(np.ascontiguousarray(np.stack(hashes, axis=1)))]).cast(pa.binary())
+        prior = np.where(place > 0, codes[np.maximum(at - 1, 0)].astype(np.int64), -1) if len(at) else at
+        yield pa.RecordBatch.from_arrays([window, batch.column("entity").take(pa.array(row)), pa.array(np.array(first, np.int64)[row] + place if len(row) else row), pa.array(prior.astype(np.int32))], ["window", "entity", "start", "prior"])
 
 
 def all_pairs(members: DataFrame, group: list[str], key: str, block: int = 512) -> DataFrame:
@@ -280,6 +339,29 @@ class SharedSpans:
         return self.pieces.select("entity_a", "entity_b").unionByName(hot.select(F.col("a").alias("entity_a"), F.col("b").alias("entity_b"))).distinct()
 
 
+    def link_counts(self) -> DataFrame:
+        """``entity, n_links``: the number of different texts that each shares a span with, without listing the pairs of a hot group.
+
+        The entities of a hot window are a group; windows with the same entities are one. All of its largest group are partners of
+        an entity; only its pieces and its smaller groups are expanded, and partners that are in the largest group don't count again.
+        """
+        mixed = F.xxhash64("entity")
+        own = self.windows.select("window", "entity").distinct()
+        sized = own.groupBy("window").agg(F.count("*").alias("size"), F.sum(F.pmod(mixed, F.lit(1 << 40))).alias("a"), F.bit_xor(mixed).alias("b"))
+        groups = sized.groupBy("size", "a", "b").agg(F.min("window").alias("window")).select("window", "size")
+        held = written(own.join(groups, "window"), "span-groups")
+        base = held.groupBy("entity").agg(F.max(F.struct("size", "window")).alias("top")).select("entity", F.col("top.window").alias("base"), (F.col("top.size") - 1).alias("n_base"))
+        rest = held.join(base, "entity").where("window <> base").select("window", F.col("entity").alias("x"))
+        others = rest.join(held.select("window", F.col("entity").alias("y")), "window").where("x <> y").select("x", "y")
+        ends = self.pieces.select("entity_a", "entity_b").distinct()
+        others = others.unionByName(ends.toDF("x", "y")).unionByName(ends.toDF("y", "x")).distinct()
+        inside = held.select(F.col("window").alias("base"), F.col("entity").alias("y"))
+        fresh = others.join(base.select(F.col("entity").alias("x"), "base"), "x", "left").join(inside, ["base", "y"], "left_anti")
+        more = fresh.groupBy(F.col("x").alias("entity")).agg(F.count("*").alias("n_more"))
+        zero = F.lit(0).cast("long")
+        return base.select("entity", "n_base").join(more, "entity", "full").select("entity", (F.coalesce("n_base", zero) + F.coalesce("n_more", zero)).alias("n_links"))
+
+
 def shared_spans(texts: DataFrame, key: str = "doc_id", text: str = "text") -> SharedSpans:
     """Spans of at least MIN_CHARS characters that stand in more than one different text.
 
@@ -328,7 +410,7 @@ def shared_shares(texts: DataFrame, key: str = "doc_id", text: str = "text") ->
     ends = ends.unionByName(found.windows.select("entity", "start", (F.col("start") + MIN_CHARS).alias("stop")))
     # a place of a text counts once however many partners share it, so the array is bounded by the text's length
     per = ends.groupBy("entity", "start").agg(F.max("stop").alias("stop")).groupBy("entity").agg(_union_length(F.collect_list(F.struct("start", "stop"))).alias("covered"))
-    links = found.links().select(F.explode(F.array("entity_a", "entity_b")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_links"))
+    links = found.link_counts()
     copies = members.groupBy("entity").agg(F.count("*").alias("copies"), F.min("key").alias("class_id"))
     told = members.join(copies, "entity").join(per, "entity", "left").join(links, "entity", "left").where("covered is not null or copies > 1")
     size = texts.select(F.col(key).alias("key"), F.char_length(text).cast("long").alias("n_chars")).where("key is not null").groupBy("key").agg(F.max("n_chars").alias("n_chars"))
