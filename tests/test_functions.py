@@ -55,15 +55,18 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("response, reference, tolerance, method", CASES)
-def test_match_method(spark, response, reference, tolerance, method):
-    df = spark.createDataFrame([(response, reference)], "p string, r string").withColumn("b", A.boxed("p"))
-    assert df.select(A.match_method(F.col("p"), F.col("b"), F.col("r"), tolerance)).first()[0] == method
+def test_match_method(spark):
+    for tolerance in {t for _, _, t, _ in CASES}:
+        rows = [(k, p, r) for k, (p, r, t, _) in enumerate(CASES) if t == tolerance]
+        df = spark.createDataFrame([(*x, 1) for x in rows], "k int, p string, r string, boxes int")
+        got = A.with_method(df, "p", "r", tolerance)
+        assert got.columns == ["k", "p", "r", "boxes", "method"]
+        assert {x.k: x.method for x in got.collect()} == {k: CASES[k][3] for k, _, _ in rows}
 
 
 def test_match_method_of_null(spark):
-    df = spark.createDataFrame([(None, "1"), ("1", None)], "p string, r string").withColumn("b", A.boxed("p"))
-    assert [r[0] for r in df.select(A.match_method(F.col("p"), F.col("b"), F.col("r"))).collect()] == [None, None]
+    df = spark.createDataFrame([(None, "1"), ("1", None)], "p string, r string")
+    assert [r.method for r in A.with_method(df, "p", "r").collect()] == [None, None]
 
 
 def test_yes_no(spark):

@@ -6,8 +6,10 @@ underscores between digits, ``inf`` and ``nan`` count, a trailing ``d`` or ``f``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +28,23 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, inside of lambdas as well, where equal parts aren't found."""
+    return F.transform(F.array(value), body)[0]
+
+
 def try_float(text: Column) -> Column:
     """Double of the text without trailing percent signs; null where it isn't a number."""
-    t = stripped(F.regexp_replace(stripped(text), r"%+$", ""))
-    special = F.when(F.lower(t).rlike(r"^[+]?(inf|infinity)$"), F.lit(float("inf"))).when(F.lower(t).rlike(r"^-(inf|infinity)$"), F.lit(float("-inf"))).when(F.lower(t).rlike(r"^[+-]?nan$"), F.lit(float("nan")))
-    return F.coalesce(special, F.when(t.rlike(_FLOAT), F.regexp_replace(t, "_", "").try_cast("double")))
+    special = {r"^[+]?(inf|infinity)$": "inf", r"^-(inf|infinity)$": "-inf", r"^[+-]?nan$": "nan"}
+
+    def read(t: Column) -> Column:
+        named = F.lower(t)
+        told = F.when(t.rlike(_FLOAT), F.regexp_replace(t, "_", "").try_cast("double"))
+        for pattern, value in special.items():
+            told = told.when(named.rlike(pattern), F.lit(float(value)))
+        return told
+
+    return let(stripped(F.regexp_replace(stripped(text), r"%+$", "")), read)
 
 
 def normalized_answer(text: Column) -> Column:
@@ -38,12 +52,14 @@ def normalized_answer(text: Column) -> Column:
 
     Other numbers are written as doubles; infinite ones and texts stay as they are.
     """
-    t = F.lower(stripped(text))
-    v = try_float(t)
-    whole = (v == F.floor(v)) & ~t.contains("e") & (F.abs(v) < 1e15)
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"[%_+\s]", ""), r"^(-?)0*(?=\d*\.)", "$1"), r"0+$", "")
-    plain = F.regexp_replace(plain, r"^(-?)\.", "$10.")  # as Python writes it, without an exponent
-    return F.when(v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")), t).when(whole, v.cast("long").cast("string")).when(t.contains("e") | (F.abs(v) >= 1e15) | (F.abs(v) < 1e-4), v.cast("string")).otherwise(plain)
+
+    def written(t: Column, v: Column) -> Column:
+        whole = (v == F.floor(v)) & ~t.contains("e") & (F.abs(v) < 1e15)
+        plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"[%_+\s]", ""), r"^(-?)0*(?=\d*\.)", "$1"), r"0+$", "")
+        plain = F.regexp_replace(plain, r"^(-?)\.", "$10.")  # as Python writes it, without an exponent
+        return F.when(v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")), t).when(whole, v.cast("long").cast("string")).when(t.contains("e") | (F.abs(v) >= 1e15) | (F.abs(v) < 1e-4), v.cast("string")).otherwise(plain)
+
+    return let(F.lower(stripped(text)), lambda t: let(try_float(t), lambda v: written(t, v)))
 
 
 def numeric_close(value: Column, reference: Column, tolerance: Column | float) -> Column:
@@ -118,43 +134,52 @@ def boxed(texts: pd.Series) -> pd.Series:
     return texts.map(found)
 
 
-def match_method(response: Column, boxes: Column, reference: Column, tolerance: float = 0.0) -> Column:
-    """How the response gives the reference answer, ``none`` if it doesn't: the first of boxed, bold, literal and numeric forms.
+def with_method(rows: DataFrame, response: str, reference: str, tolerance: float = 0.0, name: str = "method") -> DataFrame:
+    """Adds how the response gives the reference answer, ``none`` if it doesn't: the first of boxed, bold, literal and numeric forms.
 
-    ``boxes`` are the response's :func:`boxed` values, computed before so that this stays one expression. Nulls give null.
+    The parts that several forms ask for are columns of projections of their own, so each is computed once. Nulls give null.
     """
-    norm, value = normalized_answer(reference), try_float(reference)
-    zero = F.coalesce(F.abs(value) <= 1e-9, F.lit(False))
-    near = F.lit(tolerance > 0) & value.isNotNull() & ~zero
-    lower, low_ref = F.lower(response), F.lower(stripped(reference))
-    bolds = bold(response)
-    same = lambda xs: F.exists(xs, lambda x: normalized_answer(x) == norm)
-    is_zero = lambda xs: F.exists(xs, lambda x: F.coalesce(try_float(x) == 0.0, F.lit(False)))
-    close = lambda xs, t: F.exists(xs, lambda x: numeric_close(x, value, t))
-    floats = lambda xs: F.transform(xs, try_float)
-    word = lambda x: F.regexp_like(lower, F.concat(F.lit(r"(?U)(?<!\w)"), quoted(x), F.lit(r"(?!\w)")))
-    trivial = low_ref.isin(*TRIVIAL)
-    any_trivial = trivial | norm.isin(*TRIVIAL)
-    told = answer_sentences(response)
-    inside = F.flatten(F.transform(bolds, numbers))
-    chosen = numbers(F.when(told != "", told).otherwise(response))
-    closest = nearest(chosen, value)
-    bound = F.when(told != "", F.lit(tolerance)).otherwise(F.lit(tolerance * 0.5))
-    ending = F.when(told != "", F.lit("")).otherwise(F.lit("_fallback"))
-    return F.when(response.isNull() | reference.isNull(), F.lit(None).cast("string")).otherwise(
-        F.when(same(boxes), "boxed")
-        .when(zero & is_zero(boxes), "boxed_zero")
-        .when(near & close(floats(boxes), F.lit(tolerance)), "boxed_approx")
-        .when(same(bolds), "bold")
-        .when(zero & (is_zero(bolds) | F.exists(inside, lambda x: x == 0.0)), "bold_zero")
-        .when(near & (close(floats(bolds), F.lit(tolerance)) | close(inside, F.lit(tolerance))), "bold_approx")
-        .when(trivial & has_answer_context(response, low_ref), "literal_contextual")
-        .when(~trivial & word(low_ref), "literal")
-        .when((norm != low_ref) & ~norm.isin(*TRIVIAL) & word(norm), "literal_norm")
-        .when(zero & ~any_trivial & F.exists(chosen, lambda x: x == 0.0), F.concat(F.lit("numeric_zero"), ending))
-        .when(near & ~any_trivial & numeric_close(closest, value, bound), F.concat(F.lit("numeric_approx"), ending))
+    c = lambda n: F.col(f"_{n}")
+    text, ref = F.col(response), F.col(reference)
+    parts = rows.withColumns({"_boxes": boxed(response), "_bolds": bold(text), "_told": answer_sentences(text), "_lower": F.lower(text), "_ref": F.lower(stripped(ref)), "_norm": normalized_answer(ref), "_value": try_float(ref)})
+    zero = F.coalesce(F.abs(c("value")) <= 1e-9, F.lit(False))
+    parts = parts.withColumns(
+        {
+            "_zero": zero,
+            "_near": F.lit(tolerance > 0) & c("value").isNotNull() & ~zero,
+            "_box_texts": F.transform("_boxes", normalized_answer),
+            "_box_values": F.transform("_boxes", try_float),
+            "_bold_texts": F.transform("_bolds", normalized_answer),
+            "_bold_values": F.transform("_bolds", try_float),
+            "_inside": F.flatten(F.transform("_bolds", numbers)),
+            "_chosen": numbers(F.when(c("told") != "", c("told")).otherwise(text)),
+            "_trivial": c("ref").isin(*TRIVIAL),
+            "_any_trivial": c("ref").isin(*TRIVIAL) | c("norm").isin(*TRIVIAL),
+        }
+    )
+    parts = parts.withColumn("_closest", nearest(c("chosen"), c("value")))
+    near, bound = c("near"), F.lit(tolerance)
+    has_zero = lambda xs: F.exists(xs, lambda x: F.coalesce(x == 0.0, F.lit(False)))
+    close = lambda xs: F.exists(xs, lambda x: numeric_close(x, c("value"), bound))
+    # a pattern is made of the word only where the text has it at all
+    word = lambda x: F.contains(c("lower"), x) & F.regexp_like(c("lower"), F.concat(F.lit(r"(?U)(?<!\w)"), quoted(x), F.lit(r"(?!\w)")))
+    told = c("told") != ""
+    ending = F.when(told, F.lit("")).otherwise(F.lit("_fallback"))
+    method = F.when(text.isNull() | ref.isNull(), F.lit(None).cast("string")).otherwise(
+        F.when(F.array_contains("_box_texts", c("norm")), "boxed")
+        .when(c("zero") & has_zero(c("box_values")), "boxed_zero")
+        .when(near & close(c("box_values")), "boxed_approx")
+        .when(F.array_contains("_bold_texts", c("norm")), "bold")
+        .when(c("zero") & (has_zero(c("bold_values")) | has_zero(c("inside"))), "bold_zero")
+        .when(near & (close(c("bold_values")) | close(c("inside"))), "bold_approx")
+        .when(c("trivial") & has_answer_context(text, c("ref")), "literal_contextual")
+        .when(~c("trivial") & word(c("ref")), "literal")
+        .when((c("norm") != c("ref")) & ~c("norm").isin(*TRIVIAL) & word(c("norm")), "literal_norm")
+        .when(c("zero") & ~c("any_trivial") & has_zero(c("chosen")), F.concat(F.lit("numeric_zero"), ending))
+        .when(near & ~c("any_trivial") & numeric_close(c("closest"), c("value"), F.when(told, bound).otherwise(bound * 0.5)), F.concat(F.lit("numeric_approx"), ending))
         .otherwise("none")
     )
+    return parts.withColumn(name, method).select(*rows.columns, name)
 
 
 def yes_no(text: Column) -> Column:

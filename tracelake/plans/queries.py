@@ -17,6 +17,7 @@ from tracelake.operators import selection as S
 from tracelake.operators import stats as K
 from tracelake.operators import traces as R
 from tracelake.operators.ordered import running_counts
+from tracelake.session import written
 from tracelake.streaming import progress as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -427,8 +428,8 @@ def session_verdicts(spark, folder):
     rows = _events(spark, folder).where("session_key is not null")
     items = _t(spark, folder, "items").where("item_id is not null").groupBy("item_id").agg(F.max("answer").alias("reference"))
     known = _t(spark, folder, "sessions").where("session_key is not null").groupBy("session_key").agg(F.max("item_id").alias("item_id")).join(items, "item_id")
-    facts = R.session_facts(rows, R.calls(rows), known).withColumn("boxes", A.boxed("answer"))
-    right = A.match_method(F.col("answer"), F.col("boxes"), F.col("reference"), 0.02) != "none"
+    facts = A.with_method(written(R.session_facts(rows, R.calls(rows), known), "session-facts"), "answer", "reference", 0.02)
+    right = F.col("method") != "none"
     stage, reason = S.rejected(R.session_rules(right | F.col("has_tool")))
     return facts.select("session_key", stage.alias("stage"), reason.alias("reason"))
 
@@ -608,8 +609,7 @@ def path_rewrite(spark, folder):
 def check_match(spark, folder):
     items = _t(spark, folder, "items").where("item_id is not null and answer is not null").groupBy("item_id").agg(F.max("answer").alias("answer"))
     rows = _t(spark, folder, "task_results").where("task_key is not null").select("task_key", "item_id", "pred").dropDuplicates(["task_key"]).join(items, "item_id")
-    found = rows.withColumns({"boxes": A.boxed("pred")})
-    return found.select("task_key", A.match_method(F.col("pred"), F.col("boxes"), F.col("answer"), 0.02).alias("method"))
+    return A.with_method(rows, "pred", "answer", 0.02).select("task_key", "method")
 
 
 @query()
