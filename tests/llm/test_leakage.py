@@ -23,6 +23,40 @@ def test_words():
     assert L.words("") == []
 
 
+@pytest.mark.parametrize("text", ["Ｆｕｌｌ &amp;amp; Wi​dth <b>bold</b>er<br>next\\nline_a 19.2 [x](http://y.z)", "", "plain words, two", "Straße cafe\u0301 ①② ﬁne <!-- a --> &eacute;t&#233; 中文 字", "a&b;c &lt;b&gt; x\\u000ay", "ᄒ\u1161\u11ab 글"])
+def test_places_are_those_of_the_words(text):
+    at = L.word_places(text)
+    assert len(at) == len(L.words(text)) and all(0 <= a < b <= len(text) for a, b in at) and at == sorted(at)
+    if text.isascii() and not set("<&\\") & set(text):
+        assert [text[a:b].lower() for a, b in at] == L.words(text)
+    if "bold" in text:
+        assert text[at[2][0] : at[2][1]] == "bold</b>er" and text[at[0][0] : at[0][1]] == "Ｆｕｌｌ"
+
+
+def test_cut_documents_hold_no_passage(spark):
+    r = random.Random(7)
+    word = lambda: r.choice(["alpha", "Beta", "gamma,", "<b>del</b>ta", "&eacute;ta"]) if r.random() < 0.9 else f"w{r.randint(0, 30)}"
+    items = [(k, " ".join(word() for _ in range(r.randint(0, 14)))) for k in range(30)]
+    docs = [(k, " ".join(word() for _ in range(r.randint(0, 60)))) for k in range(60)]
+    df = spark.createDataFrame(docs + docs[:3] + [(99, None)], "doc_id long, text string")
+    found = L.leaked_spans(df, spark.createDataFrame(items, "item_id long, query string"), least=6)
+    cut, spans = dict(docs), {}
+    for x in L.removal_spans(df, found).collect():
+        spans.setdefault(x.doc_id, []).append((x.start_char, x.end_char, x.n_words))
+    assert {d for _, d in brute(docs, items, 6)} == set(spans)
+    for d, own in spans.items():
+        own.sort()
+        assert all(b < c for (_, b, _), (c, _, _) in zip(own, own[1:]))
+        assert [len(L.words(cut[d][a:b])) for a, b, _ in own] == [n for _, _, n in own]
+        for a, b, _ in reversed(own):
+            cut[d] = cut[d][:a] + " | " + cut[d][b:]
+    grams = {tuple(w[k : k + 6]) for _, q in items for w in [L.words(q)] for k in range(len(w) - 5)}
+    for text in cut.values():
+        for part in text.split(" | "):
+            w = L.words(part)
+            assert not any(tuple(w[k : k + 6]) in grams for k in range(len(w) - 5))
+
+
 def brute(docs, items, n):
     found = set()
     for i, q in items:

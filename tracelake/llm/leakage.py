@@ -13,17 +13,20 @@ The items are a stated query set against all documents; they are sent in blocks
 
 from __future__ import annotations
 
+import difflib
 import html
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.session import written
+
 MIN_WORDS, SAMPLE, SHARD, BLOCK_WORDS = 12, 32, 1 << 21, 2_000_000
 
 _INVISIBLE = re.compile("[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf" or chr(c) in "͏᠋᠌᠍᠏" or 0xFE00 <= c <= 0xFE0F) + "]")
@@ -52,6 +55,71 @@ def words(text: str) -> list[str]:
     return _WORD.findall(unicodedata.normalize("NFKC", _INVISIBLE.sub("", text)).casefold())
 
 
+#: A character reference (a fixed pattern of the language).
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
+
+
+class _Traced:
+    """A text under replacement, with the places that each character comes from."""
+
+    def __init__(self, text: str):
+        self.text, self.begin, self.end = text, np.arange(len(text)), np.arange(1, len(text) + 1)
+
+    def put(self, spans: Iterable[tuple[int, int, str]]) -> None:
+        """Replace stretches, in order; a new character comes from its whole stretch."""
+        parts, begins, ends, last = [], [], [], 0
+        for a, b, new in spans:
+            parts += [self.text[last:a], new]
+            begins += [self.begin[last:a], np.full(len(new), self.begin[a])]
+            ends += [self.end[last:a], np.full(len(new), self.end[b - 1])]
+            last = b
+        if parts:
+            self.text = "".join(parts) + self.text[last:]
+            self.begin, self.end = np.concatenate([*begins, self.begin[last:]]), np.concatenate([*ends, self.end[last:]])
+
+    def sub(self, pattern: re.Pattern, new: Callable[[str], str]) -> None:
+        self.put((m.start(), m.end(), new(m.group())) for m in pattern.finditer(self.text))
+
+
+def _clusters(text: str) -> Iterator[tuple[int, int, str]]:
+    """Characters with the marks that combine with them, in their folded form."""
+    at = 0
+    while at < len(text):
+        stop = at + 1
+        while stop < len(text) and unicodedata.combining(text[stop]):
+            stop += 1
+        yield at, stop, unicodedata.normalize("NFKC", text[at:stop]).casefold()
+        at = stop
+
+
+def word_places(text: str) -> list[tuple[int, int]]:
+    """Where each of the :func:`words` stands in the text: its first character and the one behind its last."""
+    t = _Traced(text)
+    for _ in range(2):
+        if "&" in t.text and ";" in t.text:
+            t.sub(_REFERENCE, html.unescape)
+    if "<" in t.text:
+        for pattern, new in ((_COMMENT, ""), (_INLINE, ""), (_TAG, " ")):
+            t.sub(pattern, lambda _, new=new: new)
+    if "](" in t.text:
+        t.sub(_LINK, lambda _: "]")
+    if "\\" in t.text:
+        t.sub(_ESCAPED, lambda _: " ")
+    if not t.text.isascii():
+        t.sub(_INVISIBLE, lambda _: "")
+        t.put(_clusters(t.text))
+    found = list(_WORD.finditer(t.text))
+    spans = [(int(t.begin[m.start()]), int(t.end[m.end() - 1])) for m in found]
+    expect, own = words(text), [m.group().lower() for m in found]
+    if own != expect:  # characters that fold together over several: the words that agree keep their places, others lie between
+        out: list[tuple[int, int]] = []
+        for tag, a, b, c, d in difflib.SequenceMatcher(None, own, expect, autojunk=False).get_opcodes():
+            around = (spans[a][0] if a < len(spans) else len(text), spans[b - 1][1] if b > a else spans[a][0] if a < len(spans) else len(text))
+            out += spans[a:b] if tag == "equal" else [around] * (d - c)
+        return out
+    return spans
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffix order by prefix doubling."""
     n = len(text)
@@ -244,6 +312,35 @@ def leaked_spans(documents: DataFrame, items: DataFrame, key: str = "doc_id", te
     return every.distinct()
 
 
+def removal_spans(documents: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """What has to be cut out of each document: ``doc_id, start_char, end_char, n_words``, the spans of all items merged.
+
+    ``found`` are :func:`leaked_spans`; places are characters of the text as it stands, with its markup. Spans that overlap
+    or follow one another are one. Keys must tell the documents apart; of repeated rows one counts.
+    """
+    # the places of a document are bounded by its words
+    runs = found.groupBy("doc_id", "doc_word").agg(F.max("n_words").alias("n")).groupBy("doc_id").agg(F.collect_list(F.struct(F.col("doc_word").alias("a"), (F.col("doc_word") + F.col("n")).alias("b"))).alias("runs"))
+    rows = documents.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(runs, "doc_id").dropDuplicates(["doc_id"])
+    key_type = documents.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple[int, int, int, int]] = []
+            for i, (content, spans) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+                at = word_places(content)
+                merged: list[list[int]] = []
+                for s in sorted((s["a"], s["b"]) for s in spans):
+                    if merged and s[0] <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], s[1])
+                    else:
+                        merged.append(list(s))
+                out += [(i, at[x][0], at[y - 1][1], y - x) for x, y in merged]
+            cols = list(zip(*out)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cols[0], pa.int64())), *(pa.array(c, pa.int64()) for c in cols[1:])], ["doc_id", "start_char", "end_char", "n_words"])
+
+    return rows.select("doc_id", "text", "runs").mapInArrow(run, f"doc_id {key_type}, start_char long, end_char long, n_words long")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     found = leaked_spans(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/heldout_items.parquet"))
     return found.select("item_id", "doc_id").distinct()
@@ -251,3 +348,9 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_spans(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_spans(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/heldout_items.parquet"))
+
+
+def p6_removals(spark: SparkSession, folder: str) -> DataFrame:
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    found = written(leaked_spans(documents, spark.read.parquet(f"{folder}/heldout_items.parquet")), "leaked")
+    return removal_spans(documents, found)

@@ -15,6 +15,7 @@ QUERIES = {
     "p5_fill": packing.p5_fill,
     "p6_found": leakage.p6_found,
     "p6_spans": leakage.p6_spans,
+    "p6_removals": leakage.p6_removals,
     "p7_found": shared_spans.p7_found,
     "p7_shares": shared_spans.p7_shares,
 }
