@@ -55,6 +55,30 @@ def test_components_equal_flood_fill(seed):
     assert V.components(np.zeros((2, 2), bool)) == []
 
 
+def test_colour_ranges():
+    im = np.zeros((10, 20, 3), np.uint8)
+    im[1:3, 2:6], im[5:8, 10:12], im[9, 19] = [255, 0, 0], [250, 5, 20], [0, 0, 255]
+    assert V.hsv(im)[1, 2].tolist() == [0, 255, 255] and V.hsv(im)[9, 19].tolist() == [120, 255, 255] and V.hsv(im)[0, 0].tolist() == [0, 0, 0]
+    red = V.range_mask(im, [170, 100, 100], [10, 255, 255])
+    assert red.sum() == 8 + 6 and not red[9, 19]
+    assert V.range_boxes(im, [170, 100, 100], [10, 255, 255]) == [[100, 100, 300, 300], [500, 500, 600, 800]]
+    assert V.range_boxes(im, [170, 100, 100], [10, 255, 255], least=7) == [[100, 100, 300, 300]]
+    assert V.range_boxes(im, [200, 0, 0], [255, 50, 50], "bgr") == [[950, 900, 1000, 1000]]
+
+
+def test_drawing():
+    im = np.zeros((100, 100, 3), np.uint8)
+    line = V.with_line(im, 0, 500, 1000, 500, [9, 9, 9], 1)
+    assert line.any(axis=2).sum() == 100 and line[50].any() and not im.any()
+    circle = V.with_circle(im, 500, 500, 300, [1, 2, 3], 1)
+    ys, xs = np.nonzero(circle.any(axis=2))
+    assert set(np.rint(np.hypot(ys - 50, xs - 50))) == {30} and circle[50, 80].tolist() == [1, 2, 3]
+    box = V.with_box(im, [800, 200, 100, 600], [5, 5, 5], 1).any(axis=2)
+    assert box[20, 10:81].all() and box[60, 10:81].all() and box[20:61, 10].all() and not box[40, 40]
+    ramp = np.repeat(np.arange(100, 110, dtype=np.uint8)[None, :, None], 3, axis=2)
+    assert V.equalized(ramp)[0, 0] == 0 and V.equalized(ramp)[0, -1] == 255 and V.equalized(im).max() == 0
+
+
 def test_template():
     im = picture(3, 40, 50)
     assert V.matches(im, im[10:18, 20:31])[0] == {"x": 20, "y": 10, "score": 1.0}

@@ -182,6 +182,81 @@ def image_op(kernel: Callable[[np.ndarray], np.ndarray], data: Column, height: C
     return _over(kernel, T.BinaryType())(data, height, width)
 
 
+def hsv(image: np.ndarray) -> np.ndarray:
+    """Hue in half degrees (0 to 179), saturation and value in 0 to 255."""
+    rgb = image.astype(np.float64)
+    top, low = rgb.max(axis=2), rgb.min(axis=2)
+    spread = np.where(top > low, top - low, 1.0)
+    r, g, b = (rgb[..., k] for k in range(3))
+    sector = np.select([top == r, top == g], [(g - b) / spread, (b - r) / spread + 2], (r - g) / spread + 4)
+    hue = np.where(top > low, sector * 30, 0.0) % 180
+    saturation = np.where(top > 0, (top - low) / np.where(top > 0, top, 1.0) * 255, 0.0)
+    return np.stack([np.rint(hue) % 180, np.rint(saturation), top], axis=2).astype(np.uint8)
+
+
+def range_mask(image: np.ndarray, low: list[float], high: list[float], space: str = "hsv") -> np.ndarray:
+    """Pixels whose channels all lie between the bounds; a hue range from above to below wraps around."""
+    most = np.array([179 if space == "hsv" else 255, 255, 255])
+    a, b = (np.clip(np.rint(x), 0, most) for x in (low, high))
+    channels = (hsv(image) if space == "hsv" else image[..., ::-1]).astype(np.int64)
+    held = (channels >= a) & (channels <= b)
+    if space == "hsv" and a[0] > b[0]:
+        held[..., 0] = (channels[..., 0] >= a[0]) | (channels[..., 0] <= b[0])
+    return held.all(axis=2)
+
+
+def range_boxes(image: np.ndarray, low: list[float], high: list[float], space: str = "hsv", least: float = 0, most: int = 50) -> list[list[int]]:
+    """Boxes, in thousandths, of the connected parts in a colour range, from the left, then from the top; ``least`` up to 1 is a share of the pixels."""
+    mask = range_mask(image, low, high, space)
+    area = max(1, int(np.ceil(least * mask.size))) if least <= 1 else int(np.ceil(least))
+    h, w = mask.shape
+    found = sorted(components(mask, area, True), key=lambda c: (c["x1"], c["y1"]))[:most]
+    return [[round(c["x1"] * 1000 / w), round(c["y1"] * 1000 / h), round(c["x2"] * 1000 / w), round(c["y2"] * 1000 / h)] for c in found]
+
+
+def _drawn(image: np.ndarray, where: np.ndarray, rgb: list[int]) -> np.ndarray:
+    out = image.copy()
+    out[where] = rgb
+    return out
+
+
+def with_line(image: np.ndarray, x1: int, y1: int, x2: int, y2: int, rgb: list[int], thickness: int = 2) -> np.ndarray:
+    """A line between two points: all pixels at most half the thickness from it."""
+    h, w = image.shape[:2]
+    ys, xs = np.mgrid[0:h, 0:w]
+    ax, ay, bx, by = (float(min(to_pixel(c, n), n - 1)) for c, n in ((x1, w), (y1, h), (x2, w), (y2, h)))
+    length = (bx - ax) ** 2 + (by - ay) ** 2
+    along = np.clip(((xs - ax) * (bx - ax) + (ys - ay) * (by - ay)) / length, 0, 1) if length else np.zeros((h, w))
+    away = np.hypot(xs - ax - along * (bx - ax), ys - ay - along * (by - ay))
+    return _drawn(image, away <= thickness / 2, rgb)
+
+
+def with_circle(image: np.ndarray, x: int, y: int, radius: int, rgb: list[int], thickness: int = 2) -> np.ndarray:
+    """A circle around a point, its radius in thousandths of the shorter side."""
+    h, w = image.shape[:2]
+    ys, xs = np.mgrid[0:h, 0:w]
+    away = np.hypot(xs - to_pixel(x, w), ys - to_pixel(y, h))
+    return _drawn(image, np.abs(away - to_pixel(radius, min(h, w))) <= thickness / 2, rgb)
+
+
+def with_box(image: np.ndarray, box: list[int], rgb: list[int], thickness: int = 2) -> np.ndarray:
+    """The outline of a box, corners in any order."""
+    (x1, x2), (y1, y2) = sorted((box[0], box[2])), sorted((box[1], box[3]))
+    for line in ((x1, y1, x2, y1), (x2, y1, x2, y2), (x2, y2, x1, y2), (x1, y2, x1, y1)):
+        image = with_line(image, *line, rgb, thickness)
+    return image
+
+
+def equalized(image: np.ndarray) -> np.ndarray:
+    """Grayscale with its histogram equalized over the whole picture."""
+    values = gray(image)
+    upto = np.cumsum(np.bincount(values.ravel(), minlength=256))
+    first = upto[np.flatnonzero(upto)[0]] if values.size else 0
+    if not values.size or upto[-1] == first:
+        return values
+    return np.clip(np.rint((upto - first) * 255.0 / (upto[-1] - first)), 0, 255).astype(np.uint8)[values]
+
+
 def top_colors(data: Column, height: Column, width: Column, k: int = 5) -> Column:
     row = T.ArrayType(T.StructType([T.StructField("rgb", T.ArrayType(T.IntegerType())), T.StructField("share", T.DoubleType())]))
     return _over(lambda im: [{"rgb": c, "share": s} for c, s in clusters(im, k)], row)(data, height, width)

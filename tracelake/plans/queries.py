@@ -810,6 +810,19 @@ def sft_messages(spark, folder):
     return C.sft_messages(R.last_user_slice(_events(spark, folder).where("session_key is not null")), prompts)
 
 
+_BLOCKS = """case when regexp_matches(content, '^\\s*\\[\\s*\\{') and json_valid(content) then cast(content as json[]) end"""
+_BLOCK_TEXT = """case when len(list_filter(l, lambda x: json_extract_string(x, '$.type') is not null)) > 0 then array_to_string(list_transform(list_filter(l, lambda x: json_extract_string(x, '$.type') = 'text' and json_extract_string(x, '$.text') is not null), lambda x: json_extract_string(x, '$.text')), chr(10)) else content end"""
+
+
+@query(f"""with {_EV}, f as (select session_key, max(event_id) filter (where r = 'user') as k from ev group by session_key), b as (select ev.session_key, event_id, r, content, tool_calls, {_BLOCKS} as l from ev join f using (session_key) where session_key is not null and (f.k is null or event_id >= f.k)),
+t as (select *, {_BLOCK_TEXT} as body, coalesce(len(list_filter(l, lambda x: coalesce(json_extract_string(x, '$.image'), json_extract_string(x, '$.image_url.url')) is not null)), 0) as n_images, coalesce(try_cast(regexp_extract(content, '(?i)^\\[image viewed \\* (\\d+)\\]', 1) as int), 0) as n_viewed from b),
+m as (select session_key, event_id, 0 as part, 'user' as role, repeat('<image>', n_images::bigint) || coalesce(body, '') as content from t where r = 'user' union all select session_key, event_id, 0, 'tool_response', repeat('<image>', n_viewed::bigint) || coalesce(content, '') from t where r = 'tool' union all select session_key, event_id, 0, 'assistant', body from t where r = 'assistant' and coalesce(content, '') <> '' union all select session_key, event_id, 1, 'tool_call', tool_calls from t where r = 'assistant' and coalesce(tool_calls, '') not in ('', '[]', 'null'))
+select session_key, (row_number() over (partition by session_key order by event_id, part) - 1)::int as place, role, content from m""")
+def sft_turns(spark, folder):
+    samples = C.sft_messages(R.last_user_slice(_events(spark, folder).where("session_key is not null")))
+    return samples.select("session_key", F.posexplode("messages").alias("place", "m")).select("session_key", "place", "m.role", "m.content")
+
+
 @query("with s as (select distinct on (sample_id) sample_id, messages from sft_samples where sample_id is not null), m as (select sample_id, unnest(messages) as m from s) select m.role as role, count(*) as n, count(distinct sample_id) as n_samples, sum(coalesce(length(m.content), 0))::bigint as n_chars from m where m is not null group by 1")
 def sft_roles(spark, folder):
     rows = _t(spark, folder, "sft_samples").where("sample_id is not null").select("sample_id", "messages").dropDuplicates(["sample_id"]).select("sample_id", F.explode("messages").alias("m")).where("m is not null")
