@@ -144,7 +144,8 @@ def test_letter_counts_do_not_depend_on_partitions(spark):
     assert one == many
     words = [w for t, in rows for w in t[:-1].split()]
     by = {k: (n, e) for k, n, e in one}
-    assert by[keys[0, -1]] == (sum(w.startswith("ima") for w in words), 0)
+    assert by[keys[0, E.ORDERS + E.LETTERS - 2]] == (sum(w.startswith("ima") for w in words), 0)
+    assert by[keys[0, -1]] == (sum(a == "the" and b.startswith("ima") for t, in rows for a, b in zip(t.split(), t.split()[1:])), 0)
 
 
 @pytest.mark.parametrize(
@@ -165,3 +166,13 @@ def test_cut_copies_of_chinese_texts(spark):
     head = "".join(r.choice("图表的数值在整个时期从升到大多项目位于页面第二行下面工具为该标签返回了点") for _ in range(60))
     rows = [(head + "然后读者看到了",), (head + "然后读者看到了红色的线。",), (head + "。",), (head + "。然后没有了。",)]
     assert copies(spark, [x for x, in rows]) == {rows[0][0]}
+
+
+def test_a_part_of_a_word_at_which_many_are_cut_is_no_end(spark):
+    r = random.Random(31)
+    some = lambda: " ".join(r.choice(WORDS) for _ in range(r.randint(4, 9)))
+    whole = [f"{some()} the marker {some()}." for _ in range(2000)] + [f"{some()} on a mark {some()}." for _ in range(80)] + [f"{some()} outside the box" for _ in range(200)] + [f"the box plot {some()}." for _ in range(40)]
+    cut = [f"{some()} the mark" for _ in range(60)]
+    df = spark.createDataFrame([("t", str(k), x) for k, x in enumerate(whole + cut)], "source_table string, record_id string, text string")
+    found = {int(x.record_id) for x in T.truncated(df).collect()}
+    assert found == set(range(len(whole), len(whole) + len(cut)))

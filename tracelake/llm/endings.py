@@ -3,7 +3,8 @@
 What can be read off one text, an open thinking block, code fence, bracket, tag or JSON text, or a note that the rest was
 left out, decides alone. A text that ends without a closing mark is scored by the corpus: how often its last tokens are
 followed by an end of text or line (closing-word terminality, with shorter contexts where a longer one is rare), and how
-often a word ends after its last letters. The counts cover every token of every distinct text, without the end that is
+often a word ends after its last letters, and how often it is whole there and not the part of a longer word behind the same token
+(so a part at which many texts were cut is no word). The counts cover every token of every distinct text, without the end that is
 judged; to keep them small only contexts in which some open text ends are counted, chosen by a map of those contexts that
 grows with their number (:func:`tracelake.llm.sketch.chooser`).
 """
@@ -145,12 +146,26 @@ class _Classes(dict):
     def __init__(self) -> None:
         self.hashes: list[int] = [_START]
         self.times = np.zeros(1, np.int64)
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self.hashes)
         self.hashes.append(_class(word))
         return n
 
+    def follow(self, before: np.ndarray, numbers: np.ndarray) -> None:
+        """Count each token behind the class before it."""
+        key, n = np.unique(np.stack([before, numbers.astype(np.uint64)]), axis=1, return_counts=True)
+        self.pairs.append((key, n))
+
+    def followed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Classes before, tokens and how often they were met."""
+        if not self.pairs:
+            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        key, of = np.unique(np.concatenate([k for k, _ in self.pairs], axis=1), axis=1, return_inverse=True)
+        n = np.bincount(of.ravel(), weights=np.concatenate([n for _, n in self.pairs])).astype(np.int64)
+        return key[0], key[1].astype(np.int64), n
+
     def add(self, numbers: np.ndarray) -> None:
         met = np.bincount(numbers, minlength=len(self.hashes))
         met[: len(self.times)] += self.times
@@ -201,6 +216,21 @@ def _letter_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys[:, letter], ends, np.flatnonzero(ends)
 
 
+def _part_keys(words: list[str], before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each letter of each word the key of the word up to it behind the token before the word; whether it ends the word, and whose it is."""
+    codes = np.frombuffer(("\x01".join(words) + "\x01").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    mark = codes == 1
+    of = np.cumsum(mark) - mark
+    length = np.bincount(of[~mark], minlength=len(words))
+    place = np.arange(mark.sum() and len(codes)) - np.repeat(np.cumsum(length + 1) - length - 1, length + 1)
+    powers = np.cumprod(np.full(int(length.max(initial=0)) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    sums = np.cumsum(np.where(mark, np.uint64(0), _mixed(codes + np.uint64(11)) * powers[place]))
+    begin = np.concatenate([[np.uint64(0)], sums[np.flatnonzero(mark)[:-1]]])
+    keys = _mixed((sums - begin[of]) ^ (before[of] * _WEIGHTS[1]) + np.uint64(777)) | np.uint64(1)
+    letter = ~mark
+    return keys[letter], np.append(mark[1:], True)[letter], of[letter]
+
+
 def _lettered(word: str) -> bool:
     return bool(word) and word[0].isalpha() and not "一" <= word[0] <= "鿿"
 
@@ -217,11 +247,12 @@ def _last_tokens(body: str) -> tuple[list[str], bool]:
 
 
 def tail_keys(bodies: list[str]) -> np.ndarray:
-    """Keys of the contexts at the end of each text: tokens from one to ORDERS, then letters; 0 where there is none."""
+    """Keys of the contexts at the end of each text: tokens from one to ORDERS, then letters, then the last word as a part of one
+    behind the token before it; 0 where there is none."""
     last = np.zeros((len(bodies), ORDERS), np.uint64)
     size = np.zeros(len(bodies), np.int64)
-    out = np.zeros((len(bodies), ORDERS + LETTERS - 1), np.uint64)
-    words, rows = [], []
+    out = np.zeros((len(bodies), ORDERS + LETTERS), np.uint64)
+    words, rows, before = [], [], []
     for i, body in enumerate(bodies):
         found, begun = _last_tokens(body)
         hashes = [_class(w) for w in found[-ORDERS:]]
@@ -233,9 +264,11 @@ def tail_keys(bodies: list[str]) -> np.ndarray:
         if _lettered(word) and body.endswith(word):
             words.append(word)
             rows.append(i)
+            before.append(hashes[-2] if len(hashes) > 1 else _START)
     if words:
         keys, _, ends = _letter_keys(words)
-        out[rows, ORDERS:] = keys[:, ends].T
+        out[rows, ORDERS : ORDERS + LETTERS - 1] = keys[:, ends].T
+        out[rows, -1] = _part_keys(words, np.array(before, np.uint64))[0][ends]
     for k, keys in enumerate(_contexts(last.ravel())):
         out[:, k] = np.where(size > k, keys[ORDERS - 1 :: ORDERS], 0)
     return np.where(out != 0, out - np.uint64(1 << 63), 0).view(np.int64)
@@ -290,6 +323,14 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes | None) -> DataFra
                 times = times[np.cumsum(stops) - stops]
                 for own in keys:
                     take(own[own != 0], stops[own != 0], times[own != 0])
+            names = list(classes)
+            before, tokens, times = classes.followed()
+            for i in range(0, len(tokens), 50_000):
+                words = [names[k - 1] for k in tokens[i : i + 50_000]]
+                rows = [k for k, w in enumerate(words) if _lettered(w)]
+                if rows:
+                    keys, stops, of = _part_keys([words[k] for k in rows], before[i : i + 50_000][rows])
+                    take(keys, stops, times[i : i + 50_000][rows][of])
 
         def told() -> pa.RecordBatch:
             keys = np.concatenate([k for k, _, _ in held]) if held else np.empty(0, np.uint64)
@@ -304,18 +345,29 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes | None) -> DataFra
             numbers: list[int] = []
             lasts: list[int] = []
             last_hashes: list[int] = []
+            last_words: list[str] = []
             for t in b.column(0).to_pylist():
                 if found := _TOKEN.findall(body_of(t)):
                     numbers.append(0)
                     numbers.extend([classes[w] for w in found[:-1]])
                     lasts.append(len(numbers))
                     numbers.append(0)
+                    last_words.append(found[-1])
                     last_hashes.append(_class(found[-1]))  # a last word may be cut: it tells nothing of words
             if numbers:
                 row = np.array(numbers, np.int32)
                 classes.add(row)
                 row = np.array(classes.hashes, np.uint64)[row]
                 row[lasts] = last_hashes
+                inside = np.ones(len(row), bool)  # the last word is one of its own, it isn't a part of a longer one
+                inside[np.array(lasts) - 0] = False
+                inside[np.concatenate([[0], np.array(lasts[:-1], np.int64) + 1])] = False
+                at = np.flatnonzero(inside)
+                classes.follow(row[at - 1], np.array(numbers, np.int64)[at])
+                ended = [(found_, k) for found_, k in zip(last_words, lasts) if _lettered(found_)]
+                if ended:
+                    keys, stops, _ = _part_keys([w for w, _ in ended], row[[k - 1 for _, k in ended]])
+                    take(keys[stops], stops[stops], np.ones(len(ended), np.int64))
                 end = np.zeros(len(row), bool)
                 end[lasts] = True
                 end[:-1] |= row[1:] == np.uint64(_NEWLINE)
@@ -352,12 +404,14 @@ def judged(texts: DataFrame, ends: DataFrame) -> DataFrame:
     asked = ends.where("ends is not null").select("version", "dotted", F.posexplode("ends").alias("place", "context")).where("context <> 0")
     # every text is counted once: copies of a text vouch for its end no more than the text itself
     counts = context_counts(texts, "text", chooser(asked.select("context")))
-    of_tokens = F.col("place") < ORDERS
+    of_tokens, of_parts = F.col("place") < ORDERS, F.col("place") == ORDERS + LETTERS - 1
     # the end that is judged doesn't count; behind dots it isn't counted as one
-    others = F.col("n") - of_tokens.cast("long"), F.col("n_end") - (of_tokens & ~F.col("dotted")).cast("long")
-    seen = asked.join(counts, "context").select("version", of_tokens.alias("of_tokens"), F.struct("place", others[0].alias("n"), others[1].alias("n_end")).alias("found"))
-    told = seen.groupBy("version").agg(F.collect_list(F.when(F.col("of_tokens"), F.col("found"))).alias("tokens"), F.collect_list(F.when(~F.col("of_tokens"), F.col("found"))).alias("letters"))
-    told = told.select("version", _share(F.col("tokens")).alias("p_end"), _share(F.col("letters")).alias("p_word_end"))
-    end, word_end = F.coalesce("p_end", F.lit(0.0)), F.coalesce("p_word_end", F.lit(1.0))
-    cut = (F.col("state") == CUT) | ((F.col("state") == OPEN) & ((end < LEAST_END) | (word_end < LEAST_WORD_END) | ((end < 2 * LEAST_END) & (word_end < 0.15))))
+    own = (of_tokens | of_parts).cast("long")
+    others = F.col("n") - own, F.col("n_end") - F.when(of_tokens & F.col("dotted"), 0).otherwise(own)
+    kind = F.when(of_tokens, "tokens").when(of_parts, "parts").otherwise("letters")
+    seen = asked.join(counts, "context").select("version", kind.alias("kind"), F.struct("place", others[0].alias("n"), others[1].alias("n_end")).alias("found"))
+    told = seen.groupBy("version").agg(*(F.collect_list(F.when(F.col("kind") == k, F.col("found"))).alias(k) for k in ("tokens", "letters", "parts")))
+    told = told.select("version", _share(F.col("tokens")).alias("p_end"), _share(F.col("letters")).alias("p_word_end"), _share(F.col("parts")).alias("p_whole"))
+    end, word_end, whole = F.coalesce("p_end", F.lit(0.0)), F.coalesce("p_word_end", F.lit(1.0)), F.coalesce("p_whole", F.lit(1.0))
+    cut = (F.col("state") == CUT) | ((F.col("state") == OPEN) & ((end < LEAST_END) | (word_end < LEAST_WORD_END) | (whole < LEAST_END) | ((end < 2 * LEAST_END) & (word_end < 0.15))))
     return ends.select("version", "state").join(told, "version", "left").withColumn("cut", cut)
