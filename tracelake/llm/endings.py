@@ -146,25 +146,27 @@ class _Classes(dict):
     def __init__(self) -> None:
         self.hashes: list[int] = [_START]
         self.times = np.zeros(1, np.int64)
+        self.groups: dict[int, int] = {_START: 0}  # number of each class
+        self.group: list[int] = [0]
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self.hashes)
-        self.hashes.append(_class(word))
+        self.hashes.append(h := _class(word))
+        self.group.append(self.groups.setdefault(h, len(self.groups)))
         return n
 
     def follow(self, before: np.ndarray, numbers: np.ndarray) -> None:
-        """Count each token behind the class before it."""
-        key, n = np.unique(np.stack([before, numbers.astype(np.uint64)]), axis=1, return_counts=True)
-        self.pairs.append((key, n))
+        """Count each token behind the class of the one before it."""
+        self.pairs.append(np.unique(np.array(self.group, np.int64)[before] << 32 | numbers, return_counts=True))
 
     def followed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Classes before, tokens and how often they were met."""
         if not self.pairs:
             return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        key, of = np.unique(np.concatenate([k for k, _ in self.pairs], axis=1), axis=1, return_inverse=True)
-        n = np.bincount(of.ravel(), weights=np.concatenate([n for _, n in self.pairs])).astype(np.int64)
-        return key[0], key[1].astype(np.int64), n
+        key, of = np.unique(np.concatenate([k for k, _ in self.pairs]), return_inverse=True)
+        n = np.bincount(of, weights=np.concatenate([n for _, n in self.pairs])).astype(np.int64)
+        return np.array(list(self.groups), np.uint64)[key >> 32], key & 0xFFFFFFFF, n
 
     def add(self, numbers: np.ndarray) -> None:
         met = np.bincount(numbers, minlength=len(self.hashes))
@@ -360,10 +362,11 @@ def context_counts(texts: DataFrame, text: str, wanted: bytes | None) -> DataFra
                 row = np.array(classes.hashes, np.uint64)[row]
                 row[lasts] = last_hashes
                 inside = np.ones(len(row), bool)  # the last word is one of its own, it isn't a part of a longer one
-                inside[np.array(lasts) - 0] = False
+                inside[lasts] = False
                 inside[np.concatenate([[0], np.array(lasts[:-1], np.int64) + 1])] = False
                 at = np.flatnonzero(inside)
-                classes.follow(row[at - 1], np.array(numbers, np.int64)[at])
+                told_ = np.array(numbers, np.int64)
+                classes.follow(told_[at - 1], told_[at])
                 ended = [(found_, k) for found_, k in zip(last_words, lasts) if _lettered(found_)]
                 if ended:
                     keys, stops, _ = _part_keys([w for w, _ in ended], row[[k - 1 for _, k in ended]])
