@@ -114,3 +114,20 @@ def test_few_windows_pass_at_any_width(spark, monkeypatch):
         monkeypatch.setattr(S, "MAX_BITS", bits)
         assert S.candidates(df, "doc_id", "text").count() <= 0.05 * 300 * 4000 * 2 / S.SPREAD
         assert {tuple(x) for x in S.shared_pairs(df).collect()} == {(k, 1000 + k) for k in range(5)}
+
+
+def test_pairs_where_a_join_is_read_in_parts(spark):
+    """The partitions of a join that turns out to be sent, or is split for its size, hold only a part of the rows of a window."""
+    r = random.Random(13)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    shared = [word(400) for _ in range(40)]
+    rows = [(k, word(200) + shared[k % 40] + word(200)) for k in range(240)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = {tuple(x) for x in S.shared_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert found == {(a, b) for a in range(240) for b in range(a + 1, 240) if a % 40 == b % 40}

@@ -32,6 +32,8 @@ from tracelake.session import written
 MIN_CHARS, CORE = 300, 100
 SPREAD = MIN_CHARS - CORE + 1
 FAN = 64
+#: Rows that are compared in one call, about.
+LOT = 4096
 CELLS_PER_WINDOW, MAX_BITS = 8, 28
 _SEGMENT = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -237,8 +239,8 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 _SPAN = "entity_a binary, entity_b binary, start_a long, start_b long, chars long"
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by hash: compare each window's rows pairwise (at most FAN of them)."""
+def _compare(table: pa.Table) -> pa.Table:
+    """Compare the rows of each window pairwise (at most FAN of them)."""
     held: list[tuple] = []
     out: list[tuple] = []
 
@@ -256,21 +258,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sb = cb - int(_char_start(xb[bb - back : bb]).sum())
                     out.append((ea, eb, sa, sb, n) if ea < eb else (eb, ea, sb, sa, n))
 
-    def flush() -> pa.RecordBatch:
-        cols = list(zip(*out)) or [[]] * 5
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), *(pa.array(c, pa.int64()) for c in cols[2:])], ["entity_a", "entity_b", "start_a", "start_b", "chars"])
-
-    for batch in batches:
-        for h, e, c, b, x in zip(*(batch.column(k).to_pylist() for k in ("hash", "entity", "char_at", "before", "around"))):
-            if held and held[0][0] != h:
-                settle()
-                held.clear()
-            held.append((h, e, c, b, np.frombuffer(x, np.uint8)))
-        if len(out) > 20_000:
-            yield flush()
+    table = table.sort_by("hash")
+    for h, e, c, b, x in zip(*(table.column(k).to_pylist() for k in ("hash", "entity", "char_at", "before", "around"))):
+        if held and held[0][0] != h:
+            settle()
+            held.clear()
+        held.append((h, e, c, b, np.frombuffer(x, np.uint8)))
     settle()
-    yield flush()
+    cols = list(zip(*out)) or [[]] * 5
+    return pa.table([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), *(pa.array(c, pa.int64()) for c in cols[2:])], ["entity_a", "entity_b", "start_a", "start_b", "chars"])
 
 
 def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +369,9 @@ def shared_spans(texts: DataFrame, key: str = "doc_id", text: str = "text") -> S
     once = rows.groupBy("hash", "entity", "at").agg(F.first("char_at").alias("char_at"), F.first("before").alias("before"), F.first("around").alias("around"))
     fan = once.groupBy("hash").agg(F.count("*").alias("fan"), F.min("entity").alias("least"), F.max("entity").alias("most")).where("least < most").select("hash", "fan")
     once = once.join(fan, "hash").drop("at")
-    pieces = once.where(F.col("fan") <= FAN).drop("fan").repartition("hash").sortWithinPartitions("hash").mapInArrow(_compare, _SPAN)
+    # groups, as a repartition by the key of a join can be left out, and the join then be split or read in parts
+    lot = F.pmod(F.xxhash64("hash"), F.lit(rows.count() // LOT + 1))
+    pieces = once.where(F.col("fan") <= FAN).drop("fan").groupBy(lot.alias("lot")).applyInArrow(_compare, _SPAN)
     many = once.where(F.col("fan") > FAN).drop("fan").mapInArrow(_all_windows, "window binary, entity binary, start long, prior int")
     many = many.distinct()
     shared = many.groupBy("window").agg(F.min("entity").alias("least"), F.max("entity").alias("most")).where("least < most").select("window")
