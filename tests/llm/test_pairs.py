@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 
 from tracelake.llm import pairs as P
 from tracelake.llm import refusals
-from tracelake.llm.language import fitted, prose
+from tracelake.llm.language import BUCKETS, _grams, fitted, prose
 
 SENTENCES = {
     "en": ["The value of the chart rises from {n} to {n} over the whole period.", "Most of the items are placed under the second line of the page.", "After the first call the reader returned {n} points for this label."],
@@ -137,3 +138,20 @@ def test_size_and_markup_hide_no_defect(spark, labelled):
     assert P.wrong_language(model, QUERY["en"], page) and not P.wrong_language(model, QUERY["en"], own)
     assert P.wrong_language(model, QUERY["en"], "```python\nx = 1\n```\n" + said(r, "fr", 3))
     assert not P.wrong_language(model, QUERY["en"], '{"a": "' + said(r, "de", 2) + '"}')
+
+
+def test_laws_count_all_rows(spark, monkeypatch):
+    """Bounds say what the counts weigh, not which rows are counted."""
+    r = random.Random(8)
+    said_ = {lang: [said(r, lang, 2) for _ in range(90)] for lang in ("de", "en")}
+    df = spark.createDataFrame([(t, lang) for lang, ts in said_.items() for t in ts], "text string, lang string")
+    model = fitted(df, labelled=30)
+    counts = np.stack([np.bincount(np.concatenate([_grams(prose(t, False)) for t in said_[x]]), minlength=BUCKETS) for x in model.languages], axis=1) / 3 + 0.5
+    assert np.allclose(model.logs, np.log(counts / counts.sum(axis=0)))
+    monkeypatch.setattr(refusals, "TEXTS", 30)
+    monkeypatch.setattr(refusals, "ANSWERS", 45)
+    parts = [[s for t in said_[x] for s in refusals.sentences(t)] for x in ("de", "en")]
+    expect = refusals.Ratio(refusals.counted(parts[0]) / 3 + refusals.counted(parts[1]) / 2, len(parts[0]) / 3 + len(parts[1]) / 2)
+    found = refusals.fitted(*(spark.createDataFrame([(t,) for t in said_[x]], "t string") for x in ("de", "en")))
+    assert np.allclose(found.logs, expect.logs)
+    assert refusals.sentences("It is 3.14 here. So.\nNo 5") == ["14 here.", "So.", "No 5"]

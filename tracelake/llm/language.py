@@ -1,7 +1,7 @@
 """Language of a text by naive Bayes on character n-grams.
 
-The model is fitted on at most ``LABELLED`` labelled rows a language, chosen by hash; n-grams of one to three characters
-go to ``BUCKETS`` counters. Names, numbers, code, markup and quotations are taken out before fitting and judging.
+The model counts all labelled rows; n-grams of one to three characters go to ``BUCKETS`` counters. Against the smoothing the
+counts of a language weigh as much as ``LABELLED`` rows at most, so that one with many rows has no other law of rare n-grams. Names, numbers, code, markup and quotations are taken out before fitting and judging.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ CODES = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa":
 
 _CODE = re.compile(r"(?s)```.*?(?:```|\Z)|`[^`\n]*`|<!--.*?-->|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[/!a-zA-Z][^<>]*>|\\boxed\{[^{}]*\}?|\$[^$\n]+\$")
 _QUOTED = re.compile(r"\"[^\"]*(?:\"|\Z)|“[^”]*(?:”|\Z)|„[^“”]*(?:[“”]|\Z)|«[^»]*(?:»|\Z)|「[^」]*(?:」|\Z)|『[^』]*(?:』|\Z)|‘[^’]*’|(?<!\w)'[^'\n]+'(?!\w)")
-_PATHS = re.compile(r"\S*[/\\@]\S*|\b\w+_\w+\b|\bhttps?:\S+")
-_NAMES = re.compile(r"(?<![.!?。！？:\n>*\-#(] )(?<!^)(?<![\n\"“「(])\b[A-ZÀ-Þ][^\W\d_一-鿿]*")
+_PATHS = re.compile(r"(?<!\S)\S*[/\\@]\S*|\b\w+_\w+\b|\bhttps?:\S+")
+_NAMES = re.compile(r"(?=[A-ZÀ-Þ])(?<![.!?。！？:\n>*\-#(] )(?<!^)(?<![\n\"“「(])\b[A-ZÀ-Þ][^\W\d_一-鿿]*")
 _PIECES = re.compile(r"(?<=[.!?。！？;；:])\s+|\n+")
 _LOWER = re.compile(r"(?<![\w])[^\W\d_A-Z一-鿿]\w*")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -45,10 +45,45 @@ def _grams(text: str) -> np.ndarray:
         total = (total[: len(codes) - k] * np.uint64(0x100000001B3)) ^ codes[k:] if k else codes.copy()
         mixed = (total + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
         out.append((mixed >> np.uint64(49)).astype(np.int64))
-        total = np.concatenate([total, []]).astype(np.uint64)
     return np.concatenate(out)
 
 
+def _counted(texts: list[str]) -> np.ndarray:
+    """How often each bucket occurs in the :func:`_grams` of all texts."""
+    codes = np.frombuffer("\0".join(f" {t} " for t in texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    inside, total, out = codes != 0, codes, np.zeros(BUCKETS, np.int64)
+    for k in range(GRAMS):
+        if k:
+            total = (total[:-1] * np.uint64(0x100000001B3)) ^ codes[k:]
+            inside = inside[:-1] & (codes[k:] != 0)
+        out += np.bincount((((total + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(49)).astype(np.int64)[inside], minlength=BUCKETS)
+    return out
+
+
+#: Counters of partitions, in parts of PART, so that a task that adds them up holds few of each.
+PART, COUNTERS = 1 << 12, "name string, part int, counts binary"
+_COUNTERS = pa.schema([("name", pa.string()), ("part", pa.int32()), ("counts", pa.binary())])
+
+
+def counters(named: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Arrays of counts by name, in rows for :func:`summed`; their length is a multiple of PART or below it."""
+    rows = [(n, k, x[k * PART : (k + 1) * PART].astype(np.int64).tobytes()) for n, x in named.items() for k in range(-(-len(x) // PART))]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_COUNTERS)], schema=_COUNTERS)
+
+
+def summed(partials: DataFrame) -> dict[str, np.ndarray]:
+    """The sums of the arrays of all partitions, of fixed size, for the driver."""
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("counts")], axis=0)
+        return pa.Table.from_pylist([{"name": key[0].as_py(), "part": key[1].as_py(), "counts": total.tobytes()}], _COUNTERS)
+
+    found: dict[str, dict[int, np.ndarray]] = {}
+    for r in partials.groupBy("name", "part").applyInArrow(add, COUNTERS).collect():
+        found.setdefault(r["name"], {})[r["part"]] = np.frombuffer(r["counts"], np.int64)
+    return {n: np.concatenate([parts[k] for k in sorted(parts)]) for n, parts in found.items()}
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -71,7 +106,7 @@ class Model:
 
 
 def fitted(rows: DataFrame, text: str = "text", lang: str = "lang", labelled: int = LABELLED) -> Model:
-    """Model from rows with a language label; ``labelled`` bounds the rows a language.
+    """Model from all rows with a language label; ``labelled`` bounds what the counts of a language weigh, in rows.
 
     Of a label only the language counts (``zh-CN``, ``deu``, in any case). A language of less than LEAST rows is left out.
     Without labels the model is empty.
@@ -83,23 +118,19 @@ def fitted(rows: DataFrame, text: str = "text", lang: str = "lang", labelled: in
     wanted = {k: min(1.0, labelled / n) for k, n in counts.items()}
     if not wanted:
         return Model([], np.zeros((BUCKETS, 0)))
-    share = F.element_at(F.create_map(*(F.lit(x) for kv in wanted.items() for x in kv)), F.col("lang"))
-    chosen = named.where(F.col("lang").isin(list(wanted))).where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+    chosen = named.where(F.col("lang").isin(list(wanted)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for b in batches:
+            texts: dict[str, list[str]] = {}
             for l, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                sums.setdefault(l, np.zeros(BUCKETS, np.int64))
-                sums[l] += np.bincount(_grams(prose(t, False)), minlength=BUCKETS)
-        yield pa.RecordBatch.from_pydict({"lang": list(sums), "counts": [x.tobytes() for x in sums.values()]}, schema=pa.schema([("lang", pa.string()), ("counts", pa.binary())]))
-
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("counts")], axis=0)
-        return pa.table({"lang": [key[0].as_py()], "counts": [total.tobytes()]}, schema=pa.schema([("lang", pa.string()), ("counts", pa.binary())]))
+                texts.setdefault(l, []).append(prose(t, False))
+            for l, own in texts.items():
+                sums[l] = sums.get(l, 0) + _counted(own)
+        yield counters(sums)
 
-    # the sample is bounded, so are the counters of its partitions
-    found = {r["lang"]: np.frombuffer(r["counts"], np.int64) for r in chosen.repartition(32).mapInArrow(run, "lang string, counts binary").groupBy("lang").applyInArrow(add, "lang string, counts binary").collect()}
+    found = summed(chosen.mapInArrow(run, COUNTERS))
     languages = sorted(found)
-    matrix = np.stack([found[x] for x in languages], axis=1) + 0.5
+    matrix = np.stack([found[x] * wanted[x] for x in languages], axis=1) + 0.5
     return Model(languages, np.log(matrix / matrix.sum(axis=0)))

@@ -2,8 +2,8 @@
 
 Two laws over hashed n-grams are compared sentence by sentence: one of declining sentences, fitted on sentences that a small
 grammar of openers, ways to decline and things declined composes for each language (at most ``COMPOSED`` a language, chosen
-by a fixed seed), and one of all other sentences, fitted on sentences that say other things in the same forms and on those of at most ``TEXTS`` texts and ``ANSWERS`` answers at
-hand, chosen by hash. A sentence declines if a stretch of it sums up to more than ``BOUND``; an answer is a refusal if a sentence declines and the
+by a fixed seed), and one of all other sentences, fitted on sentences that say other things in the same forms and on those of all texts and answers at
+hand. The law mixes these: the texts weigh as much as ``TEXTS`` of them at most, the answers as ``ANSWERS``. A sentence declines if a stretch of it sums up to more than ``BOUND``; an answer is a refusal if a sentence declines and the
 others give no value.
 """
 
@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.llm.language import COUNTERS, counters, summed
+
 COMPOSED, TEXTS, ANSWERS, BITS = 1500, 500, 4000, 18
 SHORTEST, LONGEST, SMOOTHING, CLIP, BIAS, BOUND = 3, 7, 0.5, 4.0, 0.5, 6.0
 
@@ -91,7 +93,8 @@ TELLING: list[tuple[list[str], list[str], list[str]]] = [
     ),
 ]
 
-_SENTENCE = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？](?!\d)[\"'”’»)\]*]*|\n|\Z)")
+#: A sentence, or what goes up to a mark inside a number and is left out.
+_SENTENCE = re.compile(r"([^.!?。！？\n]*+(?:[.!?。！？](?!\d)[\"'”’»)\]*]*|\n|\Z))|[^.!?。！？\n]*+[.!?。！？]")
 _VALUE = re.compile(r"\d|\\boxed|\*\*\s*\w")
 _MARKUP = re.compile(r"<[^<>\n]*>|```\w*|https?:\S+|\S*[/\\_]\S*")
 _MARKS = re.compile(r"[^\w\s',，]+|_")
@@ -132,8 +135,8 @@ def _read(lines: list[str]) -> str:
 class _Places:
     """The n-grams of SHORTEST to LONGEST characters at each place of sentences, none over two of them."""
 
-    def __init__(self, lines: list[str]):
-        text = " " + _read(lines).replace("\n", " \n ") + " "
+    def __init__(self, read: str):
+        text = " " + read.replace("\n", " \n ") + " "
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         edge = np.flatnonzero(codes == 10)
         self.line = np.cumsum(codes == 10)
@@ -147,20 +150,26 @@ class _Places:
                 self.grams.append(np.where(inside, (mixed ^ (mixed >> np.uint64(29))) >> np.uint64(64 - BITS), np.uint64(1 << BITS)).astype(np.int64))
 
 
-def counted(lines: list[str]) -> np.ndarray:
-    """In how many of the sentences each bucket occurs."""
+def counted(lines: list[str], times: list[int] | None = None) -> np.ndarray:
+    """In how many of the sentences each bucket occurs, a sentence counting as often as ``times`` says."""
     out = np.zeros((1 << BITS) + 1, np.int64)
+    alike: dict[str, int] = {}  # sentences that read alike are taken once
     for k in range(0, len(lines), 5000):
-        at = _Places(lines[k : k + 5000])
-        keys = np.concatenate([g * 8192 + at.line[: len(g)] for g in at.grams])
-        out += np.bincount(np.unique(keys) // 8192, minlength=len(out))
+        for line, n in zip(_read(lines[k : k + 5000]).split("\n"), times[k : k + 5000] if times else itertools.repeat(1)):
+            alike[line] = alike.get(line, 0) + n
+    read, weights = list(alike), np.array(list(alike.values()), np.float64)
+    for k in range(0, len(read), 5000):
+        at = _Places("\n".join(["", *read[k : k + 5000]]))  # behind an empty one, so that each has the same n-grams wherever it stands
+        keys = np.sort(np.concatenate([g.astype(np.uint32) << np.uint32(13) | at.line[: len(g)].astype(np.uint32) for g in at.grams]))
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+        out += np.bincount(keys >> np.uint32(13), weights=np.append(0.0, weights[k : k + 5000])[keys & np.uint32(8191)], minlength=len(out)).astype(np.int64)
     return out[:-1]
 
 
 class Ratio:
     """Log likelihood ratio of each bucket: declining against other sentences."""
 
-    def __init__(self, corpus: np.ndarray, sentences_: int):
+    def __init__(self, corpus: np.ndarray, sentences_: float):
         declining, telling = composed()
         p, q = counted(declining), counted(telling) + corpus
         logs = np.log((p + SMOOTHING) / (len(declining) + 2 * SMOOTHING)) - np.log((q + SMOOTHING) / (len(telling) + sentences_ + 2 * SMOOTHING))
@@ -170,7 +179,7 @@ class Ratio:
         """Of each sentence the largest sum of mean log ratios over a stretch of it, each place less BIAS."""
         if not lines:
             return np.empty(0)
-        at = _Places(lines)
+        at = _Places(_read(lines))
         total, n = np.zeros(len(at.line)), np.zeros(len(at.line))
         for g in at.grams:
             total[: len(g)] += self.logs[g]
@@ -203,19 +212,34 @@ class Ratio:
 
 
 def fitted(texts: DataFrame, answers: DataFrame) -> Ratio:
-    """The ratio, with other sentences of at most about TEXTS rows of ``texts`` and ANSWERS of ``answers`` (a text column each), chosen by hash."""
-
-    def chosen(rows: DataFrame, most: int) -> DataFrame:
-        rows = rows.toDF("text").where("text is not null")
-        return rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(min(1.0, most / max(1, rows.count()))) * (1 << 30))
+    """The ratio, with other sentences of all rows of ``texts`` and ``answers`` (a text column each), weighed as TEXTS and ANSWERS rows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, n = np.zeros(1 << BITS, np.int64), 0
-        for b in batches:
-            lines = [s for t in b.column(0).to_pylist() for s in sentences(t)]
-            out, n = out + counted(lines), n + len(lines)
-        yield pa.RecordBatch.from_pydict({"counts": [out.astype(np.int32).tobytes()], "n": [n]}, schema=pa.schema([("counts", pa.binary()), ("n", pa.int64())]))
+        sums: dict[str, np.ndarray] = {}
+        met: dict[str, dict[str, int]] = {}
 
-    # the sample is bounded, so are the counters of its partitions
-    found = chosen(texts, TEXTS).unionByName(chosen(answers, ANSWERS)).repartition(8).mapInArrow(run, "counts binary, n long").collect()
-    return Ratio(np.sum([np.zeros(1 << BITS, np.int64), *(np.frombuffer(r["counts"], np.int32) for r in found)], axis=0), sum(r["n"] for r in found))
+        def settle() -> None:
+            for name, own in met.items():
+                sums[name] = sums.get(name, 0) + counted(list(own), list(own.values()))
+            met.clear()
+
+        for b in batches:
+            for name, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = met.setdefault(name, {})
+                lines = sentences(t)
+                for s in lines:
+                    own[s] = own.get(s, 0) + 1
+                sums[f"{name} n"] = sums.get(f"{name} n", 0) + np.array([1, len(lines)], np.int64)
+            if sum(map(len, met.values())) > 200_000:
+                settle()
+        settle()
+        yield counters(sums)
+
+    rows = [x.toDF("text").where("text is not null").select(F.lit(n).alias("name"), "text") for n, x in (("texts", texts), ("answers", answers))]
+    found = summed(rows[0].unionByName(rows[1]).mapInArrow(run, COUNTERS))
+    corpus, total = np.zeros(1 << BITS), 0.0
+    for name, most in (("texts", TEXTS), ("answers", ANSWERS)):
+        if name in found:
+            n, lines = found[f"{name} n"].tolist()
+            corpus, total = corpus + found[name] * min(1.0, most / n), total + lines * min(1.0, most / n)
+    return Ratio(corpus, total)
