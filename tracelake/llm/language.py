@@ -21,10 +21,11 @@ CODES = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa":
 
 _CODE = re.compile(r"(?s)```.*?(?:```|\Z)|`[^`\n]*`|<!--.*?-->|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[/!a-zA-Z][^<>]*>|\\boxed\{[^{}]*\}?|\$[^$\n]+\$")
 _QUOTED = re.compile(r"\"[^\"]*(?:\"|\Z)|“[^”]*(?:”|\Z)|„[^“”]*(?:[“”]|\Z)|«[^»]*(?:»|\Z)|「[^」]*(?:」|\Z)|『[^』]*(?:』|\Z)|‘[^’]*’|(?<!\w)'[^'\n]+'(?!\w)")
-_PATHS = re.compile(r"(?<!\S)\S*[/\\@]\S*|\b\w+_\w+\b|\bhttps?:\S+")
+_PATHS = re.compile(r"(?<!\w)(?:(?<!\S)[^\s/\\@]*+[/\\@]\S*|\w[^\W_]*+_\w+|https?:\S+)")
 _NAMES = re.compile(r"(?=[A-ZÀ-Þ])(?<![.!?。！？:\n>*\-#(] )(?<!^)(?<![\n\"“「(])\b[A-ZÀ-Þ][^\W\d_一-鿿]*")
-_PIECES = re.compile(r"(?<=[.!?。！？;；:])\s+|\n+")
-_LOWER = re.compile(r"(?<![\w])[^\W\d_A-Z一-鿿]\w*")
+_PIECES = re.compile(r"(?=\s)(?:(?<=[.!?。！？;；:])\s+|\n+)")
+#: Two words in small letters, or a character that is a word.
+_SPOKEN = re.compile(r"(?<!\w)[^\W\d_A-Z一-鿿]\w*+(?s:.)*?(?<!\w)[^\W\d_A-Z一-鿿]|[一-鿿]")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -34,7 +35,7 @@ def prose(text: str, quotes: bool = True) -> str:
     if quotes:
         text = _QUOTED.sub(" ", text)
     # a piece that is only names and values isn't prose
-    pieces = [x for x in _PIECES.split(text) if len(_LOWER.findall(x)) >= 2 or any("一" <= c <= "鿿" for c in x)]
+    pieces = [x for x in _PIECES.split(text) if _SPOKEN.search(x)]
     return _OTHER.sub(" ", _NAMES.sub(" ", "\n".join(pieces)).lower()).strip()
 
 
